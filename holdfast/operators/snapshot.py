@@ -17,8 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.dates import calendar_months, years_as_decimal
-from holdfast.functions.numeric import band, clip, even_round, number, sigmoid
+from holdfast.functions.numeric import band, clip, even_round, sigmoid
 
 KEYS = ("customer_id", "observation_date")
 Dates = Sequence[tuple[dt.date, str]]
@@ -68,18 +67,18 @@ class ChurnWeights:
     ceiling: float = 0.62
 
 
-def _dates_array(dates: Dates) -> Column:
-    return F.array(*[F.lit(day) for day, _ in dates])
+def _dates_sql(dates: Dates) -> str:
+    return "array(" + ", ".join(f"DATE'{day.isoformat()}'" for day, _ in dates) + ")"
+
+
+def _listed(values: Sequence[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
 def spine(customers: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFrame:
     """Every customer at every snapshot date, by a narrow explode."""
-    entries = F.array(*[
-        F.struct(F.lit(day).alias("observation_date"), F.lit(name).alias("split_name")) for day, name in dates
-    ])
-    return customers.withColumn("_entry", F.explode(entries)).select(
-        "_entry.observation_date", "_entry.split_name", *customers.columns
-    )
+    entries = ", ".join(f"(DATE'{day.isoformat()}', '{name}')" for day, name in dates)
+    return customers.selectExpr(f"inline(array({entries})) AS (observation_date, split_name)", *customers.columns)
 
 
 def expand_to_dates(
@@ -89,23 +88,20 @@ def expand_to_dates(
 
     With ``ahead_days`` the window is ``(date, date + ahead]`` instead. Both directions are narrow.
     """
-    d = F.col(day)
-
-    def inside(o: Column) -> Column:
-        if ahead_days:
-            return (d > o) & (d <= F.date_add(o, ahead_days))
-        keep = d <= o
-        return keep if lookback_days is None else keep & (d >= F.date_sub(o, lookback_days))
+    inside = f"{day} <= o"
+    if ahead_days:
+        inside = f"{day} > o AND {day} <= date_add(o, {ahead_days})"
+    elif lookback_days is not None:
+        inside += f" AND {day} >= date_sub(o, {lookback_days})"
+    return fact.withColumn("observation_date", F.expr(f"explode(filter({_dates_sql(dates)}, o -> {inside}))"))
 
-    return fact.withColumn("observation_date", F.explode(F.filter(_dates_array(dates), inside)))
 
+def _one_if(condition: str, alias: str) -> str:
+    return f"CASE WHEN {condition} THEN 1 END AS {alias}"
 
-def _one_if(condition: Column) -> Column:
-    return F.when(condition, F.lit(1)).cast("int")
 
-
-def _within(day: str, days: int) -> Column:
-    return F.col(day) >= F.date_sub(F.col("observation_date"), days)
+def _within(day: str, days: int) -> str:
+    return f"{day} >= date_sub(observation_date, {days})"
 
 
 def policy_measures(
@@ -116,105 +112,87 @@ def policy_measures(
     stored final status (which leaks the future, but is the reference rule and the default)."""
     catalog = products.select("product_id", "product_family", "coverage_tier")
     rows = expand_to_dates(policies, "policy_start_date", dates).join(catalog, "product_id", "left")
-    o, cancelled = F.col("observation_date"), F.col("cancellation_date")
-    in_force = (cancelled.isNull() | (cancelled > o)) if status_as_of else (F.col("policy_status") == "ACTIVE")
-    active = in_force & (F.col("policy_end_date") >= o)
-    family = F.col("product_family")
-
-    def when_active(value: Column) -> Column:
-        return F.when(active, value)
-
-    family_bit = reduce(
-        lambda chain, item: chain.when(family == item[1], F.lit(1 << item[0])),
-        enumerate(FAMILIES[1:], start=1), F.when(family == FAMILIES[0], F.lit(1)),
-    )
-    tier_rank = reduce(
-        lambda chain, item: chain.when(F.col("coverage_tier") == item[1], F.lit(item[0])),
-        enumerate(TIER_RANKS[2:], start=2), F.when(F.col("coverage_tier") == TIER_RANKS[1], F.lit(1)),
-    )
-    return rows.select(
+    o, cancelled = "observation_date", "cancellation_date"
+    in_force = f"({cancelled} IS NULL OR {cancelled} > {o})" if status_as_of else "policy_status = 'ACTIVE'"
+    active = f"{in_force} AND policy_end_date >= {o}"
+    bits = " ".join(f"WHEN '{f}' THEN {1 << i}" for i, f in enumerate(FAMILIES))
+    ranks = " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(TIER_RANKS) if i)
+    age = f"(year({o}) - year(policy_start_date)) * 12 + month({o}) - month(policy_start_date)"
+    return rows.withColumn("_active", F.expr(active)).selectExpr(
         *KEYS,
-        _one_if(active).alias("p_active"),
-        when_active(family_bit).alias("p_family_bit"),
-        *[_one_if(active & (family == f)).alias(f"p_{f.lower()}") for f in COUNTED_FAMILIES],
-        when_active(tier_rank).alias("p_tier_rank"),
-        when_active(F.col("annual_premium").cast("decimal(12,2)")).alias("p_premium"),
-        when_active(F.col("premium_increase_pct_last_renewal").cast("double")).alias("p_increase"),
-        when_active(calendar_months(o, "policy_start_date")).cast("int").alias("p_age_months"),
-        when_active(F.datediff("policy_end_date", o)).alias("p_renewal_days"),
-        _one_if(cancelled <= o).alias("p_cancelled"),
-        F.when((cancelled > o) & (cancelled <= F.date_add(o, horizon_days)), cancelled).alias("p_churn_date"),
+        _one_if("_active", "p_active"),
+        f"CASE WHEN _active THEN CASE product_family {bits} END END AS p_family_bit",
+        *[_one_if(f"_active AND product_family = '{f}'", f"p_{f.lower()}") for f in COUNTED_FAMILIES],
+        f"CASE WHEN _active THEN CASE coverage_tier {ranks} END END AS p_tier_rank",
+        "CASE WHEN _active THEN CAST(annual_premium AS DECIMAL(12,2)) END AS p_premium",
+        "CASE WHEN _active THEN CAST(premium_increase_pct_last_renewal AS DOUBLE) END AS p_increase",
+        f"CASE WHEN _active THEN greatest(0, {age}) END AS p_age_months",
+        f"CASE WHEN _active THEN datediff(policy_end_date, {o}) END AS p_renewal_days",
+        _one_if(f"{cancelled} <= {o}", "p_cancelled"),
+        f"CASE WHEN {cancelled} > {o} AND {cancelled} <= date_add({o}, {horizon_days}) THEN {cancelled} END AS p_churn_date",
     )
 
 
 def payment_measures(payments: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFrame:
-    rows = expand_to_dates(payments, "due_date", dates, YEAR_DAYS)
-    status = F.col("payment_status")
-    return rows.filter(status.isin(*LATE_STATUSES)).select(
+    late = payments.filter(f"payment_status IN ({_listed(LATE_STATUSES)})")
+    return expand_to_dates(late, "due_date", dates, YEAR_DAYS).selectExpr(
         *KEYS,
-        F.lit(1).alias("y_late"),
-        _one_if(status.isin(*REJECTED_STATUSES)).alias("y_rejected"),
-        _one_if(_within("due_date", HALF_YEAR_DAYS)).alias("y_incident_6m"),
+        "1 AS y_late",
+        _one_if(f"payment_status IN ({_listed(REJECTED_STATUSES)})", "y_rejected"),
+        _one_if(_within("due_date", HALF_YEAR_DAYS), "y_incident_6m"),
     )
 
 
 def claim_measures(claims: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFrame:
-    return expand_to_dates(claims, "claim_date", dates, YEAR_DAYS).select(
-        *KEYS, F.lit(1).alias("c_claim"), F.col("claim_amount").cast("decimal(14,2)").alias("c_amount")
+    return expand_to_dates(claims, "claim_date", dates, YEAR_DAYS).selectExpr(
+        *KEYS, "1 AS c_claim", "CAST(claim_amount AS DECIMAL(14,2)) AS c_amount"
     )
 
 
 def interaction_measures(interactions: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFrame:
-    days = interactions.withColumn("_day", F.to_date("interaction_datetime"))
-    rows = expand_to_dates(days, "_day", dates)
-    digital = F.col("channel_id").isin(*DIGITAL_CHANNELS)
-    return rows.select(
+    rows = expand_to_dates(interactions.withColumn("_day", F.to_date("interaction_datetime")), "_day", dates)
+    digital = f"channel_id IN ({_listed(DIGITAL_CHANNELS)})"
+    return rows.selectExpr(
         *KEYS,
-        F.col("_day").alias("i_last_day"),
-        _one_if(_within("_day", QUARTER_DAYS)).alias("i_3m"),
-        _one_if(digital & _within("_day", MONTH_DAYS)).alias("i_digital_30d"),
+        "_day AS i_last_day",
+        _one_if(_within("_day", QUARTER_DAYS), "i_3m"),
+        _one_if(f"{digital} AND {_within('_day', MONTH_DAYS)}", "i_digital_30d"),
     )
 
 
 def case_measures(cases: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFrame:
     rows = expand_to_dates(cases.withColumn("_day", F.to_date("opened_datetime")), "_day", dates, YEAR_DAYS)
-    return rows.select(
+    return rows.selectExpr(
         *KEYS,
-        F.lit(1).alias("s_case"),
-        _one_if(F.col("case_status").isin(*UNRESOLVED_STATUSES)).alias("s_unresolved"),
-        _one_if((F.col("case_type") == "COMPLAINT") & _within("_day", HALF_YEAR_DAYS)).alias("s_complaint_6m"),
-        F.coalesce(F.col("satisfaction_score").cast("decimal(4,2)"), F.lit(3).cast("decimal(4,2)")).alias("s_score"),
+        "1 AS s_case",
+        _one_if(f"case_status IN ({_listed(UNRESOLVED_STATUSES)})", "s_unresolved"),
+        _one_if(f"case_type = 'COMPLAINT' AND {_within('_day', HALF_YEAR_DAYS)}", "s_complaint_6m"),
+        "CAST(coalesce(satisfaction_score, 3) AS DECIMAL(4,2)) AS s_score",
     )
 
 
 def campaign_measures(campaigns: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFrame:
     rows = expand_to_dates(campaigns.withColumn("_day", F.to_date("contact_datetime")), "_day", dates, HALF_YEAR_DAYS)
-    return rows.select(
-        *KEYS, F.lit(1).alias("m_contact"), _one_if(F.col("responded_flag")).alias("m_responded"),
-        _one_if(F.col("opened_flag")).alias("m_opened"),
-    )
+    return rows.selectExpr(*KEYS, "1 AS m_contact", _one_if("responded_flag", "m_responded"), _one_if("opened_flag", "m_opened"))
 
 
 def quote_measures(quotes: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFrame:
-    return expand_to_dates(quotes, "quote_date", dates, HALF_YEAR_DAYS).select(
-        *KEYS, F.lit(1).alias("q_quote"), F.col("competitor_price_index").cast("decimal(6,4)").alias("q_index")
+    return expand_to_dates(quotes, "quote_date", dates, HALF_YEAR_DAYS).selectExpr(
+        *KEYS, "1 AS q_quote", "CAST(competitor_price_index AS DECIMAL(6,4)) AS q_index"
     )
 
 
 def action_measures(actions: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFrame:
-    return expand_to_dates(actions, "action_date", dates, YEAR_DAYS).select(
-        *KEYS, F.lit(1).alias("a_offer"), _one_if(F.col("accepted_flag")).alias("a_accepted")
+    return expand_to_dates(actions, "action_date", dates, YEAR_DAYS).selectExpr(
+        *KEYS, "1 AS a_offer", _one_if("accepted_flag", "a_accepted")
     )
 
 
 def _spine_measures(customers: DataFrame, dates: Dates) -> DataFrame:
-    rows = spine(customers, dates)
-    return rows.select(
-        *KEYS,
-        F.lit(1).alias("k_present"),
-        "acquisition_date", "birth_date",
-        *[number(c).alias(c) for c in _CARRIED_SCORES],
-        _one_if(F.col("digital_profile") == "LOW").alias("k_low_digital"),
+    return spine(customers, dates).selectExpr(
+        *KEYS, "1 AS k_present", "acquisition_date", "birth_date",
+        *[f"nanvl(try_cast({c} AS DOUBLE), CAST(NULL AS DOUBLE)) AS {c}" for c in _CARRIED_SCORES],
+        _one_if("digital_profile = 'LOW'", "k_low_digital"),
     )
 
 
@@ -266,15 +244,9 @@ def aggregate_measures(
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     known = set(rows.columns)
     combined = [
-        getattr(F, how)(name).alias(name)
-        for how, names in _COMBINERS.items() for name in names if name in known
+        F.expr(f"{how}({name}) AS {name}") for how, names in _COMBINERS.items() for name in names if name in known
     ]
-    return rows.groupBy(*KEYS).agg(*combined).filter(F.col("k_present").isNotNull())
-
-
-def _split_of(dates: Dates) -> Column:
-    pairs = [F.when(F.col("observation_date") == F.lit(day), F.lit(name)) for day, name in dates]
-    return F.coalesce(*pairs)
+    return rows.groupBy(*KEYS).agg(*combined).filter("k_present IS NOT NULL")
 
 
 def build_snapshot(
@@ -288,59 +260,56 @@ def build_snapshot(
     measures = aggregate_measures(customers, dates, horizon_days=horizon_days, **facts)
     known = set(measures.columns)
 
-    def count(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)).cast("int") if name in known else F.lit(0)
+    def count(name: str) -> str:
+        return f"coalesce(CAST({name} AS INT), 0)" if name in known else "0"
 
-    def value(name: str, kind: str = "double") -> Column:
-        return F.col(name).cast(kind) if name in known else F.lit(None).cast(kind)
+    def value(name: str, kind: str = "DOUBLE") -> str:
+        return f"CAST({name} AS {kind})" if name in known else f"CAST(NULL AS {kind})"
 
-    def share(part: str, whole: str) -> Column:
-        return F.coalesce(F.try_divide(value(part), value(whole)), F.lit(0.0))
+    def share(part: str, whole: str, default: str = "0D") -> str:
+        return f"coalesce(try_divide({value(part)}, {value(whole)}), {default})"
 
-    o = F.col("observation_date")
+    o = "observation_date"
+    splits = " ".join(f"WHEN DATE'{day.isoformat()}' THEN '{name}'" for day, name in dates)
     # Ties between counts go to the last family by name; only other families active gives LIFE.
     by_name = sorted(COUNTED_FAMILIES, reverse=True)
-    top_count = F.greatest(*[count(f"p_{f.lower()}") for f in by_name])
-    main_family = F.when(count("p_active") == 0, "NONE")
-    for name in by_name:
-        main_family = main_family.when(count(f"p_{name.lower()}") == top_count, name)
-    tier = F.element_at(F.array(*[F.lit(t) for t in TIER_RANKS]), count("p_tier_rank") + 1)
-
-    raw = measures.select(
+    top_count = "greatest(" + ", ".join(count(f"p_{f.lower()}") for f in by_name) + ")"
+    families = " ".join(f"WHEN {count(f'p_{f.lower()}')} = {top_count} THEN '{f}'" for f in by_name)
+    raw = measures.selectExpr(
         *KEYS, *_CARRIED_SCORES,
-        _split_of(dates).alias("split_name"),
-        calendar_months(o, "acquisition_date").alias("tenure_months"),
-        years_as_decimal(o, "birth_date").alias("customer_age_years"),
-        count("p_active").alias("active_policy_count"),
-        (F.bit_count(count("p_family_bit"))).alias("number_of_products"),
-        *[count(f"p_{f.lower()}").alias(f"active_{f.lower()}_policy_count") for f in COUNTED_FAMILIES],
-        F.coalesce(value("p_premium"), F.lit(0.0)).alias("total_annual_premium"),
-        F.coalesce(value("p_increase"), F.lit(0.0)).alias("_increase"),
-        main_family.alias("main_product_family"),
-        tier.alias("highest_coverage_tier"),
-        share("p_age_months", "p_active").alias("_policy_age"),
-        count("p_cancelled").alias("cancelled_policy_count_to_date"),
-        value("p_renewal_days", "int").alias("renewal_days_min"),
-        value("p_churn_date", "date").alias("churn_date"),
-        count("y_late").alias("late_payment_count_12m"),
-        count("y_rejected").alias("rejected_payment_count_12m"),
-        count("y_incident_6m").alias("payment_incidents_6m"),
-        count("c_claim").alias("total_claims_12m"),
-        F.coalesce(value("c_amount"), F.lit(0.0)).alias("total_claim_amount_12m"),
-        count("i_3m").alias("interactions_3m"),
-        F.datediff(o, value("i_last_day", "date")).alias("days_since_last_contact"),
-        count("i_digital_30d").alias("digital_sessions_30d"),
-        count("s_case").alias("service_case_count_12m"),
-        count("s_unresolved").alias("unresolved_case_count_12m"),
-        count("s_complaint_6m").alias("complaints_6m"),
-        even_round(F.try_divide(value("s_score"), value("s_case")), 2).alias("avg_satisfaction_score_12m"),
-        share("m_opened", "m_contact").alias("_open_rate"),
-        share("m_responded", "m_contact").alias("_response_rate"),
-        count("q_quote").alias("quote_count_6m"),
-        F.coalesce(F.try_divide(value("q_index"), value("q_quote")), F.lit(1.0)).alias("_competitor_index"),
-        count("a_offer").alias("retention_offer_count_12m"),
-        share("a_accepted", "a_offer").alias("_acceptance_rate"),
-        count("k_low_digital").alias("_low_digital"),
+        f"CASE {o} {splits} END AS split_name",
+        f"greatest(0, (year({o}) - year(acquisition_date)) * 12 + month({o}) - month(acquisition_date)) AS tenure_months",
+        f"rint(datediff({o}, birth_date) / 365.25D * 100D) / 100D AS customer_age_years",
+        f"{count('p_active')} AS active_policy_count",
+        f"bit_count({count('p_family_bit')}) AS number_of_products",
+        *[f"{count(f'p_{f.lower()}')} AS active_{f.lower()}_policy_count" for f in COUNTED_FAMILIES],
+        f"coalesce({value('p_premium')}, 0D) AS total_annual_premium",
+        f"coalesce({value('p_increase')}, 0D) AS _increase",
+        f"CASE WHEN {count('p_active')} = 0 THEN 'NONE' {families} END AS main_product_family",
+        f"element_at(array({_listed(TIER_RANKS)}), {count('p_tier_rank')} + 1) AS highest_coverage_tier",
+        f"{share('p_age_months', 'p_active')} AS _policy_age",
+        f"{count('p_cancelled')} AS cancelled_policy_count_to_date",
+        f"{value('p_renewal_days', 'INT')} AS renewal_days_min",
+        f"{value('p_churn_date', 'DATE')} AS churn_date",
+        f"{count('y_late')} AS late_payment_count_12m",
+        f"{count('y_rejected')} AS rejected_payment_count_12m",
+        f"{count('y_incident_6m')} AS payment_incidents_6m",
+        f"{count('c_claim')} AS total_claims_12m",
+        f"coalesce({value('c_amount')}, 0D) AS total_claim_amount_12m",
+        f"{count('i_3m')} AS interactions_3m",
+        f"datediff({o}, {value('i_last_day', 'DATE')}) AS days_since_last_contact",
+        f"{count('i_digital_30d')} AS digital_sessions_30d",
+        f"{count('s_case')} AS service_case_count_12m",
+        f"{count('s_unresolved')} AS unresolved_case_count_12m",
+        f"{count('s_complaint_6m')} AS complaints_6m",
+        f"rint(try_divide({value('s_score')}, {value('s_case')}) * 100D) / 100D AS avg_satisfaction_score_12m",
+        f"{share('m_opened', 'm_contact')} AS _open_rate",
+        f"{share('m_responded', 'm_contact')} AS _response_rate",
+        f"{count('q_quote')} AS quote_count_6m",
+        f"{share('q_index', 'q_quote', '1D')} AS _competitor_index",
+        f"{count('a_offer')} AS retention_offer_count_12m",
+        f"{share('a_accepted', 'a_offer')} AS _acceptance_rate",
+        f"{count('k_low_digital')} AS _low_digital",
     )
     valued = raw.withColumn("_value", customer_value(
         F.col("total_annual_premium"), F.col("number_of_products"), F.col("loyalty_score"),

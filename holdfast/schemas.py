@@ -5,6 +5,7 @@ Fixed values: table, column and type names are the data contract every source an
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -124,21 +125,40 @@ _TABLES = {
 }
 
 
+_TYPES = {
+    "STRING": T.StringType(), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(), "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """A struct from ``name TYPE`` pairs; unlike ``fromDDL`` it needs no running session."""
+    fields = []
+    for part in re.split(r",(?![^(]*\))", columns):
+        name, kind = part.split()
+        if kind.startswith("DECIMAL"):
+            precision, scale = kind[8:-1].split(",")
+            fields.append(T.StructField(name, T.DecimalType(int(precision), int(scale))))
+        else:
+            fields.append(T.StructField(name, _TYPES[kind]))
+    return T.StructType(fields)
+
+
 def table_schema(name: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(_TABLES[name].split()))
+    return _struct(_TABLES[name])
 
 
 TABLE_NAMES = tuple(_TABLES)
 
 # Report files that jobs write and later steps read back.
-DRIFT_REPORT_SCHEMA = T.StructType.fromDDL(
+DRIFT_REPORT_SCHEMA = _struct(
     "reference_split STRING, comparison_split STRING, feature STRING, feature_type STRING, psi DOUBLE, "
     "secondary_metric_name STRING, secondary_metric DOUBLE, secondary_pvalue DOUBLE, "
     "reference_missing_rate DOUBLE, comparison_missing_rate DOUBLE, missing_rate_delta DOUBLE, "
     "reference_mean DOUBLE, comparison_mean DOUBLE, reference_top_value STRING, comparison_top_value STRING, "
     "severity STRING, severity_rank INT, is_reference_comparison BOOLEAN"
 )
-SHAP_SUMMARY_SCHEMA = T.StructType.fromDDL(
+SHAP_SUMMARY_SCHEMA = _struct(
     "rank INT, feature STRING, feature_type STRING, mean_abs_shap DOUBLE, mean_shap DOUBLE, "
     "positive_impact_share DOUBLE, normalized_importance_pct DOUBLE, impact_direction STRING"
 )

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -17,6 +18,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -33,3 +35,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="holdfast-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write the frame to the shared checkpoint folder and read it back.
+
+    It cuts the lineage, survives lost executors, and later readers scan only the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/holdfast-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
