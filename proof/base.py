@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.functions.numeric import even_round
-from holdfast.operators import marts, priority, recommend, snapshot
+from holdfast.operators import features, marts, priority, recommend, snapshot
 from holdfast.operators.lifecycle import prediction_band
 from holdfast.session import materialize
 from holdfast.sources.sample_tables import SAMPLE_DATES, SampleTables
@@ -128,6 +128,11 @@ class Tables(SampleTables):
         )
 
 
+    @cached_property
+    def engineered(self) -> DataFrame:
+        return self._stored("engineered_panel", lambda: features.engineer(self.panel))
+
+
 Build = Callable[[Tables], DataFrame]
 QUERIES: dict[str, Build] = {}
 ORACLES: dict[str, str] = {}
@@ -447,6 +452,21 @@ mart AS (
     c.estimated_income_band, c.digital_profile, c.price_sensitivity_score, c.service_sensitivity_score, c.digital_engagement_score,
     c.loyalty_score, c.claim_propensity_score, a.agency_type, g.region, g.urbanicity
   FROM snap s JOIN lab l USING (observation_date, customer_id) JOIN cust c USING (customer_id)
-  JOIN agency a ON a.agency_id = c.home_agency_id JOIN geo g ON g.geography_id = c.geography_id)
+  JOIN agency a ON a.agency_id = c.home_agency_id JOIN geo g ON g.geography_id = c.geography_id),
+eng AS (
+  SELECT *, {ev("date_diff('day', birth_date, observation_date) / 365.25e0", 2)} AS customer_age_years,
+    greatest(date_diff('day', acquisition_date, observation_date), 0) AS customer_lifetime_days, year(observation_date) AS observation_year,
+    month(observation_date) AS observation_month, quarter(observation_date) AS observation_quarter,
+    coalesce(total_annual_premium / nullif(active_policy_count, 0), 0) AS premium_per_policy,
+    coalesce(total_claim_amount_12m / nullif(total_claims_12m, 0), 0) AS claim_amount_per_claim_12m,
+    coalesce(CAST(payment_incidents_6m AS DOUBLE) / nullif(active_policy_count, 0), 0) AS payment_incident_rate_per_policy,
+    coalesce(CAST(complaints_6m AS DOUBLE) / nullif(interactions_3m, 0), 0) AS complaint_rate_per_interaction,
+    digital_engagement_score - email_open_rate_6m AS digital_engagement_gap,
+    customer_value_score - price_sensitivity_score AS value_minus_price_sensitivity,
+    coalesce(1 - CASE WHEN renewal_days_min IS NOT NULL THEN least(greatest(renewal_days_min, 0), 365) END / 365, 0) AS renewal_urgency_score,
+    CASE WHEN renewal_days_min IS NULL OR renewal_days_min <= -1 THEN 'NO_ACTIVE_POLICY' WHEN renewal_days_min <= 30 THEN '0_30_DAYS'
+      WHEN renewal_days_min <= 90 THEN '31_90_DAYS' WHEN renewal_days_min <= 180 THEN '91_180_DAYS'
+      WHEN renewal_days_min <= 365 THEN '181_365_DAYS' ELSE 'NO_NEAR_RENEWAL' END AS renewal_window
+  FROM mart)
 """.strip()
 
