@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.numeric import number
 from holdfast.operators.prefix import exact_quantiles, prefix_sums
 from holdfast.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, REPORT_SPLIT_ORDER, SPLIT_COLUMN, TARGET_COLUMN
+from holdfast.session import materialize
 
 EPSILON = 1e-6
 MISSING = "__MISSING__"
@@ -76,13 +77,18 @@ def ks_pvalue(distance: Column, n: Column, m: Column) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0)))
 
 
+def _rows_where(condition: Column) -> Column:
+    """Counts as ``count(when)``: unlike ``count_if`` it plans the same in every branch, so shuffles are reused."""
+    return F.count(F.when(condition, 1))
+
+
 def numeric_profile(df: DataFrame, features: Sequence[str], splits: Sequence[str]) -> DataFrame:
     """(feature, value, n_0, n_1, ...): rows per split of each distinct value, nulls as a value of their own."""
     long = df.select(SPLIT_COLUMN, *[number(c).alias(c) for c in features]).unpivot(
         [SPLIT_COLUMN], list(features), "feature", "value"
     )
     return long.groupBy("feature", "value").agg(
-        *[F.count_if(F.col(SPLIT_COLUMN) == s).alias(f"n_{i}") for i, s in enumerate(splits)]
+        *[_rows_where(F.col(SPLIT_COLUMN) == s).alias(f"n_{i}") for i, s in enumerate(splits)]
     )
 
 
@@ -92,8 +98,8 @@ def categorical_profile(df: DataFrame, features: Sequence[str], splits: Sequence
         [SPLIT_COLUMN], list(features), "feature", "raw"
     )
     return long.groupBy("feature", F.coalesce("raw", F.lit(MISSING)).alias("value")).agg(
-        *[F.count_if(F.col(SPLIT_COLUMN) == s).alias(f"n_{i}") for i, s in enumerate(splits)],
-        *[F.count_if((F.col(SPLIT_COLUMN) == s) & F.col("raw").isNull()).alias(f"null_{i}") for i, s in enumerate(splits)],
+        *[_rows_where(F.col(SPLIT_COLUMN) == s).alias(f"n_{i}") for i, s in enumerate(splits)],
+        *[_rows_where((F.col(SPLIT_COLUMN) == s) & F.col("raw").isNull()).alias(f"null_{i}") for i, s in enumerate(splits)],
     )
 
 
@@ -173,13 +179,18 @@ def _missing_rate(i: int) -> Column:
 def numeric_rows(
     df: DataFrame, features: Sequence[str], splits: Sequence[str], pairs: Sequence[tuple[str, str]], target: str | None
 ) -> DataFrame:
+    """Report rows of the numeric features and the target.
+
+    Writes the grouped profile and its ranked form to the checkpoint folder (two jobs): every measure reads
+    them, so the data itself is scanned once.
+    """
     index = {s: i for i, s in enumerate(splits)}
     numbered = [(index[r], index[c]) for r, c in pairs]
     columns = list(features) + ([target] if target else [])
-    profile = numeric_profile(df, columns, splits)
+    profile = materialize(numeric_profile(df, columns, splits), "numeric_profile")
     totals = numeric_totals(profile, len(splits))
     measures = [f"n_{i}" for i in range(len(splits))]
-    ranked = prefix_sums(profile.filter(F.col("value").isNotNull()), "value", measures, ["feature"])
+    ranked = materialize(prefix_sums(profile.filter(F.col("value").isNotNull()), "value", measures, ["feature"]), "ranked_profile")
     edges = decile_edges(ranked, sorted({r for r, _ in numbered}))
     edge_counts = edges.groupBy("feature").agg(
         F.map_from_entries(F.collect_list(F.struct("ref", F.size("edges").alias("k")))).alias("_edge_counts")

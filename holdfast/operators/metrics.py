@@ -46,7 +46,7 @@ def threshold_metrics(scores: DataFrame, threshold: float, label: str = "label",
 def score_profile(scores: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """(split_name, score, pos, neg, below_pos, below_neg): grouped scores with the classes below each."""
     grouped = scores.groupBy(SPLIT_COLUMN, F.col(score).cast("double").alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
+        F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) == 0, 1)).alias("neg")
     )
     return prefix_sums(grouped, "score", ["pos", "neg"], [SPLIT_COLUMN])
 

@@ -13,15 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = 128
 _STEP = 16
 
 
-def _bucket(value: Column, edges: Column, buckets: int) -> Column:
+def _bucket(value: Column, edges: Column) -> Column:
     """Number of edges not above the value: a coarse pass over every 16th edge, then 15 fine ones."""
-    steps = F.sequence(F.lit(_STEP), F.lit(buckets - 1), F.lit(_STEP))
-    coarse = F.size(F.filter(F.transform(steps, lambda i: F.element_at(edges, i)), lambda e: e <= value))
-    fine = F.slice(edges, coarse * _STEP + 1, F.lit(_STEP - 1))
+    coarse = F.size(F.filter(edges["coarse"], lambda e: e <= value))
+    fine = F.slice(edges["every"], coarse * _STEP + 1, F.lit(_STEP - 1))
     return coarse * _STEP + F.size(F.filter(fine, lambda e: e <= value))
 
 
@@ -36,16 +35,22 @@ def prefix_sums(
     ``buckets`` entries per key: they are broadcast, or a scalar subquery when there is no key.
     """
     by = list(keys)
+    # The joins below imply these filters; stating them first keeps every branch's shuffle identical, so it is reused.
+    grouped = grouped.filter(" AND ".join(f"{c} IS NOT NULL" for c in (*by, value)))
     number = F.col(value).cast("double")
-    probabilities = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    listed = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     # The filter is always true; it keeps the measures in this branch so that all branches read one shuffle.
     balanced = grouped.filter(" AND ".join(f"{m} >= 0" for m in measures))
-    edges = F.percentile_approx(number, probabilities, 20 * buckets).alias("_edges")
+    sketch = balanced.groupBy(*by).agg(
+        F.expr(f"percentile_approx(CAST({value} AS DOUBLE), array({listed}), {20 * buckets}) AS every")
+    )
+    every_16th = F.expr(f"transform(sequence({_STEP}, {buckets - 1}, {_STEP}), i -> element_at(every, i))")
+    edges = sketch.select(*by, F.struct("every", every_16th.alias("coarse")).alias("_edges"))
     if by:
-        with_edges = grouped.join(F.broadcast(balanced.groupBy(*by).agg(edges)), by)
+        with_edges = grouped.join(F.broadcast(edges), by)
     else:
-        with_edges = grouped.withColumn("_edges", balanced.agg(edges).scalar())
-    placed = with_edges.withColumn("_bucket", _bucket(number, F.col("_edges"), buckets)).drop("_edges")
+        with_edges = grouped.withColumn("_edges", edges.scalar())
+    placed = with_edges.withColumn("_bucket", _bucket(number, F.col("_edges"))).drop("_edges")
     totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
