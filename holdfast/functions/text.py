@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -32,17 +32,25 @@ def _fold_rules() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(source), "".join(target), tuple(longer)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and use it many times in ``body`` without repeating its expression tree."""
+    return F.transform(F.array(value), body)[0]
+
+
 def fold_accents(c: Column | str) -> Column:
-    """Strip accents. One ``translate`` pass; characters that expand to several are a guarded rare path."""
+    """Strip accents: combining marks go, then one ``translate`` pass. Texts with a character that expands to
+    several (ligatures and the like) take a guarded rare path over their characters."""
     value = F.col(c) if isinstance(c, str) else c
     source, target, longer = _fold_rules()
-    marks_gone = F.when(value.rlike(r"\p{M}"), F.regexp_replace(value, r"\p{M}+", "")).otherwise(value)
-    plain = F.translate(marks_gone, source, target)
-    expanded = plain
-    for char, folded in longer:
-        expanded = F.replace(expanded, F.lit(char), F.lit(folded))
-    has_longer = plain.rlike("[" + "".join(char for char, _ in longer) + "]")
-    return F.when(has_longer, expanded).otherwise(plain)
+    plain = F.translate(F.regexp_replace(value, r"\p{M}+", ""), source, target)
+    expansions = F.create_map(*[F.lit(x) for pair in longer for x in pair])
+    rare = "[" + "".join(char for char, _ in longer) + "]"
+
+    def expand(text: Column) -> Column:
+        spelled = F.transform(F.split(text, ""), lambda char: F.coalesce(F.try_element_at(expansions, char), char))
+        return F.when(text.rlike(rare), F.array_join(spelled, "")).otherwise(text)
+
+    return let(plain, expand)
 
 
 def normalise(c: Column | str) -> Column:
@@ -63,9 +71,12 @@ def words(c: Column | str, stop_words: Sequence[str] = ()) -> Column:
 
 def with_bigrams(tokens: Column) -> Column:
     """The tokens followed by every pair of neighbours."""
-    following = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
-    leading = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0)))
-    return F.concat(tokens, F.zip_with(leading, following, lambda a, b: F.concat(a, F.lit(" "), b)))
+    def pairs(words_: Column) -> Column:
+        count = F.greatest(F.size(words_) - 1, F.lit(0))
+        joined = F.zip_with(F.slice(words_, F.lit(1), count), F.slice(words_, F.lit(2), count), lambda a, b: F.concat(a, F.lit(" "), b))
+        return F.concat(words_, joined)
+
+    return let(tokens, pairs)
 
 
 def preview(c: Column | str, length: int = 700) -> Column:

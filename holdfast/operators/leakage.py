@@ -80,12 +80,15 @@ def repeated_customers_finding(df: DataFrame) -> DataFrame:
 
 
 def proxy_candidates(df: DataFrame, features: Sequence[str]) -> list[str]:
-    """Features worth the exact proxy test: a one-row sketch (an action) drops those with far too many values."""
+    """Features worth the exact proxy test: a sketch per feature (an action with one row each) drops those with far
+    too many values."""
     present = [f for f in features if f in df.columns]
     if not present:
         return []
-    row = df.agg(*[F.approx_count_distinct(F.col(f).cast("string"), 0.02).alias(f) for f in present]).first()
-    return [f for f in present if row[f] <= _SKETCH_CUT]
+    long = df.select(*[F.col(f).cast("string").alias(f) for f in present]).unpivot([], present, "feature", "value")
+    rows = long.groupBy("feature").agg(F.approx_count_distinct("value").alias("n")).filter(F.col("n") <= _SKETCH_CUT).collect()
+    few = {r.feature for r in rows}
+    return [f for f in present if f in few]
 
 
 def perfect_proxies(df: DataFrame, features: Sequence[str], target: str = TARGET_COLUMN) -> DataFrame:

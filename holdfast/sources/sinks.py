@@ -57,7 +57,7 @@ def merged(
 def upsert_predictions(spark: SparkSession, new: DataFrame, root: str, partition: str = "split_name") -> str:
     """Merge predictions into a versioned Parquet table and return the new version's path.
 
-    Readers follow the ``_CURRENT`` pointer, so the version being read is never overwritten and a lost
+    Readers follow the ``CURRENT`` pointer, so the version being read is never overwritten and a lost
     executor or a failed job leaves the old version in place. Only partitions named by the new rows are
     merged; the others are carried over unchanged.
     """
@@ -73,16 +73,16 @@ def upsert_predictions(spark: SparkSession, new: DataFrame, root: str, partition
         rows = merged(old.join(touched, partition, "left_semi"), stamped).unionByName(old.join(touched, partition, "left_anti"))
     typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema("churn_prediction").fields])
     typed.write.mode("overwrite").partitionBy(partition).parquet(target)
-    _write_text(spark, f"{root}/_CURRENT", target)
+    _write_text(spark, f"{root}/CURRENT", target)
     return target
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     from holdfast.sources.tables import path_exists
 
-    if not path_exists(spark, f"{root}/_CURRENT"):
+    if not path_exists(spark, f"{root}/CURRENT"):
         return None
-    return spark.read.option("wholetext", True).text(f"{root}/_CURRENT").first().value.strip()
+    return spark.read.option("wholetext", True).text(f"{root}/CURRENT").first().value.strip()
 
 
 def read_predictions(spark: SparkSession, root: str) -> DataFrame:
