@@ -44,11 +44,12 @@ def fold_accents(c: Column | str) -> Column:
     source, target, longer = _fold_rules()
     plain = F.translate(F.regexp_replace(value, r"\p{M}+", ""), source, target)
     expansions = F.create_map(*[F.lit(x) for pair in longer for x in pair])
-    rare = "[" + "".join(char for char, _ in longer) + "]"
+    rare = "".join(char for char, _ in longer)
 
     def expand(text: Column) -> Column:
         spelled = F.transform(F.split(text, ""), lambda char: F.coalesce(F.try_element_at(expansions, char), char))
-        return F.when(text.rlike(rare), F.array_join(spelled, "")).otherwise(text)
+        # Deleting the rare characters is a much faster test than a regex class of them.
+        return F.when(F.translate(text, rare, "") != text, F.array_join(spelled, "")).otherwise(text)
 
     return let(plain, expand)
 

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.session import materialize
+
 DEFAULT_BUCKETS = 128
 _STEP = 16
 
@@ -124,9 +126,13 @@ def spread_lookup(
 
 
 def average_percent_rank(rows: DataFrame, value: str, alias: str, spread_on: Sequence[str]) -> DataFrame:
-    """Average rank over the row count, the percentile rank of pandas. ``value`` must not be null."""
+    """Average rank over the row count, the percentile rank of pandas. ``value`` must not be null.
+
+    The ranks of the distinct values are written to the checkpoint folder (one job), because the lookup reads
+    them twice and should not rank twice.
+    """
     counts = rows.groupBy(value).agg(F.count(F.lit(1)).alias("_cnt"))
     total = counts.agg(F.sum("_cnt").alias("_n")).scalar()
-    ranked = prefix_sums(counts, value, ["_cnt"])
     share = (F.col("below__cnt") + (F.col("_cnt") + 1) / F.lit(2.0)) / total
-    return spread_lookup(rows, ranked.select(value, "_cnt", share.alias(alias)), value, "_cnt", [alias], spread_on)
+    ranked = materialize(prefix_sums(counts, value, ["_cnt"]).select(value, "_cnt", share.alias(alias)), "ranks")
+    return spread_lookup(rows, ranked, value, "_cnt", [alias], spread_on)
