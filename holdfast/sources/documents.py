@@ -18,10 +18,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """
     if not path_exists(spark, folder):
         return spark.createDataFrame([], _SCHEMA)
-    files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.{md,txt,MD,TXT,Md,Txt}").text(folder)
-    )
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.{md,txt,MD,TXT,Md,Txt}")
     path = F.col("_metadata.file_path")
     text = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
     return (

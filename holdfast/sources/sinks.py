@@ -82,7 +82,7 @@ def current_version(spark: SparkSession, root: str) -> str | None:
 
     if not path_exists(spark, f"{root}/CURRENT"):
         return None
-    return spark.read.option("wholetext", True).text(f"{root}/CURRENT").first().value.strip()
+    return spark.read.text(f"{root}/CURRENT", wholetext=True).first().value.strip()
 
 
 def read_predictions(spark: SparkSession, root: str) -> DataFrame:
