@@ -11,19 +11,35 @@ from holdfast.functions.numeric import fixed_text, number
 from holdfast.schemas import CATEGORICAL_FEATURES
 
 
-def linear_contributions(df: DataFrame, weights: Mapping[str, float], means: Mapping[str, float], keys: Sequence[str]) -> DataFrame:
-    """Exact Shapley values of a linear model, one column per feature: w * (x - E[x]). Missing values count as the mean."""
+Levels = Mapping[str, Mapping[str, float]]
+
+
+def _level_weight(feature: str, levels: Mapping[str, float]) -> Column:
+    """Weight of the row's level; a level the model has not seen weighs nothing."""
+    entries = [F.lit(x) for pair in levels.items() for x in pair]
+    if not entries:
+        return F.lit(0.0)
+    return F.coalesce(F.try_element_at(F.create_map(*entries), F.col(feature).cast("string")), F.lit(0.0))
+
+
+def linear_contributions(
+    df: DataFrame, weights: Mapping[str, float], means: Mapping[str, float], keys: Sequence[str], levels: Levels | None = None,
+) -> DataFrame:
+    """Exact Shapley values of a linear model, one column per feature: w * (x - E[x]), and for a categorical
+    feature the weight of its level less the mean level weight. Missing numbers count as the mean."""
     parts = [
         (F.lit(float(w)) * (F.coalesce(number(f), F.lit(float(means[f]))) - F.lit(float(means[f])))).alias(f)
         for f, w in weights.items()
     ]
+    parts += [(_level_weight(f, w) - F.lit(float(means[f]))).alias(f) for f, w in (levels or {}).items()]
     return df.select(*keys, *parts)
 
 
-def feature_means(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
-    """Feature means as literals (an action with one row)."""
-    row = df.agg(*[F.coalesce(F.avg(number(f)), F.lit(0.0)).alias(f) for f in features]).first()
-    return row.asDict()
+def feature_means(df: DataFrame, features: Sequence[str], levels: Levels | None = None) -> dict[str, float]:
+    """Means of the numeric features and of the level weights as literals (an action with one row)."""
+    averages = [F.coalesce(F.avg(number(f)), F.lit(0.0)).alias(f) for f in features]
+    averages += [F.coalesce(F.avg(_level_weight(f, w)), F.lit(0.0)).alias(f) for f, w in (levels or {}).items()]
+    return df.agg(*averages).first().asDict()
 
 
 def long_contributions(wide: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:

@@ -132,10 +132,11 @@ def run_training(store: Store, config: model.TrainingConfig = model.TrainingConf
     sinks.write_csv(metrics.confusion_cells(scores, config.threshold), store.path("reports/confusion_matrix_by_split"))
     sinks.write_csv(metrics.threshold_grid(scores.filter("split_name = 'test'")), store.path("reports/threshold_tradeoff_grid"))
     linear = model.logistic_pipeline(numeric, categorical).fit(prepared.filter("split_name = 'train'"))
-    weights = model.linear_weights(linear, numeric)
+    weights, levels = model.linear_weights(linear, numeric), model.level_weights(linear, numeric, categorical)
     train = prepared.filter("split_name = 'train'")
-    contributions = explain.linear_contributions(train, weights, explain.feature_means(train, numeric), ["customer_id"])
-    importance = materialize(explain.summarize(contributions, numeric), "importance")
+    means = explain.feature_means(train, numeric, levels)
+    contributions = explain.linear_contributions(train, weights, means, ["customer_id"], levels)
+    importance = materialize(explain.summarize(contributions, [*numeric, *categorical]), "importance")
     sinks.write_csv(importance, store.path("reports/shap_summary"))
     sinks.write_json_report(
         explain.explanation_report(importance, evaluated, config.model_name, run_id, "exact linear contributions"),

@@ -282,6 +282,16 @@ def test_importance_summary(spark):
     assert explain.driver_lines(explain.summarize(wide, ["a", "b"]), 1).first().driver == "a: increases_churn_risk (50.0%)"
 
 
+def test_contributions_sum_to_the_margin(spark):
+    """Contributions plus the mean margin give each row's linear score."""
+    rows = spark.createDataFrame([("a", 1.0, "x"), ("b", 3.0, "y"), ("c", None, "z")], "id STRING, n DOUBLE, c STRING")
+    weights, levels = {"n": 2.0}, {"c": {"x": 0.5, "y": -1.0}}
+    means = explain.feature_means(rows, ["n"], levels)
+    got = {r.id: r.n + r.c for r in explain.linear_contributions(rows, weights, means, ["id"], levels).collect()}
+    base = 2.0 * means["n"] + means["c"]
+    assert {k: pytest.approx(v + base) for k, v in got.items()} == {"a": 2.5, "b": 5.0, "c": 4.0}
+
+
 # --- snapshot, quality, retrieval ----------------------------------------------------------------
 
 def test_windows_are_inclusive_at_both_ends(spark):
