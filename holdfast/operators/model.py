@@ -10,7 +10,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,23 +87,32 @@ def train_gbt(
 
 def grid_search(
     prepared: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES,
-    config: TrainingConfig = TrainingConfig(), grid: dict[str, Sequence] = GRID, train_ratio: float = 0.75,
-) -> TrainValidationSplitModel:
-    """Grid search over size, rate and depth by ROC AUC on held-out training rows."""
+    config: TrainingConfig = TrainingConfig(), grid: dict[str, Sequence] = GRID,
+) -> tuple[PipelineModel, list[tuple[dict[str, float], float]]]:
+    """Search over size, rate and depth on the temporal split: fit on train, compare by ROC AUC on validation.
+
+    Returns the best model and every (parameters, AUC). The loop is over the fixed grid; each fit is distributed.
+    """
+    ensure_checkpoint_dir(prepared.sparkSession)
     pipeline = gbt_pipeline(numeric, categorical, config)
     trees = pipeline.getStages()[-1]
     space = (
         ParamGridBuilder().addGrid(trees.maxIter, list(grid["iterations"]))
         .addGrid(trees.stepSize, list(grid["learning_rate"])).addGrid(trees.maxDepth, list(grid["depth"])).build()
     )
-    search = TrainValidationSplit(
-        estimator=pipeline, estimatorParamMaps=space, trainRatio=train_ratio, seed=config.seed,
-        evaluator=BinaryClassificationEvaluator(labelCol=TARGET_COLUMN, rawPredictionCol="rawPrediction"),
-    )
     rows = prepared.filter(F.col(SPLIT_COLUMN).isin("train", "validation")).withColumn(
         "is_validation", F.col(SPLIT_COLUMN) == "validation"
     )
-    return search.fit(rows)
+    held_out = rows.filter("is_validation")
+    judge = BinaryClassificationEvaluator(labelCol=TARGET_COLUMN, rawPredictionCol="rawPrediction")
+    best, results = None, []
+    for choice in space:
+        fitted = pipeline.fit(rows, choice)
+        auc = judge.evaluate(fitted.transform(held_out))
+        results.append(({p.name: v for p, v in choice.items()}, auc))
+        if best is None or auc > best[1]:
+            best = (fitted, auc)
+    return best[0], results
 
 
 def positive_probability() -> Column:

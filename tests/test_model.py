@@ -21,3 +21,13 @@ def test_linear_contributions_reproduce_the_margin(tables):
     total = sum((F.col(f) for f in numeric + categorical), F.lit(base))
     gap = parts.join(margin, ["observation_date", "customer_id"]).agg(F.max(F.abs(total - F.col("margin"))).alias("gap")).first().gap
     assert gap < 1e-9
+
+
+def test_grid_search_picks_the_best_validation_auc(tables):
+    numeric, categorical = ["tenure_months", "complaints_6m"], ["customer_segment"]
+    fills = preprocess.FillValues(numeric, categorical).fit(tables.panel.filter("split_name = 'train'"))
+    grid = {"iterations": (2,), "learning_rate": (0.05,), "depth": (1, 2)}
+    best, results = model.grid_search(fills.transform(tables.panel), numeric, categorical, model.TrainingConfig(min_rows_per_leaf=5), grid)
+    assert len(results) == 2 and all(0.0 <= auc <= 1.0 for _, auc in results)
+    depth = max(results, key=lambda r: r[1])[0]["maxDepth"]
+    assert best.stages[-1].getOrDefault("maxDepth") == depth
