@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm import line_rules
+from holdfast.llm import line_rules, simhash
 from holdfast.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,8 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 def op4_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return line_rules.apply_rules(docs, line_rules.fit_line_field(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
