@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bit_slices, bpe, line_rules, packing, simhash
+from holdfast.llm import bit_slices, bpe, language, line_dedup, line_rules, packing, simhash
 from holdfast.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,32 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.remove_boilerplate(read_table(spark, sf_dir, "documents"), counts=("n_lines", "n_removed"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op1_line_dedup"] = """
+WITH l AS (
+    SELECT d.doc_id, d.source, g.pos, d.lines[g.pos] AS line, trim(d.lines[g.pos], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS body
+    FROM (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL) d,
+        LATERAL (SELECT unnest(range(1, len(d.lines) + 1)) AS pos) g
+), shared AS (
+    SELECT body, min(doc_id) AS first FROM l WHERE body <> '' GROUP BY body HAVING count(DISTINCT source) >= 8
+), marked AS (
+    SELECT l.*, s.first IS NOT NULL AND l.doc_id > s.first AS gone FROM l LEFT JOIN shared s ON l.body = s.body
+), cut AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS kept FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed, sha256(coalesce(c.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN cut c ON d.doc_id = c.doc_id
+"""

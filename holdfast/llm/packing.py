@@ -86,7 +86,7 @@ class WordTokens:
         if len(self._known) > KEPT_WORDS:
             self._known.clear()
         known = self._known
-        new = list(set().union(*words) - known.keys())
+        new = [w for w in set().union(*words) if w not in known]
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
             found = self._tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
