@@ -215,14 +215,14 @@ def apply_rules(docs: DataFrame, field: LineField, share: float = 0.5) -> DataFr
     return id_and_text(docs).mapInArrow(judge, SCHEMA)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int) -> DataFrame:
-    """(doc_id, label, text) of at most ``per_class`` documents of each class 0 and 1, chosen by a hash of the id."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, zeros: int, ones: int) -> DataFrame:
+    """(doc_id, label, text) of at most ``zeros`` and ``ones`` documents of class 0 and 1, chosen by a hash of the id."""
     known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[column].cast("int").alias("label"))
     known = known.filter("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"))
     picked = [
-        known.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)
+        known.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in ((0, zeros), (1, ones))
     ]
-    # At most twice per_class short rows, by the limits above.
+    # At most zeros + ones short rows, by the limits above.
     return id_and_text(docs).join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("doc_id", "label", "text")
 
 
@@ -241,6 +241,6 @@ def fit_line_field(docs: DataFrame, labels: DataFrame, per_class: int = 400, lin
                 [batch.column("doc_id"), batch.column("label"), pa.array(bits, pa.list_(pa.int32()))], ["doc_id", "label", "bits"]
             )
 
-    sample = labelled_sample(docs, labels, "quality", per_class).mapInArrow(extract, "doc_id long, label int, bits array<int>")
+    sample = labelled_sample(docs, labels, "quality", per_class, per_class).mapInArrow(extract, "doc_id long, label int, bits array<int>")
     rows = sorted((r.doc_id, r.label, r.bits) for r in sample.collect())
     return LineField().fit([(bits, 1 - label) for _, label, bits in rows])
