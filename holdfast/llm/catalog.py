@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bit_slices, bpe, language, line_dedup, line_rules, packing, quality_model, simhash
+from holdfast.llm import bit_slices, bpe, interpolation, language, line_dedup, line_rules, packing, quality_model, simhash
 from holdfast.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,8 @@ FROM documents d LEFT JOIN cut c ON d.doc_id = c.doc_id
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_model.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "posterior", "score", "kept")
+
+
+@query
+def op9_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score_documents(read_table(spark, sf_dir, "documents"))
