@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bit_slices, bpe, interpolation, language, line_dedup, line_rules, packing, quality_model, simhash
+from holdfast.llm import bit_slices, bpe, interpolation, language, line_dedup, line_rules, packing, quality_model, simhash, suffix_dedup
 from holdfast.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
