@@ -11,6 +11,8 @@ The work is one pass over the documents without a shuffle; a worker keeps the pi
 from __future__ import annotations
 
 import json
+import re
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -27,6 +29,12 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?=\p{White_Space}|$)|\p{White_Space}+"
 )
+#: The same split for texts of ASCII and Latin-1 letters only, without properties and so much faster.
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ \t-\r0-9{_LETTERS}]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+"
+)
+_OTHER = re.compile("[^\x00-\x1b\x20-\x7fªµºÀ-ÖØ-öø-ÿ]")
 KEPT_PIECES = 400_000
 
 
@@ -54,19 +62,25 @@ class ByteBpe:
         self.special = {a["content"]: a["id"] for a in added}
         for s, i in self.special.items():
             self.bytes[i] = s.encode()
-        self.longest = max(map(len, self.ids))
         self.size = size
+        #: How long a token with these first four bytes may be.
+        self.reach: dict[bytes, int] = {}
+        for b in self.ids:
+            if len(b) >= 4:
+                self.reach[b[:4]] = max(len(b), self.reach.get(b[:4], 0))
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.left, self.right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         self.rank = np.full(size, -1, np.int64)
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[int, int] = {}  # rank by left * size + right
+        self.made: list[int] = []
         for r, (a, b) in enumerate(pairs):
             x, y, z = vocab[a], vocab[b], vocab[a + b]
-            self.merges[x, y] = (r, z)
+            self.merges[x * size + y] = r
+            self.made.append(z)
             self.left[z], self.right[z], self.rank[z] = x, y, r
-        keys = np.array([x * size + y for x, y in self.merges], np.int64)
+        keys, ranks = np.array(list(self.merges), np.int64), np.array(list(self.merges.values()), np.int64)
         order = np.argsort(keys)
-        self._keys, self._ranks = keys[order], np.array([r for r, _ in self.merges.values()], np.int64)[order]
+        self._keys, self._ranks = keys[order], ranks[order]
         # A token proposed on its own must be what its bytes merge into: no other merge comes first inside it.
         made = np.flatnonzero(self.rank >= 0)
         self.whole = np.ones(size, bool)
@@ -76,7 +90,7 @@ class ByteBpe:
             self.whole[t] &= self.whole[self.left[t]] and self.whole[self.right[t]]
         self._split = regex.compile(PATTERN)
         self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._known: dict[str, bytes] = {}  # ids as little-endian 32-bit numbers
 
     def _boundary_holds(self, x: np.ndarray, y: np.ndarray, before_x: np.ndarray, before_y: np.ndarray) -> np.ndarray:
         """Whether no merge across the boundary of x and y precedes the merges that take up x or y.
@@ -110,24 +124,28 @@ class ByteBpe:
 
     def propose(self, piece: bytes) -> list[int]:
         """Greedy longest match. Every single byte is a token."""
-        out, i, n = [], 0, len(piece)
+        out, i, n, get, reach = [], 0, len(piece), self.ids.get, self.reach.get
         while i < n:
-            j = min(n, i + self.longest)
-            while (t := self.ids.get(piece[i:j])) is None:
+            j = i + reach(piece[i : i + 4], 3)
+            while (t := get(piece[i:j])) is None:
                 j -= 1
             out.append(t)
-            i = j
+            i = min(j, n)
         return out
 
     def merge(self, piece: bytes) -> list[int]:
         """Exact merging: the pair of lowest rank first, the leftmost of equals."""
+        size, rank_of, never = self.size, self.merges.get, len(self.made)
         parts = [self.ids[piece[i : i + 1]] for i in range(len(piece))]
-        while len(parts) > 1:
-            best = min(((m[0], i) for i, p in enumerate(zip(parts, parts[1:], strict=False)) if (m := self.merges.get(p))), default=None)
-            if best is None:
-                break
-            i = best[1]
-            parts[i : i + 2] = [self.merges[parts[i], parts[i + 1]][1]]
+        ranks = [rank_of(a * size + b, never) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks and (best := min(ranks)) < never:
+            i = ranks.index(best)
+            parts[i : i + 2] = [self.made[best]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank_of(parts[i] * size + parts[i + 1], never)
+            if i:
+                ranks[i - 1] = rank_of(parts[i - 1] * size + parts[i], never)
         return parts
 
     def learn(self, pieces: Iterable[str]) -> None:
@@ -145,24 +163,21 @@ class ByteBpe:
         failing = set(owner[inside[bad]].tolist()) | set(owner[~self.whole[flat]].tolist())
         for i in failing:
             guesses[i] = self.merge(raw[i])
-        self._known.update(zip(new, map(tuple, guesses), strict=True))
+        self._known.update((p, struct.pack(f"<{len(g)}i", *g)) for p, g in zip(new, guesses, strict=True))
+
+    def split(self, text: str) -> list[str]:
+        return (self._split if _OTHER.search(text) else _PLAIN).findall(text)
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text as little-endian 32-bit numbers."""
         cut = [self._special.split(t) if self._special and "<|" in t else [t] for t in texts]
-        found = [[p if p in self.special else self._split.findall(p) for p in parts] for parts in cut]
+        found = [[p if p in self.special else self.split(p) for p in parts] for parts in cut]
         if len(self._known) > KEPT_PIECES:
             self._known.clear()
         self.learn(set(chain.from_iterable(p for parts in found for p in parts if isinstance(p, list))))
-        known, out = self._known, []
-        for parts in found:
-            ids: list[int] = []
-            for p in parts:
-                if isinstance(p, list):
-                    ids.extend(chain.from_iterable(map(known.__getitem__, p)))
-                else:
-                    ids.append(self.special[p])
-            out.append(ids)
-        return out
+        known = self._known.__getitem__
+        special = {s: struct.pack("<i", i) for s, i in self.special.items()}
+        return [b"".join(b"".join(map(known, p)) if isinstance(p, list) else special[p] for p in parts) for parts in found]
 
     def decode_one(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -183,8 +198,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         bpe = vocabulary(path)
         for batch in slices(batches, most=2 << 20):
             ids = bpe.encode_all([t or "" for t in batch.column("text").to_pylist()])
-            flat = np.fromiter(chain.from_iterable(ids), np.int32)
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            flat = np.frombuffer(b"".join(ids), "<i4")
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32) // 4
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
 
