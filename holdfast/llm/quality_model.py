@@ -15,6 +15,7 @@ from functools import lru_cache
 from itertools import product
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -195,12 +196,23 @@ def learn_stems(docs: DataFrame, labels: DataFrame, bad: int = 1500, fine: int =
     return np.array(sorted(r.stem for r in counted.filter("bad >= 10 AND bad > 20 * fine").collect()), np.int64)
 
 
-def classify(docs: DataFrame, labels: DataFrame, sample: int = 12_000, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, votes, posterior, score, kept) for every row of ``docs``; kept if the scorer gives at least ``threshold``.
+class Judge:
+    """What was learned: abusive stems, posteriors by vote pattern and the weights of the scorer."""
 
-    The scorer is fitted on about ``sample`` documents, chosen by a hash. A null text or one without words scores 0
-    and is not kept. Equal texts are judged alike; repeated rows stay. Further columns are left out.
-    """
+    def __init__(self, stems: np.ndarray, posterior: dict[int, float], weights: np.ndarray):
+        self.stems, self.posterior, self.weights = stems, posterior, weights
+
+    def of(self, text: bytes | None) -> tuple[int | None, float | None, float]:
+        """(votes, posterior, score); a text without words scores 0."""
+        if not text or not text.split():
+            return None, None, 0.0
+        pattern, buckets = document(text, self.stems)
+        margin = np.clip(self.weights[buckets].sum(dtype=np.float64), -30, 30)
+        return pattern, self.posterior[pattern], float(1 / (1 + np.exp(-margin)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> Judge:
+    """Learn from ``docs``; the scorer from about ``sample`` of them, chosen by a hash."""
     plain = id_and_text(docs)
     stems = learn_stems(plain, labels)
 
@@ -232,18 +244,33 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = 12_000, threshold
     flat = np.concatenate([flat[ends[i] : ends[i + 1]] for i in order]) if len(order) else flat
     weights = fit_scorer(flat, np.concatenate(([0], np.cumsum(sizes))), target[order]).astype(np.float32)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return Judge(stems, posterior, weights)
+
+
+def classify(docs: DataFrame, labels: DataFrame, sample: int = 12_000, threshold: float = 0.5) -> DataFrame:
+    """(doc_id, votes, posterior, score, kept) for every row of ``docs``; kept if the scorer gives at least ``threshold``.
+
+    A null text or one without words scores 0 and is not kept. Equal texts are judged alike; repeated rows stay.
+    Further columns are left out.
+    """
+    judge = fit(docs, labels, sample)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = []
-            for text in as_bytes(batch.column("text")):
-                if not text or not text.split():
-                    out.append((None, None, 0.0, False))
-                    continue
-                pattern, buckets = document(text, stems)
-                score = float(1 / (1 + np.exp(-np.clip(weights[buckets].sum(dtype=np.float64), -30, 30))))
-                out.append((pattern, posterior[pattern], score, score >= threshold))
+            out = [(*x, x[2] >= threshold) for x in map(judge.of, as_bytes(batch.column("text")))]
             types = [pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
             columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "votes", "posterior", "score", "kept"])
 
-    return plain.mapInArrow(judge, "doc_id long, votes long, posterior double, score double, kept boolean")
+    return id_and_text(docs).mapInArrow(run, "doc_id long, votes long, posterior double, score double, kept boolean")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, sample: int = 12_000, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that :func:`classify` keeps."""
+    judge = fit(docs.select("doc_id", F.col(text_col).alias("text")), labels, sample)
+
+    @F.pandas_udf("boolean")
+    def good(text: pd.Series) -> pd.Series:
+        return pd.Series([judge.of(None if t is None else t.encode())[2] >= threshold for t in text])
+
+    return docs.filter(good(F.col(text_col).cast("string")))
