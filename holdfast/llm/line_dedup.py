@@ -10,6 +10,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdfast.session import materialize
 
@@ -44,7 +45,7 @@ def widespread(lines: DataFrame, sites: int) -> DataFrame:
     return materialize(sure.unionByName(settled), "boilerplate")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
     def cut(t: str | None, positions: list[int] | None) -> str | None:
         if t is None or positions is None:
