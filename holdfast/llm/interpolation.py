@@ -134,7 +134,7 @@ def fit_weights(cells: np.ndarray, times: np.ndarray, retained: float, vocabular
 
 
 def score_documents(
-    docs: DataFrame, folds: int = 7, test_fold: int = 2, deleted_fold: int = 3, block_bytes: int = 12 << 20
+    docs: DataFrame, folds: int = 7, test_fold: int = 2, deleted_fold: int = 3, block_bytes: int = 4 << 20
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
@@ -147,7 +147,7 @@ def score_documents(
     rows = id_and_text(docs)
     size, count = rows.agg(F.sum(F.octet_length("text") + 32), F.count(F.lit(1))).first()
     batches = max(1, -(-int(size or count or 1) // block_bytes))
-    digits = (batches - 1).bit_length()
+    digits = (-(-batches // 4) - 1).bit_length()
     batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches).cast("long"))
     dealt = rows.select(batch.alias("batch"), "doc_id", bucket_of("doc_id", folds).alias("fold"), "text")
     ask_names = [c.split()[0] for c in _ASK.split(", ")]

@@ -18,6 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +70,12 @@ def document_point(ids: np.ndarray, projection: np.ndarray) -> np.ndarray:
 
 
 class WordTokens:
-    """Ids by the tokenizers library, kept by word: the tokenizer drops white space and never looks across it."""
+    """Ids by the tokenizers library, kept by word: the tokenizer drops white space and never looks across it.
+
+    It also splits letters from what is not a letter and ends the last token of every such part with a mark, so many
+    words of letters can be encoded as one text and a full stop or comma behind a word by itself. Capital ASCII
+    letters are lowered first, as the tokenizer does, unless a combining mark could join one or a special token occur.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -78,20 +84,55 @@ class WordTokens:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for s, i in vocabulary.items() if s.endswith("</w>")]] = True
         self._known: dict[bytes, bytes] = {}
 
-    def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """Unsigned little-endian 16-bit ids of every text."""
-        words = [t.split() for t in texts]
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u2").tobytes() for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self._tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u2")
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(words):
+            return self._encode(words)
+        raw, at = ids.tobytes(), (2 * ends).tolist()
+        return [raw[i:j] for i, j in zip([0, *at], at, strict=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        known = self._known
+        for at in range(0, len(words), 2000):
+            part = [(w, w.decode()) for w in words[at : at + 2000]]
+            letters = [x for x in part if x[1].isalpha()]
+            others = [x for x in part if not x[1].isalpha()]
+            for chosen, encode in ((letters, self._encode_letters), (others, self._encode)):
+                if chosen:
+                    known.update(zip([w for w, _ in chosen], encode([s for _, s in chosen]), strict=True))
+
+    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's begin (with the end of all)."""
+        low = pa.array([t if b"\xcc" in t or b"\xcd" in t or b"<|" in t else t.lower() for t in texts], pa.string())
+        parts = pc.ascii_split_whitespace(low)
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
         if len(self._known) > KEPT_WORDS:
             self._known.clear()
         known = self._known
-        new = [w for w in set().union(*words) if w not in known]
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            found = self._tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u2").tobytes()) for w, e in zip(part, found, strict=True))
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        known[b""] = b""
+        new = [w for w in words if w not in known]
+        closed = [w for w in new if w[-1:] in (b".", b",") and w[:-1].isalpha()]  # ASCII letters and one sign
+        wanted = {*new, *(w[:-1] for w in closed), b".", b","}.difference(closed)
+        self._learn([w for w in wanted if w not in known])
+        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in closed)
+        raw = [known[w] for w in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 2
+        starts = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        many = sizes[at]
+        ends = np.concatenate(([0], np.cumsum(many)))
+        place = np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], many)
+        return np.frombuffer(b"".join(raw), "<u2")[place], ends[parts.offsets.to_numpy()]
 
 
 @lru_cache(maxsize=2)
@@ -105,7 +146,8 @@ def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, projection, end = word_tokens(path), token_projection(), np.array([end_id], "<u2").tobytes()
         for batch in slices(batches):
-            ids = [x + end for x in tokens.encode_all([t or b"" for t in as_bytes(batch.column("text"))])]
+            flat, edges = tokens.encode_all([t or b"" for t in as_bytes(batch.column("text"))])
+            ids = [flat[i:j].tobytes() + end for i, j in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
             points = np.array([document_point(np.frombuffer(x, "<u2"), projection) for x in ids])
             key = hilbert_keys(np.minimum(points * (1 << BITS), (1 << BITS) - 1), BITS) << SPREAD
             n = pa.array([len(x) // 2 for x in ids], pa.int64())
