@@ -30,7 +30,8 @@ def bucket_of(column: str, modulus: int) -> Column:
 
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, one object per row."""
-    return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()
+    column = column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary())
+    return (column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)).tolist()
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,9 @@ from holdfast.llm.common import as_bytes, id_and_text, slices
 from holdfast.session import materialize
 
 DIMENSIONS, BITS, BUCKETS, SPREAD = 4, 10, 512, 23
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_000_000
+#: ASCII signs but the apostrophe, which may begin a contraction.
+_SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != 39)
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -73,7 +75,7 @@ class WordTokens:
     """Ids by the tokenizers library, kept by word: the tokenizer drops white space and never looks across it.
 
     It also splits letters from what is not a letter and ends the last token of every such part with a mark, so many
-    words of letters can be encoded as one text and a full stop or comma behind a word by itself. Capital ASCII
+    words of letters can be encoded as one text and signs behind a word by themselves. Capital ASCII
     letters are lowered first, as the tokenizer does, unless a combining mark could join one or a special token occur.
     """
 
@@ -101,30 +103,41 @@ class WordTokens:
         return [raw[i:j] for i, j in zip([0, *at], at, strict=False)]
 
     def _learn(self, words: list[bytes]) -> None:
+        """Add words; one of letters with signs behind it is put together from its two parts."""
         known = self._known
-        for at in range(0, len(words), 2000):
-            part = [(w, w.decode()) for w in words[at : at + 2000]]
-            letters = [x for x in part if x[1].isalpha()]
-            others = [x for x in part if not x[1].isalpha()]
-            for chosen, encode in ((letters, self._encode_letters), (others, self._encode)):
-                if chosen:
-                    known.update(zip([w for w, _ in chosen], encode([s for _, s in chosen]), strict=True))
+        letters: dict[bytes, str] = {}
+        others: dict[bytes, str] = {}
+        joined = []
+        for w in words:
+            stem = w.rstrip(_SIGNS)
+            text = stem.decode()
+            if not text.isalpha():
+                others[w] = w.decode()
+                continue
+            if stem not in known:
+                letters[stem] = text
+            if len(stem) < len(w):
+                tail = w[len(stem) :]
+                joined.append((w, stem, tail))
+                if tail not in known:
+                    others[tail] = tail.decode()
+        for chosen, encode in ((letters, self._encode_letters), (others, self._encode)):
+            keys, texts = list(chosen), list(chosen.values())
+            for at in range(0, len(keys), 2000):
+                known.update(zip(keys[at : at + 2000], encode(texts[at : at + 2000]), strict=True))
+        known.update((w, known[stem] + known[tail]) for w, stem, tail in joined)
 
     def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's begin (with the end of all)."""
         low = pa.array([t if b"\xcc" in t or b"\xcd" in t or b"<|" in t else t.lower() for t in texts], pa.string())
         parts = pc.ascii_split_whitespace(low)
         coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         if len(self._known) > KEPT_WORDS:
             self._known.clear()
         known = self._known
         known[b""] = b""
-        new = [w for w in words if w not in known]
-        closed = [w for w in new if w[-1:] in (b".", b",") and w[:-1].isalpha()]  # ASCII letters and one sign
-        wanted = {*new, *(w[:-1] for w in closed), b".", b","}.difference(closed)
-        self._learn([w for w in wanted if w not in known])
-        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in closed)
+        self._learn([w for w in words if w not in known])
         raw = [known[w] for w in words]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 2
         starts = np.cumsum(sizes) - sizes
