@@ -35,7 +35,7 @@ def main() -> None:
         "table_volumes": lambda: _run(quality.table_volumes({"policy": t.fact_policy, "payment": t.fact_payment, "interaction": t.fact_interaction})),
         "customer_snapshot": lambda: _run(snapshot.build_snapshot(t.dim_customer, SAMPLE_DATES, **t.facts())),
         "store_snapshot": lambda: t.wide,
-        "retention_queue": lambda: _run(priority.ordered_queue(priority.score(t.candidates), 500)),
+        "retention_queue": lambda: _run(priority.ordered_queue(priority.score(t.candidates))),
         "store_queue": lambda: t.queue,
         "store_engineered_panel": lambda: t.engineered,
         "drift_report": lambda: _run(drift.analyze(t.engineered)),

@@ -9,27 +9,36 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Blocks whose letters decompose to a plain base: Latin-1 to Latin Extended-B, Greek and Cyrillic,
-# Latin Extended Additional and Greek Extended, letter-like symbols, ligatures, full-width forms.
-_FOLDED_BLOCKS = ((0x00A0, 0x0250), (0x0370, 0x0530), (0x1E00, 0x2000), (0x2070, 0x2190), (0xFB00, 0xFB07), (0xFF01, 0xFF5F))
+# Hangul syllables decompose by arithmetic into a leading consonant, a vowel and, mostly, a trailing consonant.
+_SYLLABLES = (0xAC00, 0xD7A4)
+_LEADS = "".join(map(chr, range(0x1100, 0x1113)))
+_VOWELS = "".join(map(chr, range(0x1161, 0x1176)))
+_TRAILS = "".join(map(chr, range(0x11A8, 0x11C3)))
 
 
 @lru_cache(maxsize=1)
 def _fold_rules() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Compatibility decomposition without combining marks, split into 1:1 and 1:n rules."""
-    source, target, longer = [], [], []
-    for first, last in _FOLDED_BLOCKS:
-        for code in range(first, last):
-            char = chr(code)
-            folded = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-            if folded == char or not folded:
-                continue
-            if len(folded) == 1:
-                source.append(char)
-                target.append(folded)
-            else:
-                longer.append((char, folded))
-    return "".join(source), "".join(target), tuple(longer)
+    """Compatibility decomposition of every character without marks of a combining class, as 1:1 and 1:n rules.
+
+    Marks stand at the end of the source without a target, so that ``translate`` deletes them. Vowel signs have no
+    combining class and stay.
+    """
+    source, target, longer, marks = [], [], [], []
+    for code in range(0xA0, 0x30000):
+        if 0xD800 <= code < 0xE000 or _SYLLABLES[0] <= code < _SYLLABLES[1]:
+            continue
+        char = chr(code)
+        folded = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        if folded == char:
+            continue
+        if not folded:
+            marks.append(char)
+        elif len(folded) == 1:
+            source.append(char)
+            target.append(folded)
+        else:
+            longer.append((char, folded))
+    return "".join(source + marks), "".join(target), tuple(longer)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -38,16 +47,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def fold_accents(c: Column | str) -> Column:
-    """Strip accents: combining marks go, then one ``translate`` pass. Texts with a character that expands to
-    several (ligatures and the like) take a guarded rare path over their characters."""
+    """Strip accents in one ``translate`` pass. Texts with a character that expands to several (ligatures, Hangul
+    and the like) take a guarded rare path over their characters."""
     value = F.col(c) if isinstance(c, str) else c
     source, target, longer = _fold_rules()
-    plain = F.translate(F.regexp_replace(value, r"\p{M}+", ""), source, target)
+    plain = F.translate(value, source, target)
     expansions = F.create_map(*[F.lit(x) for pair in longer for x in pair])
-    rare = "".join(char for char, _ in longer)
+    rare = "".join(char for char, _ in longer) + "".join(map(chr, range(*_SYLLABLES)))
+
+    def spell(char: Column) -> Column:
+        place = F.ascii(char) - _SYLLABLES[0]
+        lead = F.substring(F.lit(_LEADS), (place / 588).cast("int") + 1, F.lit(1))
+        vowel = F.substring(F.lit(_VOWELS), (place % 588 / 28).cast("int") + 1, F.lit(1))
+        trail = F.when(place % 28 > 0, F.substring(F.lit(_TRAILS), place % 28, F.lit(1))).otherwise("")
+        return F.when(place.between(0, 11171), F.concat(lead, vowel, trail)).otherwise(F.coalesce(F.try_element_at(expansions, char), char))
 
     def expand(text: Column) -> Column:
-        spelled = F.transform(F.split(text, ""), lambda char: F.coalesce(F.try_element_at(expansions, char), char))
+        spelled = F.transform(F.split(text, ""), spell)
         # Deleting the rare characters is a much faster test than a regex class of them.
         return F.when(F.translate(text, rare, "") != text, F.array_join(spelled, "")).otherwise(text)
 

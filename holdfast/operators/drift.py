@@ -305,15 +305,16 @@ def summary_counts(report: DataFrame) -> DataFrame:
     ).select(pairs.alias("total_comparisons"), "*")
 
 
-def top_drift(report: DataFrame, n: int = 15) -> DataFrame:
+def top_drift(report: DataFrame, n: int) -> DataFrame:
     return reference_rows(report).select(
         "reference_split", "comparison_split", "feature", "feature_type", "psi", "secondary_metric",
         "missing_rate_delta", "severity", "severity_rank",
     ).orderBy(F.desc("severity_rank"), F.desc("psi"), "feature", "comparison_split").limit(n).drop("severity_rank")
 
 
-def dashboard_rows(report: DataFrame, level: str, n: int = 30) -> DataFrame:
-    """First ``n`` reference rows of one severity, in report order."""
-    return reference_rows(report).filter(F.col("severity") == level).orderBy(
+def dashboard_rows(report: DataFrame, level: str, n: int | None = None) -> DataFrame:
+    """All reference rows of one severity, in report order; only the first ``n`` if given."""
+    rows = reference_rows(report).filter(F.col("severity") == level).orderBy(
         F.desc("severity_rank"), F.desc("psi"), "feature", "comparison_split"
-    ).limit(n)
+    )
+    return rows if n is None else rows.limit(n)

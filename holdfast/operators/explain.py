@@ -90,7 +90,7 @@ def rank_importance(rows: DataFrame) -> DataFrame:
 
 
 def explanation_report(
-    summary: DataFrame, metrics: DataFrame | None, model_name: str, run_id: str | None, method: str, top_n: int = 20,
+    summary: DataFrame, metrics: DataFrame | None, model_name: str, run_id: str | None, method: str, top_n: int,
     target: str = "churn_label",
 ) -> DataFrame:
     """One nested row: the top features, metrics by split and how to read the measures."""
@@ -114,7 +114,7 @@ def explanation_report(
     return report.withColumn("metrics_by_split", listed)
 
 
-def driver_lines(summary: DataFrame, top_n: int = 5) -> DataFrame:
+def driver_lines(summary: DataFrame, top_n: int) -> DataFrame:
     """``feature: direction (x.x%)`` lines of the most important features."""
     share = fixed_text("normalized_importance_pct", 1)
     return summary.filter(F.col("rank") <= top_n).select(

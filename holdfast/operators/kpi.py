@@ -12,6 +12,7 @@ from holdfast.operators.marts import queue_with_recommendations
 from holdfast.operators.preprocess import split_rank
 from holdfast.schemas import REPORT_SPLIT_ORDER
 
+# The columns of the two listings.
 _PRIORITY_LISTING = (
     "customer_id", "first_name", "last_name", "split_name", "region", "agency_name", "main_product_family",
     "priority_tier", "priority_score", "churn_probability", "expected_saved_value", "recommended_action_type",
@@ -45,31 +46,31 @@ def churn_rates(labels: DataFrame, order: Sequence[str] = REPORT_SPLIT_ORDER) ->
     return rates.orderBy(split_rank(order), "split_name")
 
 
-def priority_clients(queue: DataFrame, by: Sequence[str] = ("region",), limit: int = 20) -> DataFrame:
-    """Clients, mean probability and saved value by the given columns and tier."""
+def priority_clients(queue: DataFrame, by: Sequence[str] = ("region",)) -> DataFrame:
+    """Clients, mean probability and saved value by the given columns and tier, every group."""
     keys = [*by, "priority_tier"]
     return queue.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("clients"), _mean("churn_probability", 6, 4).alias("avg_churn_probability"),
         _money("expected_saved_value").alias("expected_saved_value"),
-    ).orderBy(F.desc("expected_saved_value"), F.desc("clients"), *keys).limit(limit)
+    ).orderBy(F.desc("expected_saved_value"), F.desc("clients"), *keys)
 
 
-def action_distribution(recommendations: DataFrame, limit: int = 20) -> DataFrame:
+def action_distribution(recommendations: DataFrame) -> DataFrame:
     keys = ["recommended_action_type", "recommended_channel"]
     return recommendations.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("recommendations"), _mean("priority_score", 2, 2).alias("avg_priority_score"),
         _mean("churn_probability", 6, 4).alias("avg_churn_probability"),
-    ).orderBy(F.desc("recommendations"), F.desc("avg_priority_score"), *keys).limit(limit)
+    ).orderBy(F.desc("recommendations"), F.desc("avg_priority_score"), *keys)
 
 
-def weekly_contacts(queue: DataFrame, recommendations: DataFrame, as_of: Column, limit: int = 20) -> DataFrame:
+def weekly_contacts(queue: DataFrame, recommendations: DataFrame, as_of: Column) -> DataFrame:
     """Customers scored since Monday per agency, with the approved share of their recommendations."""
     fresh = queue.filter(F.col("scored_at") >= week_start(as_of))
     approved = F.when(F.col("human_review_status") == "APPROVED", 1).otherwise(0)
     return queue_with_recommendations(fresh, recommendations).groupBy("agency_name", "region").agg(
         F.count(F.lit(1)).alias("customers_to_contact"), _mean("churn_probability", 6, 4).alias("avg_churn_probability"),
         F.round(F.sum(approved).cast("decimal(28,10)") / F.count(F.lit(1)), 4).alias("approved_action_rate"),
-    ).orderBy(F.desc("customers_to_contact"), F.desc("avg_churn_probability"), "agency_name", "region").limit(limit)
+    ).orderBy(F.desc("customers_to_contact"), F.desc("avg_churn_probability"), "agency_name", "region")
 
 
 def customer_count(customers: DataFrame, approximate: bool = False) -> DataFrame:
@@ -77,13 +78,13 @@ def customer_count(customers: DataFrame, approximate: bool = False) -> DataFrame
     return customers.agg(count("customer_id").alias("total_customers"))
 
 
-def top_priority_clients(queue: DataFrame, limit: int = 5) -> DataFrame:
+def top_priority_clients(queue: DataFrame, limit: int) -> DataFrame:
     return queue.select(*_PRIORITY_LISTING).orderBy(
         F.desc("priority_score"), F.desc("expected_saved_value"), F.desc("churn_probability"), "customer_id", "split_name"
     ).limit(limit)
 
 
-def top_recommendations(recommendations: DataFrame, limit: int = 5) -> DataFrame:
+def top_recommendations(recommendations: DataFrame, limit: int) -> DataFrame:
     return recommendations.select(*_RECOMMENDATION_LISTING).orderBy(
         F.desc("priority_score"), F.desc("expected_saved_value"), F.desc("churn_probability"), "recommendation_id"
     ).limit(limit)

@@ -14,7 +14,6 @@ from holdfast.schemas import ALWAYS_EXCLUDED, FEATURE_COLUMNS, LABEL_ONLY_COLUMN
 
 FORBIDDEN = LABEL_ONLY_COLUMNS + ALWAYS_EXCLUDED
 MAX_PROXY_VALUES = 20
-_SKETCH_CUT = 64
 
 
 def _finding(check: str, status: Column, severity: Column, details: dict[str, Column]) -> list[Column]:
@@ -79,18 +78,6 @@ def repeated_customers_finding(df: DataFrame) -> DataFrame:
     ))
 
 
-def proxy_candidates(df: DataFrame, features: Sequence[str]) -> list[str]:
-    """Features worth the exact proxy test: a sketch per feature (an action with one row each) drops those with far
-    too many values."""
-    present = [f for f in features if f in df.columns]
-    if not present:
-        return []
-    long = df.select(*[F.col(f).cast("string").alias(f) for f in present]).unpivot([], present, "feature", "value")
-    rows = long.groupBy("feature").agg(F.approx_count_distinct("value").alias("n")).filter(F.col("n") <= _SKETCH_CUT).collect()
-    few = {r.feature for r in rows}
-    return [f for f in present if f in few]
-
-
 def perfect_proxies(df: DataFrame, features: Sequence[str], target: str = TARGET_COLUMN) -> DataFrame:
     """Features with 2 to 20 values (null counts as one) that fix the target completely, as (feature, value_count)."""
     present = [f for f in features if f in df.columns]
@@ -108,9 +95,8 @@ def perfect_proxies(df: DataFrame, features: Sequence[str], target: str = TARGET
 
 def proxy_finding(df: DataFrame, features: Sequence[str], target: str = TARGET_COLUMN) -> DataFrame:
     check = "low_cardinality_features_not_perfect_target_proxy"
-    candidates = proxy_candidates(df, features)
-    if candidates:
-        found = perfect_proxies(df, candidates, target).agg(F.array_sort(F.collect_set("feature")).alias("f"))
+    if any(f in df.columns for f in features):
+        found = perfect_proxies(df, features, target).agg(F.array_sort(F.collect_set("feature")).alias("f"))
     else:
         found = df.sparkSession.range(1).select(F.array().cast("array<string>").alias("f"))
     return found.select(*_finding(

@@ -6,11 +6,10 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import band, even_round, number
-from holdfast.operators.prefix import prefix_sums
 from holdfast.operators.snapshot import DIGITAL_CHANNELS, LATE_STATUSES
 
 # Months per payment frequency and days per month of an instalment.
@@ -122,14 +121,12 @@ def policy_events(policies: DataFrame) -> DataFrame:
     ).select("policy_id", "customer_id", "product_id", "_e.*")
 
 
-def raise_positive_rate(
-    labels: DataFrame, minimum_rate: float = 0.10, target_rate: float = 0.12, seed: int = 42,
-) -> DataFrame:
-    """Flip negatives to positive until each split reaches the target, by weighted sampling without replacement.
+def sample_negatives(labels: DataFrame, minimum_rate: float, target_rate: float, seed: int = 42) -> DataFrame:
+    """(split_name, observation_date, customer_id) of negatives drawn by weighted sampling without replacement.
 
-    A row's key is ln(u)/w, the logarithm of the classic u^(1/w) (which underflows for small weights), with u
-    drawn from a digest of its identity. The top ``needed`` keys per split win. Their ranks come from
-    distributed prefix sums, so no split is ever sorted in one task.
+    Per split as many as would lift the positive rate to the target where it lies below the minimum; labels stay as
+    they are. A row's key is ln(u)/w, the logarithm of the classic u^(1/w) (which underflows for small weights), with
+    u drawn from a digest of its identity; the largest keys win. The rank limit cuts inside every task.
     """
     weight = F.greatest(number("churn_probability"), F.lit(0.001))
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("observation_date").cast("string"), F.col("customer_id")))
@@ -144,28 +141,10 @@ def raise_positive_rate(
         F.when(F.col("_positives") >= floor_count, F.lit(0))
         .otherwise(F.least(wanted - F.col("_positives"), F.col("_rows") - F.col("_positives"))).alias("_needed"),
     )
-    key = (F.ln(u) / weight).alias("_key")
-    negatives = labels.filter(F.col("churn_label") == 0).select(
-        "split_name", "observation_date", "customer_id", (-key).alias("_order"), F.lit(1).alias("_one")
-    )
-    chosen = (
-        prefix_sums(negatives, "_order", ["_one"], ["split_name"], ["customer_id", "observation_date"])
-        .join(F.broadcast(needs), "split_name")
-        .filter(F.col("below__one") < F.col("_needed"))
-        .select("observation_date", "customer_id", F.lit(True).alias("_flip"))
-    )
-    delay = (F.conv(F.substring(digest, 13, 8), 16, 10).cast("long") % (F.col("prediction_horizon_days") - 6) + 7).cast("int")
-    flip = F.col("_flip").isNotNull()
-    changed = {
-        "churn_label": F.when(flip, 1).otherwise(F.col("churn_label")),
-        "churn_date": F.when(flip, F.date_add("observation_date", delay)).otherwise(F.col("churn_date")),
-        "customer_lifecycle_status": F.when(flip, "CHURNED_WITHIN_HORIZON").otherwise(F.col("customer_lifecycle_status")),
-        "churn_probability": F.when(flip, F.greatest(number("churn_probability"), F.lit(0.10)))
-        .otherwise(number("churn_probability")),
-        "churn_risk_band": F.when(flip & (F.col("churn_risk_band") == "LOW"), "MEDIUM").otherwise(F.col("churn_risk_band")),
-    }
-    joined = labels.join(chosen, ["observation_date", "customer_id"], "left")
-    return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in labels.columns])
+    most = needs.agg(F.max("_needed")).first()[0] or 0
+    order = Window.partitionBy("split_name").orderBy(F.desc(F.ln(u) / weight), "customer_id", "observation_date")
+    placed = labels.filter(F.col("churn_label") == 0).withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= most)
+    return placed.join(needs, "split_name").filter(F.col("_place") <= F.col("_needed")).select("split_name", "observation_date", "customer_id")
 
 
 def prediction_band(probability: Column) -> Column:

@@ -175,8 +175,8 @@ def rows_of_features(report: DataFrame, features: DataFrame) -> DataFrame:
     return report.join(features.select("feature"), "feature", "left_semi")
 
 
-def agencies_by_customers(customer: DataFrame, agency: DataFrame, geography: DataFrame, limit: int = 10) -> DataFrame:
-    """Agencies with the most customers. Customers are counted per agency before any join."""
+def agencies_by_customers(customer: DataFrame, agency: DataFrame, geography: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` agencies with the most customers. Customers are counted per agency before any join."""
     counted = customer.groupBy(F.col("home_agency_id").alias("agency_id")).agg(F.count(F.lit(1)).alias("_n"))
     return (
         counted.join(agency, "agency_id").join(geography.select("geography_id", "region"), "geography_id")
@@ -185,7 +185,7 @@ def agencies_by_customers(customer: DataFrame, agency: DataFrame, geography: Dat
     )
 
 
-def contacts_this_week(recommendations: DataFrame, customer: DataFrame, agency: DataFrame, as_of: Column, limit: int = 20) -> DataFrame:
+def contacts_this_week(recommendations: DataFrame, customer: DataFrame, agency: DataFrame, as_of: Column) -> DataFrame:
     """Recommendations created since Monday per agency, with the approved share."""
     from holdfast.functions.dates import week_start
 
@@ -198,5 +198,5 @@ def contacts_this_week(recommendations: DataFrame, customer: DataFrame, agency:
         .groupBy("agency_name").agg(
             F.sum("_n").alias("contacted_customers"), (F.sum("_approved") / F.sum("_n")).alias("approved_action_rate"),
         )
-        .orderBy(F.desc("contacted_customers"), "agency_name").limit(limit)
+        .orderBy(F.desc("contacted_customers"), "agency_name")
     )

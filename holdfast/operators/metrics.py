@@ -170,17 +170,17 @@ def top_k_metrics(
 ) -> DataFrame:
     """Precision, recall, gain and lift among the K best scores per split (a measure the reference only plans).
 
-    Equal scores are ordered by ``ids``. Ranks come from distributed prefix sums over the falling score.
+    Equal scores are ordered by ``ids``. Only the largest K rows of a split leave a task, so a constant score is no
+    hot key.
     """
-    ranked = prefix_sums(
-        scores.select(SPLIT_COLUMN, *ids, F.col(label).alias("_y"), (-F.col(score).cast("double")).alias("_order"), F.lit(1).alias("_one")),
-        "_order", ["_one"], [SPLIT_COLUMN], list(ids),
-    )
+    rows = scores.select(SPLIT_COLUMN, *ids, F.col(label).alias("_y"), F.col(score).cast("double").alias("_score"))
+    rows = rows.filter(F.col(SPLIT_COLUMN).isNotNull() & F.col("_score").isNotNull())
     positive = F.col("_y") == 1
-    hits = ranked.groupBy(SPLIT_COLUMN).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count_if(positive).alias("_pos"),
-        *[F.count_if(positive & (F.col("below__one") < k)).alias(f"_h{i}") for i, k in enumerate(ks)],
-    )
+    order = Window.partitionBy(SPLIT_COLUMN).orderBy(F.desc("_score"), *ids)
+    best = rows.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= max(ks))
+    found = best.groupBy(SPLIT_COLUMN).agg(*[F.count_if(positive & (F.col("_place") <= k)).alias(f"_h{i}") for i, k in enumerate(ks)])
+    totals = rows.groupBy(SPLIT_COLUMN).agg(F.count(F.lit(1)).alias("_rows"), F.count_if(positive).alias("_pos"))
+    hits = totals.join(found, SPLIT_COLUMN)
     entries = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_h{i}").alias("hits")) for i, k in enumerate(ks)])
     rows = hits.select(SPLIT_COLUMN, "_rows", "_pos", F.explode(entries).alias("_e")).select(SPLIT_COLUMN, "_rows", "_pos", "_e.*")
     precision = _ratio(F.col("hits"), F.least(F.col("k"), F.col("_rows")))

@@ -52,7 +52,7 @@ def _features(numeric: Sequence[str], categorical: Sequence[str], one_hot: bool)
 
 def gbt_pipeline(
     numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES,
-    config: TrainingConfig = TrainingConfig(), max_bins: int = 64,
+    config: TrainingConfig = TrainingConfig(), max_bins: int = 32,
 ) -> Pipeline:
     """Boosted trees over indexed categoricals; rows flagged ``is_validation`` stop the boosting early.
 
@@ -73,6 +73,14 @@ def logistic_pipeline(numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Se
     return Pipeline(stages=[*_features(numeric, categorical, one_hot=True), linear])
 
 
+def bins_for(rows: DataFrame, categorical: Sequence[str]) -> int:
+    """Enough bins for the category with the most levels, one more for unseen ones; 32 at least."""
+    if not categorical:
+        return 32
+    levels = rows.agg(*[F.count_distinct(c).alias(c) for c in categorical]).first()
+    return max(32, max(levels) + 2)
+
+
 def train_gbt(
     prepared: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES,
     config: TrainingConfig = TrainingConfig(),
@@ -82,7 +90,7 @@ def train_gbt(
     rows = prepared.filter(F.col(SPLIT_COLUMN).isin("train", "validation")).withColumn(
         "is_validation", F.col(SPLIT_COLUMN) == "validation"
     )
-    return gbt_pipeline(numeric, categorical, config).fit(rows)
+    return gbt_pipeline(numeric, categorical, config, bins_for(rows, categorical)).fit(rows)
 
 
 def grid_search(
@@ -94,7 +102,7 @@ def grid_search(
     Returns the best model and every (parameters, AUC). The loop is over the fixed grid; each fit is distributed.
     """
     ensure_checkpoint_dir(prepared.sparkSession)
-    pipeline = gbt_pipeline(numeric, categorical, config)
+    pipeline = gbt_pipeline(numeric, categorical, config, bins_for(prepared, categorical))
     trees = pipeline.getStages()[-1]
     space = (
         ParamGridBuilder().addGrid(trees.maxIter, list(grid["iterations"]))

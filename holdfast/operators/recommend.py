@@ -61,11 +61,12 @@ def strategy_catalog(spark: SparkSession) -> DataFrame:
     )
 
 
-def queue_for_review(queue: DataFrame, limit: int = 500, tiers: Sequence[str] = ("CRITICAL", "HIGH", "MEDIUM")) -> DataFrame:
-    """The best rows of the given tiers."""
-    return queue.filter(F.col("priority_tier").isin(*tiers)).orderBy(
+def queue_for_review(queue: DataFrame, limit: int | None = None, tiers: Sequence[str] = ("CRITICAL", "HIGH", "MEDIUM")) -> DataFrame:
+    """All rows of the given tiers, best first; only the first ``limit`` if one is given."""
+    ordered = queue.filter(F.col("priority_tier").isin(*tiers)).orderBy(
         F.desc("priority_score"), F.desc("expected_saved_value"), "customer_id", "observation_date"
-    ).limit(limit)
+    )
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def with_strategy(queue: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
@@ -133,6 +134,7 @@ def contact_drafts(recommendations: DataFrame) -> DataFrame:
         for c, d in defaults.items()
     }
     keys = [c for c in ("recommendation_id", "customer_id") if c in recommendations.columns]
+    # The draft's wording.
     body = F.concat(
         F.lit("Hello "), field["first_name"], F.lit(" "), field["last_name"], F.lit(",\n\n"),
         F.lit("We would like to review your policy with you to make sure your coverage still matches your current needs.\n\n"),

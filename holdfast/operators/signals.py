@@ -117,7 +117,7 @@ def feature_label(feature: Column) -> Column:
     return chain.otherwise(F.replace(feature, F.lit("_"), F.lit(" ")))
 
 
-def customer_drivers(profiles: DataFrame, summary: DataFrame, top: int = 8) -> DataFrame:
+def customer_drivers(profiles: DataFrame, summary: DataFrame, top: int) -> DataFrame:
     """The top global drivers with each customer's own value; ``summary`` has one row per feature.
 
     The driver names are few (at most ``top`` rows), so they are joined to an unpivot of the profile that is

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.operators import (
-    drift, explain, features, leakage, lifecycle, marts, metrics, model, preprocess, priority, quality, recommend, selection, snapshot,
+    drift, explain, features, leakage, marts, metrics, model, preprocess, priority, quality, recommend, selection, snapshot,
 )
 from holdfast.schemas import TABLE_NAMES, TABLE_RULES
 from holdfast.session import materialize
@@ -66,9 +66,9 @@ def check_integrity(store: Store, names: Sequence[str]) -> DataFrame:
 
 
 def build_snapshots(
-    store: Store, dates: snapshot.Dates = snapshot.SNAPSHOT_DATES, minimum_rate: float | None = None, seed: int = 42
+    store: Store, dates: snapshot.Dates = snapshot.SNAPSHOT_DATES
 ) -> tuple[DataFrame, DataFrame]:
-    """Snapshot and label tables from the stored facts in one pass; ``minimum_rate`` tops up the positive labels."""
+    """Snapshot and label tables from the stored facts in one pass."""
     facts = {
         "policies": "fact_policy", "products": "dim_product", "payments": "fact_payment", "claims": "fact_claim",
         "interactions": "fact_interaction", "cases": "fact_customer_service", "campaigns": "fact_campaign_contact",
@@ -78,8 +78,6 @@ def build_snapshots(
         store.read("dim_customer"), dates, **{k: store.read(t) for k, t in facts.items()}
     ), "wide_snapshot")
     labels = snapshot.label_table(wide)
-    if minimum_rate is not None:
-        labels = lifecycle.raise_positive_rate(labels, minimum_rate, max(minimum_rate, 0.12), seed)
     store.write("customer_360_snapshot", snapshot.snapshot_table(wide))
     store.write("churn_label", labels)
     return store.read("customer_360_snapshot"), store.read("churn_label")
@@ -96,7 +94,7 @@ def run_drift(store: Store) -> DataFrame:
     """The drift report as CSV and its summary as JSON."""
     report = materialize(drift.analyze(features.engineer(training_panel(store))), "drift_report")
     sinks.write_csv(report, store.path("reports/churn_drift_report"))
-    top = drift.top_drift(report).agg(F.collect_list(F.struct("*"))).scalar()
+    top = drift.top_drift(report, 15).agg(F.collect_list(F.struct("*"))).scalar()
     sinks.write_json_report(drift.summary_counts(report).withColumn("top_drift_features", top), store.path("reports/churn_drift_summary"))
     return report
 
@@ -139,7 +137,7 @@ def run_training(store: Store, config: model.TrainingConfig = model.TrainingConf
     importance = materialize(explain.summarize(contributions, [*numeric, *categorical]), "importance")
     sinks.write_csv(importance, store.path("reports/shap_summary"))
     sinks.write_json_report(
-        explain.explanation_report(importance, evaluated, config.model_name, run_id, "exact linear contributions"),
+        explain.explanation_report(importance, evaluated, config.model_name, run_id, "exact linear contributions of the logistic surrogate", 20),
         store.path("reports/shap_agent_report"),
     )
     rows = model.prediction_rows(scores, config.threshold, config.model_name, run_id)
@@ -160,8 +158,8 @@ def run_queue(store: Store, splits: Sequence[str] = ("test", "backtest"), top_n:
     return stored
 
 
-def run_recommendations(store: Store, limit: int = 500) -> DataFrame:
-    """Recommendations for the head of the queue."""
+def run_recommendations(store: Store, limit: int | None = None) -> DataFrame:
+    """Recommendations for every queue row of the review tiers, or for the first ``limit``."""
     chosen = recommend.queue_for_review(store.read("retention_priority_queue"), limit)
     store.write("retention_recommendation", quality.with_defaults(recommend.recommend(chosen), stamps=["created_at"]))
     stored = store.read("retention_recommendation")

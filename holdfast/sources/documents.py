@@ -19,7 +19,8 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     if not path_exists(spark, folder):
         return spark.createDataFrame([], _SCHEMA)
     files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.{md,txt,MD,TXT,Md,Txt}")
-    path = F.col("_metadata.file_path")
+    # The reader gives paths percent-encoded; a plus sign in a name stands for itself.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     text = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
     return (
         files.select(path.alias("path"), text.alias("text")).filter(F.col("text") != "")

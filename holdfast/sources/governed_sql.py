@@ -13,7 +13,6 @@ BLOCKED_WORDS = frozenset({
     "alter", "analyze", "call", "copy", "create", "delete", "drop", "execute", "grant", "insert", "merge", "refresh",
     "reindex", "replace", "revoke", "truncate", "update", "vacuum",
 })
-DEFAULT_LIMIT = 200
 
 
 @dataclass(frozen=True)
@@ -23,11 +22,12 @@ class CappedResult:
     dataframe: DataFrame
     sql: str
     limit: int
+    probe: DataFrame
 
     def counted(self) -> tuple[int, bool]:
-        """(row_count, truncated)."""
-        rows = self.dataframe.count()
-        return rows, rows >= self.limit
+        """(row_count, truncated); truncated only if a row beyond the cap exists."""
+        rows = self.probe.count()
+        return min(rows, self.limit), rows > self.limit
 
 
 def check_read_only(sql: str) -> None:
@@ -41,10 +41,11 @@ def check_read_only(sql: str) -> None:
         raise ValueError("Only one SQL statement is accepted at a time.")
 
 
-def query(spark: SparkSession, sql: str, params: dict[str, Any] | None = None, limit: int | None = None) -> CappedResult:
-    """Validate and plan a query. The cap is always outside, so an inner LIMIT cannot exceed it."""
+def query(spark: SparkSession, sql: str, params: dict[str, Any] | None = None, *, limit: int) -> CappedResult:
+    """Validate and plan a query of at most ``limit`` rows, a positive number. The cap is always outside, so an inner LIMIT cannot exceed it."""
     text = sql.strip().rstrip(";").strip()
     check_read_only(text)
-    cap = limit or DEFAULT_LIMIT
+    if limit < 1:
+        raise ValueError("The row cap must be positive.")
     rows = spark.sql(text, args=params) if params else spark.sql(text)
-    return CappedResult(rows.limit(cap), text, cap)
+    return CappedResult(rows.limit(limit), text, limit, rows.limit(limit + 1))

@@ -20,5 +20,6 @@ def read_drift_report(spark: SparkSession, path: str) -> DataFrame:
     return read_report(spark, path, DRIFT_REPORT_SCHEMA)
 
 
-def read_importance(spark: SparkSession, path: str, top_n: int = 20) -> DataFrame:
-    return read_report(spark, path, SHAP_SUMMARY_SCHEMA).orderBy("rank").limit(top_n)
+def read_importance(spark: SparkSession, path: str) -> DataFrame:
+    """The whole report in rank order."""
+    return read_report(spark, path, SHAP_SUMMARY_SCHEMA).orderBy("rank")

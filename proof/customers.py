@@ -109,13 +109,13 @@ register("c14_scores_on_keys", lambda t: t.predictions.join(t.labels.select(*KEY
 ), """
 SELECT CAST(observation_date AS VARCHAR) AS observation_date, customer_id, mlflow_run_id, p.churn_probability, churn_label
 FROM pred p JOIN lab USING (observation_date, customer_id)""")
-register("c16_agencies_by_customers", lambda t: marts.agencies_by_customers(t.dim_customer, t.dim_agency, t.dim_geography), """
+register("c16_agencies_by_customers", lambda t: marts.agencies_by_customers(t.dim_customer, t.dim_agency, t.dim_geography, 10), """
 SELECT agency_name, region, count(*) AS customers FROM cust c JOIN agency a ON a.agency_id = c.home_agency_id
 JOIN geo g ON g.geography_id = a.geography_id GROUP BY ALL ORDER BY customers DESC, agency_name, region LIMIT 10""")
 register("c17_contacts_this_week", lambda t: marts.contacts_this_week(t.recommendations, t.dim_customer, t.dim_agency, F.lit(dt.date(2001, 7, 11))), """
 SELECT agency_name, count(*) AS contacted_customers, round(avg(CASE WHEN human_review_status = 'APPROVED' THEN 1 ELSE 0 END), 8) AS approved_action_rate
 FROM rec r JOIN cust c ON c.customer_id = r.customer_id JOIN agency a ON a.agency_id = c.home_agency_id
-WHERE created_at >= date_trunc('week', DATE '2001-07-11') GROUP BY agency_name ORDER BY contacted_customers DESC, agency_name LIMIT 20""", 8)
+WHERE created_at >= date_trunc('week', DATE '2001-07-11') GROUP BY agency_name""", 8)
 
 # --- D: one key per snapshot column group --------------------------------------------------------
 
@@ -184,26 +184,19 @@ register("d31_segment_cascade", lambda t: t.dim_customer.select(
 SELECT customer_id, CASE WHEN price_sensitivity_score >= 0.72e0 THEN 'PRICE_SENSITIVE' WHEN digital_engagement_score >= 0.72e0 THEN 'DIGITAL_FIRST'
   WHEN household_size >= 3 AND floor(date_diff('day', birth_date, DATE '2001-06-30') / 365.25e0) BETWEEN 30 AND 58 THEN 'FAMILY_PROTECTOR'
   WHEN estimated_income_band IN ('UPPER_MID', 'HIGH') AND loyalty_score >= 0.55e0 THEN 'HIGH_VALUE' ELSE 'LOW_ENGAGEMENT' END AS segment FROM cust""")
-register("d32_weighted_sampling", lambda t: lifecycle.raise_positive_rate(t.labels, 0.2, 0.25), """
+register("d32_weighted_sampling", lambda t: lifecycle.sample_negatives(t.labels, 0.2, 0.25), """
 WITH keyed AS (
   SELECT *, md5('42|' || CAST(observation_date AS VARCHAR) || '|' || customer_id) AS digest FROM lab),
 drawn AS (
-  SELECT *, ln((CAST(CAST('0x' || substr(digest, 1, 12) AS BIGINT) AS DOUBLE) + 1) / (power(2, 48) + 1)) / greatest(churn_probability, 0.001e0) AS key,
-    CAST('0x' || substr(digest, 13, 8) AS BIGINT) AS late FROM keyed),
+  SELECT *, ln((CAST(CAST('0x' || substr(digest, 1, 12) AS BIGINT) AS DOUBLE) + 1) / (power(2, 48) + 1)) / greatest(churn_probability, 0.001e0) AS key
+  FROM keyed WHERE churn_label = 0),
 need AS (
   SELECT split_name, CASE WHEN sum(churn_label) >= ceil(count(*) * 0.2e0) THEN 0
     ELSE least(greatest(ceil(count(*) * 0.2e0), ceil(count(*) * 0.25e0)) - sum(churn_label), count(*) - sum(churn_label)) END AS needed
   FROM lab GROUP BY split_name),
 placed AS (
-  SELECT d.*, row_number() OVER (PARTITION BY d.split_name, churn_label ORDER BY key DESC, customer_id, observation_date) AS place FROM drawn d),
-flagged AS (SELECT p.*, churn_label = 0 AND place <= needed AS flip FROM placed p JOIN need USING (split_name))
-SELECT CAST(observation_date AS VARCHAR) AS observation_date, customer_id, split_name, prediction_horizon_days,
-  CASE WHEN flip THEN 1 ELSE churn_label END AS churn_label,
-  CAST(CASE WHEN flip THEN observation_date + CAST(late % 84 + 7 AS INTEGER) ELSE churn_date END AS VARCHAR) AS churn_date,
-  CASE WHEN flip THEN 'CHURNED_WITHIN_HORIZON' ELSE customer_lifecycle_status END AS customer_lifecycle_status,
-  CASE WHEN flip THEN greatest(churn_probability, 0.1e0) ELSE churn_probability END AS churn_probability,
-  CASE WHEN flip AND churn_risk_band = 'LOW' THEN 'MEDIUM' ELSE churn_risk_band END AS churn_risk_band, label_reason
-FROM flagged""")
+  SELECT d.*, row_number() OVER (PARTITION BY d.split_name ORDER BY key DESC, customer_id, observation_date) AS place FROM drawn d)
+SELECT split_name, CAST(observation_date AS VARCHAR) AS observation_date, customer_id FROM placed JOIN need USING (split_name) WHERE place <= needed""")
 register("d33_policy_status", lambda t: t.fact_policy.select(
     "policy_id", lifecycle.policy_status(F.lit(dt.date(2001, 6, 30))).alias("status_at_date")
 ), """

@@ -72,10 +72,10 @@ register("f07_class_distribution", lambda t: preprocess.class_distribution(t.eng
 SELECT split_name, churn_label, count(*) AS rows, CAST(sum(count(*)) OVER (PARTITION BY split_name) AS BIGINT) AS total_rows,
   round(count(*) / sum(count(*)) OVER (PARTITION BY split_name), 8) AS share FROM eng GROUP BY split_name, churn_label""", 8)
 register("f08_concat_splits", lambda t: preprocess.concat_splits([
-    t.labels.filter(F.col("split_name") == s) for s in ("backtest", "train", "test")
-]).groupBy("split_name").agg(F.count(F.lit(1)).alias("rows")), "SELECT split_name, count(*) AS rows FROM lab WHERE split_name <> 'validation' GROUP BY ALL")
-register("f09_drop_columns", lambda t: t.labels.drop("label_reason", "churn_risk_band", "prediction_horizon_days").filter("churn_label = 1"), f"""
-SELECT {_KEY_SQL}, split_name, churn_label, CAST(churn_date AS VARCHAR) AS churn_date, customer_lifecycle_status, churn_probability FROM lab WHERE churn_label = 1""")
+    t.labels.filter(F.col("split_name") == s) for s in ("backtest", "train", "test", "validation")
+]).groupBy("split_name").agg(F.count(F.lit(1)).alias("rows")), "SELECT split_name, count(*) AS rows FROM lab GROUP BY ALL")
+register("f09_drop_columns", lambda t: t.labels.drop("label_reason", "churn_risk_band", "prediction_horizon_days"), f"""
+SELECT {_KEY_SQL}, split_name, churn_label, CAST(churn_date AS VARCHAR) AS churn_date, customer_lifecycle_status, churn_probability FROM lab""")
 
 
 def _shifted(t: Tables) -> DataFrame:

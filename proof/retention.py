@@ -56,7 +56,7 @@ register("l15_empty_queue", lambda t: priority.score(t.candidates.filter(F.col("
 
 register("m01_queue_for_review", lambda t: recommend.queue_for_review(t.queue).select(*KEYS, "priority_tier", "priority_score"), f"""
 SELECT {_KEY_SQL}, priority_tier, priority_score FROM queue WHERE priority_tier IN ('CRITICAL', 'HIGH', 'MEDIUM')
-ORDER BY priority_score DESC, expected_saved_value DESC, queue.customer_id, queue.observation_date LIMIT 500""")
+ORDER BY priority_score DESC, expected_saved_value DESC, queue.customer_id, queue.observation_date""")
 register("m02_strategy_lookup", lambda t: recommend.with_strategy(t.queue, recommend.strategy_catalog(t.spark)).select(
     *KEYS, "recommended_action_type", "offer_label", "message_template", "default_next_step"
 ), f"""
@@ -88,21 +88,20 @@ register("n01_churn_rate_by_split", lambda t: kpi.churn_rates(t.labels), _RATES)
 register("n02_split_distribution", lambda t: kpi.churn_rates(t.labels, SPLIT_ORDER), _RATES)
 _MICRO = "round(CAST(sum(CAST(round(churn_probability * 1e6) AS BIGINT)) AS DOUBLE) / count(*) / 1e6, 4) AS avg_churn_probability"
 _CENTS = "CAST(sum(CAST(round(expected_saved_value * 100) AS BIGINT)) AS DOUBLE) / 100"
-for key, by, limit in (("n03_priority_by_region", ["region"], 20), ("n04_priority_by_agency", ["agency_name", "region"], 20)):
-    register(key, lambda t, b=by, n=limit: kpi.priority_clients(t.queue, b, n), f"""
+for key, by in (("n03_priority_by_region", ["region"]), ("n04_priority_by_agency", ["agency_name", "region"])):
+    register(key, lambda t, b=by: kpi.priority_clients(t.queue, b), f"""
 SELECT {', '.join(by)}, priority_tier, count(*) AS clients, {_MICRO}, {_CENTS} AS expected_saved_value FROM queue
-GROUP BY {', '.join(by)}, priority_tier ORDER BY {_CENTS} DESC, clients DESC, {', '.join(by)}, priority_tier LIMIT {limit}""")
+GROUP BY {', '.join(by)}, priority_tier""")
 _SCORE = "round(CAST(sum(CAST(round(priority_score * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100, 2)"
 register("n05_action_distribution", lambda t: kpi.action_distribution(t.recommendations), f"""
 SELECT recommended_action_type, recommended_channel, count(*) AS recommendations, {_SCORE} AS avg_priority_score, {_MICRO} FROM rec
-GROUP BY ALL ORDER BY recommendations DESC, avg_priority_score DESC, 1, 2 LIMIT 20""")
+GROUP BY ALL""")
 register("n06_weekly_contacts", lambda t: kpi.weekly_contacts(t.queue, t.recommendations, F.lit(dt.date(2001, 7, 11))), f"""
 SELECT agency_name, region, count(*) AS customers_to_contact,
   round(CAST(sum(CAST(round(q.churn_probability * 1e6) AS BIGINT)) AS DOUBLE) / count(*) / 1e6, 4) AS avg_churn_probability,
   round(avg(CASE WHEN human_review_status = 'APPROVED' THEN 1 ELSE 0 END), 4) AS approved_action_rate
 FROM queue q LEFT JOIN rec r ON r.customer_id = q.customer_id AND r.observation_date = q.observation_date AND r.mlflow_run_id = q.mlflow_run_id
-WHERE scored_at >= date_trunc('week', DATE '2001-07-11') GROUP BY agency_name, region
-ORDER BY customers_to_contact DESC, 4 DESC, agency_name, region LIMIT 20""")
+WHERE scored_at >= date_trunc('week', DATE '2001-07-11') GROUP BY agency_name, region""")
 register("n07_customer_count", lambda t: kpi.customer_count(t.dim_customer), "SELECT count(DISTINCT customer_id) AS total_customers FROM cust")
 register("n08_top_priority_clients", lambda t: kpi.top_priority_clients(t.queue, 5), """
 SELECT customer_id, first_name, last_name, split_name, region, agency_name, main_product_family, priority_tier, priority_score, churn_probability,

@@ -95,7 +95,7 @@ register("a08_csv_sink", _queue_csv, "SELECT customer_id, split_name, priority_s
 
 def _refreshed(t: Tables) -> DataFrame:
     path = _scratch(t)
-    sinks.refresh_table(t.queue.limit(10), path)
+    sinks.refresh_table(t.queue.withColumn("priority_tier", F.lit("OLD")), path)
     sinks.refresh_table(t.queue, path)
     return t.spark.read.parquet(path).groupBy("priority_tier").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -132,7 +132,7 @@ def _json_report(t: Tables) -> DataFrame:
     weights = {"price_sensitivity_score": 1.35, "loyalty_score": -1.25}
     means = explain.feature_means(t.engineered, list(weights))
     summary = explain.summarize(explain.linear_contributions(t.engineered, weights, means, ["customer_id"]), list(weights))
-    sinks.write_json_report(explain.explanation_report(summary, None, "rule_score", None, "linear contributions"), path)
+    sinks.write_json_report(explain.explanation_report(summary, None, "rule_score", None, "linear contributions", 20), path)
     saved = t.spark.read.json(path)
     return saved.select("schema_version", "model_name", F.explode("top_features").alias("f")).select("schema_version", "model_name", "f.rank", "f.feature")
 
@@ -166,7 +166,7 @@ SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, CAST(d AS VARCHAR) AS
 def _governed(t: Tables) -> DataFrame:
     t.labels.createOrReplaceTempView("holdfast_labels")
     return governed_sql.query(
-        t.spark, "SELECT split_name, churn_risk_band, count(*) AS rows FROM holdfast_labels WHERE churn_probability >= :floor GROUP BY ALL", {"floor": 0.1}, 200
+        t.spark, "SELECT split_name, churn_risk_band, count(*) AS rows FROM holdfast_labels WHERE churn_probability >= :floor GROUP BY ALL", {"floor": 0.1}, limit=200
     ).dataframe
 
 

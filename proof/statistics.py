@@ -143,7 +143,7 @@ _g("g13_summary_counts", lambda t: drift.summary_counts(_report(t)), """
 SELECT (SELECT count(*) FROM (SELECT DISTINCT reference_split, comparison_split FROM report)) AS total_comparisons, count(*) AS total_features,
   count(*) FILTER (r = 3) AS high_drift_features, count(*) FILTER (r = 2) AS moderate_drift_features, count(*) FILTER (r = 1) AS stable_features
 FROM (SELECT feature, max(severity_rank) AS r FROM report WHERE is_reference_comparison GROUP BY feature)""")
-_g("g13_top_drift", lambda t: drift.top_drift(_report(t)), f"""
+_g("g13_top_drift", lambda t: drift.top_drift(_report(t), 15), f"""
 SELECT {_rounded('reference_split comparison_split feature feature_type psi secondary_metric missing_rate_delta severity')} FROM (
   SELECT * FROM report WHERE is_reference_comparison ORDER BY severity_rank DESC, round(psi, 12) DESC, feature, comparison_split LIMIT 15)""")
 _g("g14_dashboard_rows", lambda t: drift.dashboard_rows(_report(t), "high").unionByName(drift.dashboard_rows(_report(t), "moderate")), f"""

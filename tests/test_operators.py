@@ -301,12 +301,29 @@ def test_windows_are_inclusive_at_both_ends(spark):
     assert snapshot.expand_to_dates(fact, "d", days, ahead_days=90).count() == 2
 
 
-def test_positive_rate_floor(tables):
-    raised = lifecycle.raise_positive_rate(tables.labels, 0.3, 0.35)
-    rates = {r.split_name: r.rate for r in raised.groupBy("split_name").agg(F.avg("churn_label").alias("rate")).collect()}
-    assert all(0.3 <= r < 0.37 for r in rates.values())
-    assert raised.count() == tables.labels.count()
-    assert quality.holds(raised, "churn_label", "c", F.expr("(churn_label = 1) = (churn_date IS NOT NULL)")).first().violations == 0
+def test_sampled_negatives_fill_the_gap(tables):
+    chosen = lifecycle.sample_negatives(tables.labels, 0.3, 0.35)
+    assert chosen.distinct().count() == chosen.count()
+    assert chosen.join(tables.labels.filter("churn_label = 1"), ["observation_date", "customer_id"], "left_semi").count() == 0
+    added = {r.split_name: r.n for r in chosen.groupBy("split_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for r in tables.labels.groupBy("split_name").agg(F.count(F.lit(1)).alias("rows"), F.sum("churn_label").alias("pos")).collect():
+        assert 0.3 <= (r.pos + added.get(r.split_name, 0)) / r.rows < 0.37
+
+
+def test_folding_beyond_latin(spark):
+    import unicodedata
+
+    words = ["ガス", "हिन्दी", "กำลัง", "한국어", "Élevé", "ﬁn", "½", "Ǆ", "plain"]
+    rows = spark.createDataFrame([(w,) for w in words], "w STRING")
+    plain = lambda w: "".join(c for c in unicodedata.normalize("NFKD", w) if not unicodedata.combining(c))
+    assert {(r.w, r.f) for r in rows.select("w", text.fold_accents("w").alias("f")).collect()} == {(w, plain(w)) for w in words}
+
+
+def test_top_k_with_a_constant_score(spark):
+    rows = spark.range(50).selectExpr("IF(id < 50, 'test', 'none') AS split_name", "id AS customer_id", "CAST(id % 2 AS INT) AS label", "0.5D AS score")
+    result = metrics.top_k_metrics(rows, (10,), ["customer_id"])
+    assert "WindowGroupLimit" in result._jdf.queryExecution().executedPlan().toString()
+    assert (result.first().hits, result.first().precision_at_k) == (5, 0.5)
 
 
 def test_catalog_default(spark):

@@ -41,7 +41,7 @@ def test_jobs_end_to_end(spark, tables, tmp_path):
         "fact_customer_service", "fact_campaign_contact", "fact_quote", "fact_retention_action",
     ):
         store.write(name, getattr(tables, name))
-    snapshots, labels = jobs.build_snapshots(store, SAMPLE_DATES, minimum_rate=0.1)
+    snapshots, labels = jobs.build_snapshots(store, SAMPLE_DATES)
     assert snapshots.count() == labels.count() == tables.dim_customer.count() * len(SAMPLE_DATES)
     assert jobs.check_integrity(store, ["dim_customer", "fact_policy", "churn_label"]).count() == 0
     assert jobs.run_drift(store).count() > 0

@@ -27,25 +27,29 @@ def test_csv_folder(spark, tmp_path):
 def test_documents(spark, tmp_path):
     (tmp_path / "deep").mkdir()
     (tmp_path / "deep" / "plan_un.md").write_text("intro\n  ## Sinistre recent \nbody")
+    (tmp_path / "prix élevé +1% a.md").write_text("x")
     (tmp_path / "note_deux.txt").write_text("plain text")
     (tmp_path / "blank.md").write_text("  \n ")
     (tmp_path / "other.csv").write_text("x")
     got = {r.document_id: r.title for r in documents.read_documents(spark, str(tmp_path)).collect()}
-    assert got == {"plan_un": "Sinistre recent", "note_deux": "Note Deux"}
+    assert got == {"plan_un": "Sinistre recent", "note_deux": "Note Deux", "prix élevé +1% a": "Prix Élevé +1% A"}
     assert documents.read_documents(spark, str(tmp_path / "absent")).count() == 0
 
 
 def test_governed_sql(spark):
     spark.range(500).createOrReplaceTempView("holdfast_numbers")
-    result = governed_sql.query(spark, "SELECT id FROM holdfast_numbers WHERE id >= :low;", {"low": 10})
+    result = governed_sql.query(spark, "SELECT id FROM holdfast_numbers WHERE id >= :low;", {"low": 10}, limit=200)
     assert result.counted() == (200, True)
+    assert governed_sql.query(spark, "SELECT id FROM holdfast_numbers", limit=500).counted() == (500, False)
+    with pytest.raises(ValueError, match="positive"):
+        governed_sql.query(spark, "SELECT 1", limit=0)
     assert governed_sql.query(spark, "SELECT id FROM holdfast_numbers LIMIT 400", limit=50).counted() == (50, True)
     for text, message in (
         ("DELETE FROM x", "SELECT or WITH"), ("SELECT 1; DROP TABLE x", "Unsafe SQL keyword"), ("SELECT 1; SELECT 2", "one SQL statement"),
         ("SELECT replace(a, 'b', 'c') FROM t", "Unsafe SQL keyword"), ("", "SELECT or WITH"),
     ):
         with pytest.raises(ValueError, match=message):
-            governed_sql.query(spark, text)
+            governed_sql.query(spark, text, limit=10)
 
 
 def test_upsert_keeps_unreplaced_columns(spark, tmp_path):
