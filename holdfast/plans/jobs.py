@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,13 +118,17 @@ def run_training(store: Store, config: model.TrainingConfig = model.TrainingConf
     excluded = chosen.excluded_engineered_features
     panel = materialize(features.engineer(selection.drop_raw_columns(raw, chosen.raw_columns_to_drop), excluded), "training_panel")
     numeric, categorical = chosen.selected_numeric_features, chosen.selected_categorical_features
-    findings = leakage.audit(panel, [*numeric, *categorical])
+    findings = materialize(leakage.audit(panel, [*numeric, *categorical]), "leakage_findings")
+    sinks.write_csv(findings.withColumn("details", F.to_json("details")), store.path("reports/leakage_audit"))
+    sinks.write_csv(preprocess.class_distribution(panel), store.path("reports/class_distribution"))
     if not allow_leakage:
         leakage.assert_no_critical(findings)
     preprocess.validate_split_order(panel)
     fills = preprocess.FillValues(numeric, categorical).fit(panel.filter("split_name = 'train'"))
     prepared = materialize(fills.transform(panel), "prepared_panel")
     fitted = model.train_gbt(prepared, numeric, categorical, config)
+    fitted.write().overwrite().save(store.path("models/churn"))
+    store.write("prepared_panel", prepared)
     scores = materialize(model.score(fitted, prepared.filter("split_name <> 'train'")), "scores")
     run_id = uuid.uuid4().hex
     evaluated = metrics.evaluate(scores, config.threshold)
@@ -145,6 +150,14 @@ def run_training(store: Store, config: model.TrainingConfig = model.TrainingConf
     return TrainingResult(run_id, store.predictions(), evaluated, importance)
 
 
+def rescore(store: Store, threshold: float, model_name: str) -> DataFrame:
+    """Score the stored panel with the saved model and upsert the predictions under a new run."""
+    fitted = PipelineModel.load(store.path("models/churn"))
+    scores = model.score(fitted, store.read("prepared_panel").filter("split_name <> 'train'"))
+    sinks.upsert_predictions(store.spark, model.prediction_rows(scores, threshold, model_name, uuid.uuid4().hex), store.path("churn_prediction"))
+    return store.predictions()
+
+
 def run_queue(store: Store, splits: Sequence[str] = ("test", "backtest"), top_n: int | None = None) -> DataFrame:
     """The retention queue of the latest prediction run."""
     candidates = marts.candidate_mart(

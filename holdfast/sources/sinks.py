@@ -59,12 +59,15 @@ def upsert_predictions(spark: SparkSession, new: DataFrame, root: str, partition
 
     Readers follow the ``CURRENT`` pointer, so the version being read is never overwritten and a lost
     executor or a failed job leaves the old version in place. Only partitions named by the new rows are
-    merged; the others are carried over unchanged.
+    merged; the others are carried over unchanged. Every writer claims a version number of its own before it writes
+    and fails if another one has moved the pointer meanwhile, so no rows are lost; numbers of failed writers are
+    passed over. The pointer is renamed into place, and versions before the last two are removed.
     """
     stamped = new.withColumn("scored_at", F.coalesce(F.col("scored_at"), F.current_timestamp()))
     current = current_version(spark, root)
-    number = 0 if current is None else int(current.rsplit("=", 1)[1]) + 1
+    number = 1 + max([-1 if current is None else int(current.rsplit("=", 1)[1]), *_claims(spark, f"{root}/_claims")])
     target = f"{root}/version={number:08d}"
+    _claim(spark, f"{root}/_claims/{number:08d}")
     if current is None:
         rows = stamped
     else:
@@ -73,10 +76,41 @@ def upsert_predictions(spark: SparkSession, new: DataFrame, root: str, partition
         rows = merged(old.join(touched, partition, "left_semi"), stamped).unionByName(old.join(touched, partition, "left_anti"))
     typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema("churn_prediction").fields])
     typed.write.mode("overwrite").partitionBy(partition).parquet(target)
+    if current_version(spark, root) != current:
+        raise RuntimeError(f"Another writer has replaced {current}; the new rows were not merged")
     _write_text(spark, f"{root}/CURRENT", target)
+    _remove_versions(spark, root, keep={target, current})
     return target
 
 
+def _file_system(spark: SparkSession, path: str):  # noqa: ANN202
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _claims(spark: SparkSession, folder: str) -> list[int]:
+    files, target = _file_system(spark, folder)
+    return [int(s.getPath().getName()) for s in files.listStatus(target)] if files.exists(target) else []
+
+
+def _claim(spark: SparkSession, path: str) -> None:
+    """Create the file; fail if it exists."""
+    files, target = _file_system(spark, path)
+    try:
+        files.create(target, False).close()
+    except Exception as error:
+        raise RuntimeError(f"Another writer claimed {path}") from error
+
+
+def _remove_versions(spark: SparkSession, root: str, keep: set[str | None]) -> None:
+    files, target = _file_system(spark, root)
+    names = {k.rsplit("/", 1)[1] for k in keep if k}
+    for status in files.listStatus(target):
+        name = status.getPath().getName()
+        if name.startswith("version=") and name not in names:
+            files.delete(status.getPath(), True)
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
     from holdfast.sources.tables import path_exists
 
@@ -93,13 +127,18 @@ def read_predictions(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    """Write beside the target and rename over it, so that no reader finds it half written."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    files, fresh = _file_system(spark, f"{path}.new")
+    stream = files.create(fresh, True)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+    over = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(files.getUri(), sc._jsc.hadoopConfiguration()).rename(fresh, hadoop.Path(path), over)
 
 
 def write_json_report(report: DataFrame, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from holdfast.operators import metrics, model, snapshot
 from holdfast.plans import jobs
@@ -47,6 +48,10 @@ def test_jobs_end_to_end(spark, tables, tmp_path):
     assert jobs.run_drift(store).count() > 0
     result = jobs.run_training(store, model.TrainingConfig(iterations=3, min_rows_per_leaf=5))
     assert {r.split_name for r in result.metrics.collect()} == {"validation", "test", "backtest"}
+    again = jobs.rescore(store, 0.14, "churn_gbt")
+    assert again.select("mlflow_run_id").distinct().count() == 2
+    runs = again.groupBy("customer_id", "observation_date").agg(F.count_distinct("churn_probability").alias("n"))
+    assert runs.agg(F.max("n")).first()[0] == 1
     queue = jobs.run_queue(store)
     assert queue.count() == 2 * tables.dim_customer.count()
     assert jobs.run_recommendations(store, 20).count() <= 20

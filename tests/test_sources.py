@@ -79,3 +79,24 @@ def test_calendar(spark):
     assert days.count() == 2463
     end = days.filter(F.col("calendar_date") == dt.date(2024, 12, 31)).first()
     assert (end.date_key, end.day_of_week, end.week_of_year, end.is_year_end, end.month_name) == (20241231, 2, 1, True, "December")
+
+
+def test_upsert_survives_failed_and_competing_writers(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "predictions")
+    row = spark.createDataFrame(
+        [("2025-01-01", "c1", "test", 0.5, 1, "HIGH", "m", "1", "run", None)],
+        "observation_date STRING, customer_id STRING, split_name STRING, churn_probability DOUBLE, predicted_churn_label INT, "
+        "churn_risk_band STRING, model_name STRING, model_version STRING, mlflow_run_id STRING, scored_at TIMESTAMP",
+    )
+    first = sinks.upsert_predictions(spark, row, root)
+    (tmp_path / "predictions" / "_claims" / "00000001").write_text("")  # left by a writer that failed
+    assert sinks.upsert_predictions(spark, row, root).endswith("version=00000002")
+    real = sinks.current_version
+    seen = iter([real(spark, root), first])
+    monkeypatch.setattr(sinks, "current_version", lambda *_: next(seen))
+    with pytest.raises(RuntimeError, match="Another writer"):
+        sinks.upsert_predictions(spark, row, root)
+    monkeypatch.undo()
+    assert real(spark, root).endswith("version=00000002") and sinks.read_predictions(spark, root).count() == 1
+    sinks.upsert_predictions(spark, row, root)
+    assert len(list((tmp_path / "predictions").glob("version=*"))) <= 3
