@@ -39,7 +39,7 @@ LEVELS = (1, 2, 4)
 BUCKETS = 1 << 18
 STYLES = 1 << 10
 DIMENSIONS = len(LEVELS) * BUCKETS + STYLES
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _UPPER = bytes(range(0x41, 0x5B))
 _LOWER = bytes(range(0x61, 0x7B))
@@ -153,6 +153,32 @@ def document(text: bytes, stems: np.ndarray) -> tuple[int, np.ndarray]:
     return pattern_number(votes(text, words, plain, marks)), np.concatenate((features, styles)).astype(np.int32)
 
 
+_MIXES = np.random.default_rng(3).integers(1, 1 << 31, 12, np.int64) * 2 + 1
+
+
+def least_hash(features: np.ndarray) -> int:
+    """Twelve least hashes of the features in one number, which close copies often share and other texts hardly ever."""
+    if not len(features):
+        return 0
+    least = ((features.astype(np.int64)[:, None] + 1) * _MIXES % ((1 << 31) - 1)).min(0)
+    return xxhash.xxh64_intdigest(least.tobytes()) >> 1
+
+
+def telling_features(flat: np.ndarray, owner: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Whether the mean target of the rows with a feature differs clearly from the overall mean; styles always count.
+
+    Five standard errors tell a difference from chance; in larger samples up to twelve are asked for, because there
+    the words of a few close copies also differ by more than chance.
+    """
+    n = np.bincount(flat, minlength=DIMENSIONS)
+    rate = float(target.mean()) if len(target) else 0.5
+    apart = np.bincount(flat, target[owner], DIMENSIONS) - n * rate
+    least = np.clip(np.sqrt(len(target)) / 9, 5, 12)
+    keep = (n >= 10) & (np.abs(apart) > least * np.sqrt(np.maximum(n, 1) * max(rate * (1 - rate), 1e-6)))
+    keep[len(LEVELS) * BUCKETS :] = True
+    return keep
+
+
 def fit_scorer(
     flat: np.ndarray, ends: np.ndarray, target: np.ndarray, epochs: int = 12, rate: float = 0.1, ridge: float = 1e-5, batch: int = 64
 ) -> np.ndarray:
@@ -184,7 +210,7 @@ def learn_stems(docs: DataFrame, labels: DataFrame, bad: int = 1500, fine: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [stem_features((t or b"").lower().translate(_LETTERS).split()) for t in as_bytes(batch.column("text"))]
-            least = [int((x.astype(np.int64) * 0x9E3779B1 % (1 << 32)).min(initial=1 << 32)) for x in found]
+            least = [least_hash(x) for x in found]
             columns = [batch.column("label"), pa.array(least, pa.int64()), pa.array(found, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, ["label", "least", "stems"])
 
@@ -192,8 +218,10 @@ def learn_stems(docs: DataFrame, labels: DataFrame, bad: int = 1500, fine: int =
     counted = rows.select("label", "least", F.explode("stems").alias("stem")).distinct().groupBy("stem").agg(
         F.count_if(F.col("label") == 1).alias("bad"), F.count_if(F.col("label") == 0).alias("fine")
     )
-    # Few stems pass: each needs ten abusive documents of the bounded sample.
-    return np.array(sorted(r.stem for r in counted.filter("bad >= 10 AND bad > 20 * fine").collect()), np.int64)
+    # Few stems pass: each needs ten abusive documents of the bounded sample, and one in fifty of them.
+    known = min(bad, labels.filter("toxic = 1").select("doc_id").distinct().count())
+    telling = counted.filter((F.col("bad") >= max(10, known // 50)) & (F.col("bad") > 20 * F.col("fine")))
+    return np.array(sorted(r.stem for r in telling.collect()), np.int64)
 
 
 class Judge:
@@ -237,12 +265,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> Judge:
     picked = plain.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0))
     rows = picked.select("text").mapInArrow(features, "votes long, buckets array<int>").toArrow()
     lists = rows.column("buckets").combine_chunks()
-    flat, ends = lists.values.to_numpy().astype(np.int64), lists.offsets.to_numpy()
-    order = np.array(sorted(range(rows.num_rows), key=lambda i: flat[ends[i] : ends[i + 1]].tobytes()), np.int64)
-    target = np.array([posterior[v] for v in rows.column("votes").to_pylist()])
-    sizes = np.diff(ends)[order] if len(order) else np.array([], np.int64)
-    flat = np.concatenate([flat[ends[i] : ends[i + 1]] for i in order]) if len(order) else flat
-    weights = fit_scorer(flat, np.concatenate(([0], np.cumsum(sizes))), target[order]).astype(np.float32)
+    flat, ends, pattern = lists.values.to_numpy().astype(np.int64), lists.offsets.to_numpy(), rows.column("votes").to_pylist()
+    # In an order that does not depend on Spark's; near copies count once, or any of their words would look telling.
+    first: dict[int, int] = {}
+    for i in sorted(range(rows.num_rows), key=lambda i: flat[ends[i] : ends[i + 1]].tobytes()):
+        words = flat[ends[i] : ends[i + 1]]
+        first.setdefault(least_hash(words[words < len(LEVELS) * BUCKETS]), i)
+    picked_rows = list(first.values())
+    parts = [flat[ends[i] : ends[i + 1]] for i in picked_rows]
+    target = np.array([posterior[pattern[i]] for i in picked_rows])
+    sizes = np.array([len(x) for x in parts], np.int64)
+    flat, owner = (np.concatenate(parts) if parts else flat[:0]), np.repeat(np.arange(len(parts)), sizes)
+    keep = telling_features(flat, owner, target)[flat]
+    sizes = np.bincount(owner[keep], minlength=len(parts))
+    weights = fit_scorer(flat[keep], np.concatenate(([0], np.cumsum(sizes))), target).astype(np.float32)
 
     return Judge(stems, posterior, weights)
 
