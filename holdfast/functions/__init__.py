@@ -1 +1 @@
-"""Column expressions shared by the operators. All of them stay inside code generation."""
+"""Column expressions shared by the operators. None runs Python; the array functions with lambdas are interpreted."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,7 +27,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the session names; a fresh local one only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    setting, explicit = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir()
+    # Spark derives a folder below the setting; any other one was set explicitly and goes first.
+    own = explicit and setting and setting.removeprefix("file:").lstrip("/") not in explicit
+    named = explicit if own or not setting else setting
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(named)
@@ -33,6 +38,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     folder = tempfile.mkdtemp(prefix="holdfast-checkpoint-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
