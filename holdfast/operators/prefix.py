@@ -28,7 +28,7 @@ def _bucket(value: Column, edges: Column) -> Column:
 
 def prefix_sums(
     grouped: DataFrame, value: str, measures: Sequence[str], keys: Sequence[str] = (), ties: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``below_<measure>``: the sum of the measure over rows ordered strictly before, per key.
 
@@ -37,6 +37,9 @@ def prefix_sums(
     ``buckets`` entries per key: they are broadcast, or a scalar subquery when there is no key.
     """
     by = list(keys)
+    if buckets is None:  # as many tasks as the session shuffles to, in whole steps
+        partitions = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(DEFAULT_BUCKETS, -(-partitions // _STEP) * _STEP)
     # The joins below imply these filters; stating them first keeps every branch's shuffle identical, so it is reused.
     grouped = grouped.filter(" AND ".join(f"{c} IS NOT NULL" for c in (*by, value)))
     number = F.col(value).cast("double")

@@ -40,6 +40,7 @@ DEFAULT_REASON = "high churn risk and significant customer value"
 
 def propensity() -> Column:
     """Likelihood to accept a retention action."""
+    # Base and weights.
     return clip(
         F.lit(0.18)
         + F.lit(0.28) * number_or("loyalty_score", 0.4)
@@ -54,6 +55,7 @@ def propensity() -> Column:
 
 def urgency() -> Column:
     days = number("renewal_days_min")
+    # Cuts in days and their urgency.
     return F.when(days <= 15, 1.0).when(days <= 45, 0.75).when(days <= 90, 0.45).otherwise(0.2)
 
 

@@ -89,6 +89,7 @@ def probability_view(profiles: DataFrame) -> DataFrame:
     label = chain.otherwise(F.lower(F.replace(stored, F.lit("_"), F.lit(" "))))
     keys = [c for c in ("customer_id", "observation_date", "mlflow_run_id") if c in profiles.columns]
     disagrees = F.coalesce(stored != derived, F.lit(False))
+    # The note's wording.
     note = F.concat(
         F.lit("La table retourne une bande "), stored, F.lit(", alors que la probabilite correspond a "), derived,
         F.lit("; verifier la calibration ou la definition de la bande."),
@@ -120,20 +121,19 @@ def feature_label(feature: Column) -> Column:
 def customer_drivers(profiles: DataFrame, summary: DataFrame, top: int) -> DataFrame:
     """The top global drivers with each customer's own value; ``summary`` has one row per feature.
 
-    The driver names are few (at most ``top`` rows), so they are joined to an unpivot of the profile that is
-    cut to them by a broadcast of that bounded table.
+    The driver names are few (at most ``top``, read while the plan is built), so only their columns are read.
     """
     keys = [c for c in ("customer_id", "observation_date") if c in profiles.columns]
     drivers = summary.filter(F.col("rank") <= top).select(
         "rank", "feature", "impact_direction", even_round("normalized_importance_pct", 1).alias("importance_pct")
     )
-    features = [c for c in profiles.columns if c not in keys]
-    values = F.map_from_arrays(
-        F.array(*[F.lit(c) for c in features]), F.array(*[F.col(c).cast("string") for c in features])
-    )
+    names = {r.feature for r in drivers.select("feature").collect()}  # at most ``top``
+    own = F.lit(None).cast("string")
+    for c in profiles.columns:
+        if c in names and c not in keys:
+            own = F.when(F.col("_d.feature") == c, F.col(c).cast("string")).otherwise(own)
     listed = drivers.agg(F.array_sort(F.collect_list(F.struct(*drivers.columns)))).scalar()
-    rows = profiles.select(*keys, values.alias("_values"), F.explode(listed).alias("_d"))
-    own = F.col("_values")[F.col("_d.feature")]
+    rows = profiles.select(*keys, *[c for c in profiles.columns if c in names and c not in keys], F.explode(listed).alias("_d"))
     return rows.select(
         *keys, F.col("_d.rank").alias("rank"), F.col("_d.feature").alias("feature"),
         feature_label(F.col("_d.feature")).alias("label"), F.col("_d.impact_direction").alias("impact_direction"),
