@@ -19,6 +19,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -212,11 +213,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
-            lists = batch.column("ids")
-            # 2^18 documents' worth of ids may come in one batch: go on in smaller parts.
-            for at in range(0, batch.num_rows, 512):
+            for at in range(0, batch.num_rows, 512):  # a batch may hold many ids: go on in smaller parts
                 part = batch.slice(at, 512)
-                texts = [bpe.decode_one(x or []) for x in lists.slice(at, 512).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+                lists = part.column("ids")
+                flat = lists.flatten().to_numpy()
+                ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(lists), 0).to_pylist()]).tolist()
+                texts = [bpe.decode_one(flat[i:j].tolist()) for i, j in zip(ends, ends[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
