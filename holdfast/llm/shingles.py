@@ -1,0 +1,199 @@
+"""Groups of texts that share four fifths of their five-word shingles, every link verified by exact Jaccard similarity.
+
+Texts with the same set of shingles are one node. A node is filed under 40 cells, each the hash of six minima of its
+set under own hash functions: a pair at a similarity of s shares a cell with a chance of 1 - (1 - s^6)^40, which is
+99.9995 % at 0.8. Cells with the same members count once. Nothing is linked for sharing a cell:
+
+1. Every node of a cell is compared with the smallest one, by the sets; the verified links are contracted.
+2. Cells whose nodes are then one component can add nothing. In the others every pair of different components is
+   compared. A cell with more nodes than ``block`` is cut into blocks, and every pair of its blocks is compared in a
+   task of its own, which hands on a spanning forest of the verified links.
+
+Sets are built again from the texts of the nodes that share a cell; those of other nodes are never stored.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from holdfast.llm.common import as_bytes, id_and_text, slices
+from holdfast.llm.components import connected_components
+from holdfast.session import materialize
+
+SEED, WIDTH, BANDS, ROWS = 42, 5, 40, 6
+#: The limit as a fraction, so that it is compared in whole numbers.
+OVER, UNDER = 4, 5
+_LAST = (1 << 63) - 1
+
+
+def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
+    """Hashes of the runs of ``width`` words in their order; a shorter text is one run, one without words has none."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.array([], "<u8")
+    joined = b" ".join(words)
+    if len(words) <= width:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], "<u8")
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate(([0], ends[:-1]))[: len(words) - width + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)], "<u8")
+
+
+_DICE = np.random.default_rng(23)
+_ADD, _TIMES = (_DICE.integers(0, 1 << 64, BANDS * ROWS, np.uint64) for _ in range(2))
+_TIMES |= np.uint64(1)
+_BAND = _DICE.integers(0, 1 << 64, BANDS, np.uint64)
+
+
+def cells(shingles: np.ndarray) -> np.ndarray:
+    """The cells of a set, none for an empty one."""
+    if not len(shingles):
+        return np.array([], np.int64)
+    least = np.min([((shingles[i : i + 1024, None] ^ _ADD) * _TIMES).min(0) for i in range(0, len(shingles), 1024)], axis=0)
+    key = _BAND.copy()
+    for minimum in least.reshape(BANDS, ROWS).T:
+        key = (key ^ minimum) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(32)
+    return key.view(np.int64)
+
+
+def signed(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, node, cells): a number for the text, one for its set of shingles, and the cells of the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [np.unique(shingle_hashes(t, WIDTH)) for t in as_bytes(batch.column("text"))]
+            node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+            filed = pa.array([cells(s) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(node), filed], ["doc_id", "mark", "node", "cells"])
+
+    marked = id_and_text(docs).select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    return marked.mapInArrow(run, "doc_id long, mark long, node long, cells array<long>")
+
+
+def _sets(rows: DataFrame) -> DataFrame:
+    """(node, shingles) of rows (node, text): the sorted set as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [np.unique(shingle_hashes(t, WIDTH)).tobytes() for t in as_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return rows.mapInArrow(run, "node long, shingles binary")
+
+
+def similar(common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of ``a`` and ``b`` elements, ``common`` of them shared, reach the limit."""
+    return UNDER * common >= OVER * (a + b - common)
+
+
+def verified(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of rows (a, b, x, y) whose sets x and y are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = ([np.frombuffer(s, "<u8") for s in as_bytes(batch.column(c))] for c in ("x", "y"))
+            stays = [bool(similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))) for x, y in zip(*sides, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(stays, pa.bool_()))
+
+    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def forest(root: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Positions of similar sets that connect what is connected, where sets of the same root are so already."""
+    size = np.array([len(s) for s in sets])
+    start = np.concatenate(([0], np.cumsum(size)[:-1]))
+    names, tokens = np.unique(np.concatenate(sets), return_inverse=True)
+    label = np.unique(root, return_inverse=True)[1]
+    out = []
+    for i, own in enumerate(sets):
+        if not (label[i + 1 :] != label[i]).any():
+            continue
+        has = np.zeros(len(names), np.int64)
+        has[tokens[start[i] : start[i] + len(own)]] = 1
+        common = np.add.reduceat(has[tokens], start)
+        for j in (np.flatnonzero(similar(common, size, len(own))[i + 1 :]) + i + 1).tolist():
+            if label[j] != label[i]:
+                out.append((i, j))
+                label[label == label[j]] = label[i]
+    return out
+
+
+def _compare(rows: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Verified links (a, b) among rows (cell, node, root) of each cell, between different roots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows arrive sorted by cell and block pair; those of one may span batches."""
+        held: tuple | None = None
+        nodes: list[int] = []
+        roots: list[int] = []
+        sets: list[np.ndarray] = []
+
+        def compare() -> pa.RecordBatch:
+            found = forest(np.array(roots), sets) if len(sets) > 1 else []
+            ends = [pa.array([nodes[p[side]] for p in found], pa.int64()) for side in (0, 1)]
+            return pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("cell", "i", "j", "node", "root")]
+            for cell, i, j, node, root, text in zip(*columns, as_bytes(batch.column("shingles")), strict=True):
+                if held != (cell, i, j):
+                    yield compare()
+                    held, nodes, roots, sets = (cell, i, j), [], [], []
+                nodes.append(node)
+                roots.append(root)
+                sets.append(np.frombuffer(text, "<u8"))
+        yield compare()
+
+    crowded = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+    blocks = F.coalesce(F.ceil(F.col("n") / block), F.lit(1))
+    own = F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int")))
+    dealt = rows.join(crowded, "cell", "left").select("cell", "node", "root", own.alias("own"), other.alias("other"))
+    dealt = dealt.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root")
+    keys = ["cell", "i", "j"]
+    return dealt.join(sets, "node").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+
+
+def grouped(docs: DataFrame, block: int = 256) -> DataFrame:
+    """(doc, mark): of each group of similar texts the smallest document (a null id counts as the largest) and the
+    number of its text. Texts without words are one group."""
+    marked = materialize(signed(docs), "signed")
+    order = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "mark")
+    points = materialize(marked.groupBy("node").agg(F.min(order).alias("least"), F.first("cells").alias("cells")), "points")
+    filed = points.select("node", F.explode("cells").alias("cell"))
+    prints = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    shared = filed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head"), *prints).filter("n > 1")
+    shared = shared.groupBy("n", "head", "x1", "x2").agg(F.min("cell").alias("cell")).select("cell", "head")
+    members = materialize(filed.join(shared, "cell"), "cells")
+
+    at = points.join(members.select("node").distinct(), "node", "left_semi").select("node", "least.doc", "least.mark")
+    texts = id_and_text(docs).select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("mark"), "text")
+    sets = materialize(_sets(texts.join(at, ["doc", "mark"]).select("node", "text")).dropDuplicates(["node"]), "sets")
+
+    pairs = members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    stars = materialize(verified(pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")), "stars")
+    roots = connected_components(stars)
+    rooted = materialize(members.join(roots, "node", "left").select("cell", "node", F.coalesce("root", "node").alias("root")), "rooted")
+    mixed = rooted.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("cell")
+    rest = materialize(rooted.join(mixed, "cell", "left_semi"), "mixed")
+    roots = connected_components(stars.union(_compare(rest, sets, block)))
+    member = points.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "least")
+    return materialize(member.groupBy("root").agg(F.min("least").alias("least")), "heads").select("least.doc", "least.mark")
+
+
+def keep_first(docs: DataFrame, block: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, and of each group of similar texts one row: that of the smallest id, which of
+    equal ids has the smaller text number. Rows repeated whole count as one."""
+    heads = grouped(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), block)
+    doc, mark = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), F.xxhash64(F.col(text_col).cast("string"))
+    tagged = docs.select(F.struct("*").alias("row"), doc.alias("doc"), mark.alias("mark"))
+    return tagged.join(heads, ["doc", "mark"], "left_semi").dropDuplicates(["doc", "mark"]).select("row.*")

@@ -6,10 +6,8 @@ given by the counts in some of the segments, and points that share a cell are co
 then by exact Hamming distance.
 
 ``EXACT`` finds every pair of 64-bit fingerprints at a distance of at most 4: of six groups of segments, such points
-agree in at least two whole ones, so the 15 pairs of groups are the cells. ``SIMILAR`` looks for texts that share four
-fifths of their five-word shingles. Those differ in about 15 % of the bits, more than any exact scheme affords, so it
-uses 128 bits, a distance of 24, and 64 cells of 9 segments each: a pair at a similarity of 0.8 shares a cell with a
-chance of 98 %, and links to any member join a group.
+agree in at least two whole ones, so the 15 pairs of groups are the cells. Texts that share four fifths of their
+five-word shingles are further apart; ``shingles`` finds and verifies those, and ``keep_first`` is its one.
 
 Copies meet first: every distinct fingerprint is one point. A cell with more points than ``block`` is cut into
 blocks, and every pair of its blocks is compared in a task of its own. What a comparison hands on is a spanning
@@ -24,17 +22,18 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import as_bytes, id_and_text, slices
 from holdfast.llm.components import connected_components
+from holdfast.llm.shingles import keep_first, shingle_hashes
 from holdfast.session import materialize
 
-SEGMENTS, BITS, SEED = 32, 2, 42
+SEGMENTS, BITS = 32, 2
 _LOW = 0x5555555555555555
 _LAST = (1 << 63) - 1
+__all__ = ["EXACT", "Scheme", "fingerprint", "keep_first", "near_duplicates"]
 
 
 def _signed(x: int) -> int:
@@ -59,34 +58,14 @@ def grouped_masks(distance: int) -> tuple[tuple[int, ...], ...]:
     return tuple((a | b,) for a, b in combinations(parts, 2))
 
 
-def drawn_masks(cells: int, segments: int, lanes: int) -> tuple[tuple[int, ...], ...]:
-    """``segments`` segments drawn from all lanes for each cell, by a fixed seed."""
-    dice = np.random.default_rng(23)
-    out = []
-    for _ in range(cells):
-        picked = dice.choice(lanes * SEGMENTS, segments, replace=False).tolist()
-        out.append(tuple(sum(3 << (BITS * (i % SEGMENTS)) for i in picked if i // SEGMENTS == lane) for lane in range(lanes)))
-    return tuple(out)
-
-
 EXACT = Scheme(4, 1, 4, grouped_masks(4))
-SIMILAR = Scheme(5, 2, 24, drawn_masks(64, 9, 2))
 
 
 def fingerprint(text: bytes | None, width: int, lanes: int = 1) -> list[int]:
     """The lanes of the fingerprint as unsigned numbers; zero for a text without words."""
-    words = (text or b"").lower().split()
-    if not words:
+    h = shingle_hashes(text, width)
+    if not len(h):
         return [0] * lanes
-    joined = b" ".join(words)
-    if len(words) <= width:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = np.concatenate(([0], ends[:-1]))[: len(words) - width + 1].tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)]
-    h = np.array(hashes, "<u8")
     out = []
     for lane in range(lanes):
         if lane:  # further lanes mix the hash anew
@@ -233,14 +212,3 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = EXACT, block: int = 1024)
     marked, classes = grouped(docs, scheme, block)
     digits = F.concat(*[F.lower(F.lpad(F.hex(f"f{i}"), 16, "0")) for i in range(scheme.lanes)])
     return marked.join(classes, "node").select("doc_id", digits.alias("fingerprint"), F.nullif("head.doc", F.lit(_LAST)).alias("component_id"))
-
-
-def keep_first(docs: DataFrame, scheme: Scheme = SIMILAR, block: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with all its columns, and of each group of near-duplicates one row: that of the smallest id, which of
-    equal ids has the smaller text number. Rows repeated whole count as one."""
-    work = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    _, classes = grouped(work, scheme, block)
-    heads = classes.select("head.doc", "head.mark").distinct()
-    doc, mark = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), F.xxhash64(F.col(text_col).cast("string"))
-    tagged = docs.select(F.struct("*").alias("row"), doc.alias("doc"), mark.alias("mark"))
-    return tagged.join(heads, ["doc", "mark"], "left_semi").dropDuplicates(["doc", "mark"]).select("row.*")

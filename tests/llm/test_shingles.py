@@ -1,0 +1,78 @@
+"""Near-duplicate removal of the pipeline against exact five-word-shingle components."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from holdfast.llm import shingles
+from tests.llm.test_pair_operators import roots
+
+
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def planted():
+    """Pairs at a similarity of 0.6 to 1, a chain whose ends are far apart, a large family, blanks and short texts."""
+    dice = random.Random(11)
+    word = lambda: f"w{dice.randint(0, 4000)}"
+    out = []
+    for k in range(120):
+        text = [word() for _ in range(120)]
+        tail = [word() for _ in range(k // 3)]  # shares 116 - x of 116 + x shingles
+        out += [" ".join(text), " ".join(text[: 120 - len(tail)] + tail)]
+    chain = [word() for _ in range(200)]
+    for k in range(8):
+        out.append(" ".join(chain[k * 12 : k * 12 + 104]))
+    base = [word() for _ in range(100)]
+    for k in range(60):
+        near = list(base)
+        for _ in range(k % 5):
+            near[dice.randrange(100)] = word()
+        out.append(" ".join(near))
+    out += ["", " \n", None, "One two", "one  TWO", "one two three four five", "one two three four five six"]
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("block", [256, 5])
+def test_near_duplicates_equal_exact_shingle_components(spark, block):
+    rows = planted()
+    sets = {i: shingle_set(t) for i, t in rows}
+    group = roots(sets, [(a, b) for a in sets for b in range(a + 1, len(rows)) if jaccard(sets[a], sets[b]) >= 0.8])
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(r.doc_id for r in shingles.keep_first(table, block=block).collect())
+    assert got == sorted(set(group.values()))
+    if block == 256:
+        assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, table, "").collect()) == got
+
+
+def test_pairs_at_the_limit_share_a_cell():
+    dice = np.random.default_rng(12)
+    for _ in range(1500):
+        x = dice.integers(0, 1 << 64, 100, np.uint64)
+        y = np.concatenate((x[:80], x[80:90]))  # 90 of 100; then 80 of 100
+        assert set(shingles.cells(x)) & set(shingles.cells(y))
+        assert set(shingles.cells(x)) & set(shingles.cells(x[:80]))
+    assert shingles.similar(np.array([80, 79]), np.array([100, 100]), np.array([80, 79])).tolist() == [True, False]
+
+
+def test_forest_connects_what_is_similar():
+    dice = np.random.default_rng(13)
+    for _ in range(30):
+        base = dice.integers(0, 1 << 40, 30).astype("<u8")
+        sets = [np.unique(np.concatenate((dice.choice(base, 26, replace=False), dice.integers(0, 1 << 40, 2).astype("<u8")))) for _ in range(25)]
+        given = dice.integers(0, 20, 25)
+        start = [(a, b) for a in range(25) for b in range(a) if given[a] == given[b]]
+        near = [(a, b) for a in range(25) for b in range(a) if jaccard(set(sets[a].tolist()), set(sets[b].tolist())) >= 0.8]
+        found = shingles.forest(given, sets)
+        assert {tuple(sorted(p, reverse=True)) for p in found} <= set(near)
+        assert roots(range(25), start + found) == roots(range(25), start + near)
