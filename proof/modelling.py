@@ -125,7 +125,7 @@ _MODEL_CATEGORICAL = tuple(c for c in CATEGORICAL_FEATURES if c != "latent_churn
 def _trained(t: Tables):
     key = (t.spark.sparkContext.applicationId, t.folder, "gbt")
     if key not in _MODELS:
-        _MODELS[key] = model.train_gbt(_prepared(t), _MODEL_NUMERIC, _MODEL_CATEGORICAL, model.TrainingConfig(iterations=20))
+        _MODELS[key] = model.train_gbt(_prepared(t), _MODEL_NUMERIC, _MODEL_CATEGORICAL)
     return _MODELS[key]
 
 
