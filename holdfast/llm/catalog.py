@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bit_slices, bpe, interpolation, language, line_dedup, line_rules, packing, quality_model, simhash, suffix_dedup
+from holdfast.llm import (
+    alignment, bit_slices, bpe, divergence, interpolation, language, line_dedup, line_rules, packing, quality_model, secret_scan, simhash, suffix_dedup,
+)
 from holdfast.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +112,60 @@ def op9_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_source_divergence"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), words AS (
+    SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+    SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+), groups AS (
+    SELECT DISTINCT lang, source FROM d
+), v AS (
+    SELECT g.lang, count(k.term) AS v FROM (SELECT DISTINCT lang FROM groups) g LEFT JOIN kept k ON g.lang = k.lang GROUP BY g.lang
+), counts AS (
+    SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL
+), grid AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, v.v::HUGEINT AS v
+    FROM groups g JOIN kept k ON g.lang = k.lang JOIN v ON v.lang = g.lang
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), shares AS (
+    SELECT lang, source, term, n, (1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v)::HUGEINT)::BIGINT AS p FROM grid
+), whole AS (
+    SELECT lang, term, sum(n)::HUGEINT AS n, any_value(v) AS v FROM grid GROUP BY lang, term
+), lang_shares AS (
+    SELECT lang, term, (1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v)::HUGEINT)::BIGINT AS q FROM whole
+), found AS (
+    SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(f.value, 0)::BIGINT AS value
+    FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source
+    LEFT JOIN (
+        SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ) f ON f.lang = g.lang AND f.source = g.source AND f.item = o.source
+    UNION ALL
+    SELECT s.lang, s.source, 'term', s.term, s.p - l.q FROM shares s JOIN lang_shares l ON s.lang = l.lang AND s.term = l.term WHERE s.n > 0 AND s.p > l.q
+)
+SELECT lang, source, part, item, value, CAST(row_number() OVER w AS INTEGER) AS rank FROM found
+WINDOW w AS (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) QUALIFY part = 'pair' OR row_number() OVER w <= 50
+"""
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(read_table(spark, sf_dir, "documents"), *paths).withColumnRenamed("digest", "groups_sha256")
