@@ -5,7 +5,8 @@ Offsets where tokens of both end cut a text into groups. Groups form a monoid: a
 fragments closes what suffix and prefix make together. Joining is associative, so a very long document is cut into byte
 ranges that different tasks tokenise, each tokenizer at the next offset that is safe for it, and a tree of joins
 composes the fragments. Other documents are one chunk. Within a chunk both tokenizers are known to end at a space
-between two other characters, so a unit between such spaces has a fragment of its own, kept in a bounded table.
+between two other characters, so the units between such spaces are closed on both sides, and a block of documents
+encodes each of its distinct units once.
 
 Documents leave in blocks: one row with their figures, their distinct id pairs as places in the block's sorted list of
 pairs, and how many documents hold each. Only those lists are exchanged: partial sums count the documents of each
@@ -23,6 +24,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, fields
 from functools import lru_cache, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,8 @@ from holdfast.session import materialize
 #: A space between two characters that are no white space: no token of either kind goes across the place before it.
 _UNIT = re.compile(r" (?<=\S )(?=\S)")
 _SAFE_A = re.compile(r"[ \t\n\r](?<=\S.)", re.DOTALL)
-KEPT_UNITS = 150_000
+#: Bytes of text in a block. A block's distinct units are encoded once.
+BLOCK_BYTES = 3 << 20
 FAN_IN = 8
 Group = tuple[tuple[int, ...], tuple[int, ...]]
 
@@ -146,6 +149,19 @@ def group_pairs(groups: Iterable[Group], width: int) -> Counter:
     return linked
 
 
+@dataclass(frozen=True)
+class Units:
+    """Many units: whether both tokenizers give the bytes back; n_a, n_b and n_groups; the groups as text, each ending in
+    a semicolon; and the linked pairs of all units end to end, ``links`` of each, with weights unless all are 1."""
+
+    good: np.ndarray
+    figures: np.ndarray
+    texts: list[bytes]
+    links: np.ndarray
+    code: np.ndarray
+    weights: np.ndarray | None
+
+
 class TwoTokenizers:
     """A byte-level tokenizer of the tokenizers library and a sentencepiece model, with the bytes of their tokens."""
 
@@ -180,7 +196,9 @@ class TwoTokenizers:
         self._inside = {p[i : i + 2] for p, ok in zip(pieces, plain, strict=True) if ok for i in range(len(p) - 1)}
         if any(s[1] == "▁" and s[0] != "▁" for s in self._inside) or self._b.encode("x  y") == self._b.encode("x y"):
             raise ValueError("the second tokenizer must begin words, not end them, with its space, and keep all white space")
-        self._known: dict[str, tuple] = {}
+        #: The number of every token with what may follow it: a comma, or the end of its side of the group.
+        sides = ((len(self.bytes_a), b"|"), (self.width, b";"))
+        self._written = [x for n, end in sides for i in range(n) for x in (b"%d," % i, b"%d%b" % (i, end))]
 
     def _ids_a(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._a.encode_batch_fast(texts, add_special_tokens=False)]
@@ -193,37 +211,74 @@ class TwoTokenizers:
         parts = [table[i] for i in ids]
         return b"".join(parts), Tokens(np.array(ids, np.int64), at + np.cumsum(np.array(list(map(len, parts)), np.int64)))
 
-    def known(self, units: list[str]) -> list[tuple | None]:
-        """For each unit (n_a, n_b, n_groups, groups as text, linked pairs, how often each); None if its bytes are changed.
-
-        A unit is text between two cuts, without the space that comes before it in the text.
-        """
-        kept = self._known
-        if len(kept) > KEPT_UNITS:
-            kept.clear()
-        new = [u for u in units if u not in kept]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for unit, a, b in zip(part, self._ids_a([" " + u for u in part]), self._ids_b(part), strict=True):
-                kept[unit] = self._unit(unit, a, b)
-        return [kept[u] for u in units]
-
-    def _unit(self, unit: str, a: list[int], b: list[int]) -> tuple | None:
-        want = (" " + unit).encode()
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(parts_a) != want or b"".join(parts_b) != want:
-            return None
-        groups, i, j, end_a, end_b, from_a, from_b = [], 0, 0, 0, 0, 0, 0
-        while i < len(a):
-            if end_a <= end_b:
-                end_a, i = end_a + len(parts_a[i]), i + 1
-            while end_b < end_a:
-                end_b, j = end_b + len(parts_b[j]), j + 1
-            if end_a == end_b:
-                groups.append((tuple(a[from_a:i]), tuple(b[from_b:j])))
-                from_a, from_b = i, j
-        pairs = group_pairs(groups, self.width)
-        return len(a), len(b), len(groups), group_text(groups), np.array(list(pairs), "<i8").tobytes(), np.array(list(pairs.values()), "<i8").tobytes()
+    def _flat(self, found: list[list[int]], table: list[bytes], raw: bytes, begin: np.ndarray, size: np.ndarray) -> tuple:
+        """All ids end to end, how many each unit has, their bytes' lengths, and which units give their bytes back."""
+        many = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int64, int(many.sum()))
+        parts = [table[i] for i in ids.tolist()]
+        length = np.fromiter(map(len, parts), np.int64, len(parts))
+        total = np.zeros(len(found), np.int64)
+        np.add.at(total, np.repeat(np.arange(len(found)), many), length)
+        got, good = b"".join(parts), total == size
+        if got != raw:
+            place = np.cumsum(total) - total
+            for u in np.flatnonzero(good).tolist():
+                good[u] = got[place[u] : place[u] + size[u]] == raw[begin[u] : begin[u] + size[u]]
+        return ids, many, length, good
+
+    def align_units(self, words: list[str]) -> Units:
+        """The groups of many units at once. A unit is text between two cuts, without the space that comes before it."""
+        found_a, found_b = [], []
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            found_a += self._ids_a([" " + u for u in part])
+            found_b += self._ids_b(part)
+        raw = "".join(" " + u for u in words).encode()
+        size = np.fromiter((1 + len(u.encode()) for u in words), np.int64, len(words))
+        begin = np.cumsum(size) - size
+        (ids_a, many_a, length_a, good_a), (ids_b, many_b, length_b, good_b) = (
+            self._flat(f, t, raw, begin, size) for f, t in ((found_a, self.bytes_a), (found_b, self.bytes_b))
+        )
+        good = good_a & good_b
+        keep_a, keep_b = np.repeat(good, many_a), np.repeat(good, many_b)
+        ids_a, ids_b = ids_a[keep_a], ids_b[keep_b]
+        many_a, many_b = many_a * good, many_b * good
+        end_a, end_b = np.cumsum(length_a[keep_a]), np.cumsum(length_b[keep_b])
+        marked = np.zeros((2, int((size * good).sum()) + 1), bool)
+        marked[0, end_a], marked[1, end_b] = True, True
+        last_a, last_b = marked[1, end_a], marked[0, end_b]
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        n_groups = int(last_a.sum())
+        in_a, in_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
+        from_a, from_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        # Texts: the tokens of both in the order they are written in, each with the sign that follows it.
+        order = np.empty(len(ids_a) + len(ids_b), np.int64)
+        order[np.arange(len(ids_a)) + from_b[group_a]] = 2 * ids_a + last_a
+        order[np.arange(len(ids_b)) + (from_a + in_a)[group_b]] = 2 * (len(self.bytes_a) + ids_b) + last_b
+        written = [self._written[i] for i in order.tolist()]
+        stop = np.cumsum(many_a + many_b).tolist()
+        texts = [b"".join(written[i:j]) for i, j in zip([0, *stop], stop, strict=False)]
+        # Links: every token of the first kind with every one of the second in its group, but for very large groups.
+        large = in_a * in_b > 4096
+        times = np.where(large, 0, in_b)[group_a]
+        spot = np.repeat(np.arange(len(ids_a)), times)
+        inner = np.arange(len(spot)) - np.repeat(np.cumsum(times) - times, times)
+        code = ids_a[spot] * self.width + ids_b[from_b[group_a[spot]] + inner]
+        unit_a = np.repeat(np.arange(len(words)), many_a)
+        units, weights = unit_a[spot], None
+        if large.any():
+            more = [np.zeros((0, 3), np.int64)]
+            for g in np.flatnonzero(large).tolist():
+                i, j = from_a[g], from_b[g]
+                group = tuple(ids_a[i : i + in_a[g]].tolist()), tuple(ids_b[j : j + in_b[g]].tolist())
+                more.append(np.array([(unit_a[i], c, n) for c, n in group_pairs([group], self.width).items()], np.int64))
+            extra = np.concatenate(more)
+            weights = np.concatenate((np.ones(len(code), np.int64), extra[:, 2]))
+            units, code = np.concatenate((units, extra[:, 0])), np.concatenate((code, extra[:, 1]))
+            turn = np.argsort(units, kind="stable")
+            units, code, weights = units[turn], code[turn], weights[turn]
+        groups = np.bincount(unit_a[last_a], minlength=len(words))
+        return Units(good, np.stack((many_a, many_b, groups)), texts, np.bincount(units, minlength=len(words)), code, weights)
 
     def safe_a(self, text: str, at: int) -> int:
         """The first place from ``at`` on, at white space after another character, that no token of the first kind crosses."""
@@ -295,13 +350,20 @@ _PART = "doc_id long, key string, copies long, k long, fragment binary"
 _OUT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, digest string"
 
 
-def _block(ids: list, copies: np.ndarray, figures: np.ndarray, digests: list[str], doc: np.ndarray, code: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-    """A block row of documents from (document, pair, how often) entries, in which pairs may repeat."""
-    pairs, place = np.unique(code, return_inverse=True)
-    key, entry = np.unique(doc * max(len(pairs), 1) + place, return_inverse=True)
-    many = np.zeros(len(key), np.int64)
-    np.add.at(many, entry, times)
-    owner, place = np.divmod(key, max(len(pairs), 1))
+def _block(
+    ids: list, copies: np.ndarray, figures: np.ndarray, digests: list[str], doc: np.ndarray, place: np.ndarray, weights: np.ndarray | None, pairs: np.ndarray
+) -> pa.RecordBatch:
+    """A block row of documents from entries (document, place of the pair in ``pairs``, how often), in which pairs may repeat."""
+    width = max(len(pairs), 1)
+    key = doc * width + place
+    if weights is None:
+        key.sort()
+    else:
+        turn = np.argsort(key)
+        key, weights = key[turn], weights[turn]
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    many = np.diff(np.append(new, len(key))) if weights is None else np.add.reduceat(weights, new) if len(new) else weights
+    owner, place = np.divmod(key[new], width)
     links = np.zeros(len(ids), np.int64)
     np.add.at(links, owner, many)
     docs = np.zeros(len(pairs), np.int64)
@@ -315,42 +377,40 @@ def _block(ids: list, copies: np.ndarray, figures: np.ndarray, digests: list[str
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _BLOCK.types, strict=True)], schema=_BLOCK)
 
 
+def _ranges(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers from each begin on, as many as told, end to end."""
+    return np.arange(many.sum()) + np.repeat(begin - np.cumsum(many) + many, many)
+
+
 def _short_blocks(path_a: str, path_b: str):
+    def block(both: TwoTokenizers, ids: list, texts: list[str | None]) -> pa.RecordBatch:
+        parts = [_UNIT.split(t) if t else [] for t in texts]
+        ends = np.cumsum([0, *map(len, parts)])
+        coded = pa.array(list(chain.from_iterable(parts)), pa.string()).dictionary_encode()
+        del parts
+        units, at = both.align_units(coded.dictionary.to_pylist()), coded.indices.to_numpy()
+        ok = np.array([j > i and bool(units.good[at[i:j]].all()) for i, j in zip(ends, ends[1:], strict=False)], bool)
+        text_of = units.texts
+        digests = [
+            hashlib.sha256(b"".join([text_of[u] for u in at[i:j].tolist()])[:-1]).hexdigest() if right else ""
+            for i, j, right in zip(ends.tolist(), ends[1:].tolist(), ok.tolist(), strict=False)
+        ]
+        owner = np.repeat(np.arange(len(texts)), np.diff(ends))
+        valid = ok[owner]
+        owner, at = owner[valid], at[valid]
+        figures = np.zeros((3, len(texts)), np.int64)
+        for i in range(3):
+            np.add.at(figures[i], owner, units.figures[i, at])
+        pairs, place = np.unique(units.code, return_inverse=True)
+        spread = _ranges((np.cumsum(units.links) - units.links)[at], units.links[at])
+        weights = None if units.weights is None else units.weights[spread]
+        return _block(ids, np.ones(len(texts), np.int64), figures, digests, np.repeat(owner, units.links[at]), place[spread], weights, pairs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = two_tokenizers(path_a, path_b)
-        for batch in slices(batches, most=3 << 20):
-            texts = batch.column("text").to_pylist()
-            parts = [_UNIT.split(t) if t else [] for t in texts]
-            ends = np.cumsum([0, *map(len, parts)])
-            coded = pa.chunked_array([pa.array(p, pa.string()) for p in parts] or [pa.array([], pa.string())]).combine_chunks().dictionary_encode()
-            known = both.known(coded.dictionary.to_pylist())
-            at, good = coded.indices.to_numpy(), np.array([k is not None for k in known], bool)
-            ok = np.array([j > i and good[at[i:j]].all() for i, j in zip(ends, ends[1:], strict=False)], bool)
-            table = [k or (0, 0, 0, b"", b"", b"") for k in known]
-            text_of = [k[3] for k in table]
-            digests = [
-                hashlib.sha256(b";".join([text_of[u] for u in at[i:j].tolist()])).hexdigest() if right else ""
-                for i, j, right in zip(ends.tolist(), ends[1:].tolist(), ok.tolist(), strict=False)
-            ]
-            figures = np.zeros((3, len(texts)), np.int64)
-            owner = np.repeat(np.arange(len(texts)), np.diff(ends))
-            valid = ok[owner]
-            owner, at = owner[valid], at[valid]
-            numbers = np.array([k[:3] for k in table], np.int64).reshape(-1, 3)
-            for i in range(3):
-                np.add.at(figures[i], owner, numbers[at, i])
-            # Each (document, unit) once, with its number of occurrences, before its pairs are spread out.
-            key, n = np.unique(owner * max(len(table), 1) + at, return_counts=True)
-            owner, at = np.divmod(key, max(len(table), 1))
-            sizes = np.array([len(k[4]) // 8 for k in table], np.int64)
-            begin = np.cumsum(sizes) - sizes
-            code, times = (np.frombuffer(b"".join(k[i] for k in table), "<i8") for i in (4, 5))
-            many = sizes[at]
-            place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin[at], many)
-            yield _block(
-                batch.column("doc_id").to_pylist(), np.ones(len(texts), np.int64), figures, digests,
-                np.repeat(owner, many), code[place], times[place] * np.repeat(n, many),
-            )
+        for batch in slices(batches, most=BLOCK_BYTES):
+            yield block(both, batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -401,11 +461,12 @@ def _long_blocks(path_a: str, path_b: str):
         for batch in batches:
             for doc_id, copies, packed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "copies", "fragment")), strict=True):
                 groups = Fragment.unpack(packed).groups() if packed else []
-                pairs = group_pairs(groups, width)
-                code, times = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int64)
+                linked = group_pairs(groups, width)
+                code, times = np.array(list(linked), np.int64), np.array(list(linked.values()), np.int64)
+                pairs, place = np.unique(code, return_inverse=True)
                 figures = np.array([[sum(len(g[0]) for g in groups)], [sum(len(g[1]) for g in groups)], [len(groups)]], np.int64)
                 digest = hashlib.sha256(group_text(groups)).hexdigest() if groups else ""
-                yield _block([doc_id], np.array([copies], np.int64), figures, [digest], np.zeros(len(code), np.int64), code, times)
+                yield _block([doc_id], np.array([copies], np.int64), figures, [digest], np.zeros(len(code), np.int64), place, times, pairs)
 
     return run
 
