@@ -31,15 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.bpe import byte_letters
-from holdfast.llm.common import slices
+from holdfast.llm import bpe
+from holdfast.llm.common import release, slices
 from holdfast.session import materialize
 
 #: A space between two characters that are no white space: no token of either kind goes across the place before it.
 _UNIT = re.compile(r" (?<=\S )(?=\S)")
 _SAFE_A = re.compile(r"[ \t\n\r](?<=\S.)", re.DOTALL)
 #: Bytes of text in a block. A block's distinct units are encoded once.
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 2 << 20
 FAN_IN = 8
 Group = tuple[tuple[int, ...], tuple[int, ...]]
 
@@ -149,6 +149,11 @@ def group_pairs(groups: Iterable[Group], width: int) -> Counter:
     return linked
 
 
+def _ranges(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers from each begin on, as many as told, end to end."""
+    return np.arange(many.sum()) + np.repeat(begin - np.cumsum(many) + many, many)
+
+
 @dataclass(frozen=True)
 class Units:
     """Many units: whether both tokenizers give the bytes back; n_a, n_b and n_groups; the groups as text, each ending in
@@ -168,21 +173,24 @@ class TwoTokenizers:
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self._a = Tokenizer.from_file(path_a)
         self._a.no_truncation()
         self._a.no_padding()
         self._a.encode_special_tokens = True
+        self._rule = bpe.vocabulary(path_a)
         spec = json.loads(self._a.to_str())
         splitter = spec["pre_tokenizer"] or {}
         if spec["normalizer"] or splitter.get("type") != "ByteLevel" or splitter.get("add_prefix_space") or not splitter.get("use_regex", True):
             raise ValueError("the first tokenizer must be byte-level, with the usual split and without a normaliser")
-        letters = byte_letters()
+        letters = bpe.byte_letters()
         entries = self._a.get_vocab(with_added_tokens=False)
         self.bytes_a = [b""] * (1 + max(self._a.get_vocab().values()))
         for text, i in entries.items():
             self.bytes_a[i] = bytes(letters[c] for c in text)
+        self._length_a = np.array(list(map(len, self.bytes_a)), np.int64)
         self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.width = self._b.get_piece_size()
         if len(self.bytes_a) * self.width >= 1 << 63:
@@ -196,6 +204,13 @@ class TwoTokenizers:
         self._inside = {p[i : i + 2] for p, ok in zip(pieces, plain, strict=True) if ok for i in range(len(p) - 1)}
         if any(s[1] == "▁" and s[0] != "▁" for s in self._inside) or self._b.encode("x  y") == self._b.encode("x y"):
             raise ValueError("the second tokenizer must begin words, not end them, with its space, and keep all white space")
+        # The same merges for the faster library, whose ranks are the places of the merges; single bytes come first.
+        byte_ids = [i for b, i in self._rule.ids.items() if len(b) == 1]
+        self._by_rank = np.array(byte_ids + [i for i in self._rule.made if len(self.bytes_a[i]) > 1])
+        ranks: dict[bytes, int] = {}
+        for rank, i in enumerate(self._by_rank.tolist()):
+            ranks.setdefault(self.bytes_a[i], rank)
+        self._fast = tiktoken.Encoding("merges", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})
         #: The number of every token with what may follow it: a comma, or the end of its side of the group.
         sides = ((len(self.bytes_a), b"|"), (self.width, b";"))
         self._written = [x for n, end in sides for i in range(n) for x in (b"%d," % i, b"%d%b" % (i, end))]
@@ -206,39 +221,76 @@ class TwoTokenizers:
     def _ids_b(self, texts: list[str]) -> list[list[int]]:
         return self._b.encode(texts, num_threads=1)
 
+    def _units_a(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The first kind's ids of all units end to end, and how many each has.
+
+        Units of Latin letters are proposed by the faster library as one text. It may merge a pair that the merge list
+        does not name, so every adjacent pair is verified, and units with a failing one are encoded by the slower library.
+        """
+        plain = np.fromiter((bpe._OTHER.search(u) is None for u in words), bool, len(words))
+        many = np.zeros(len(words), np.int64)
+        chosen = np.flatnonzero(plain)
+        text = "".join(" " + words[i] for i in chosen.tolist())
+        ids = self._by_rank[self._fast.encode_to_numpy(text)] if text else NONE.ids
+        size = np.fromiter((1 + len(words[i].encode()) for i in chosen.tolist()), np.int64, len(chosen))
+        stop, end = np.cumsum(size), np.cumsum(self._length_a[ids])
+        owner = np.searchsorted(stop, end)
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
+        keys, at = np.unique(ids[inside] * len(self.bytes_a) + ids[inside + 1], return_inverse=True)
+        bad = ~self._rule.compatible(*np.divmod(keys, len(self.bytes_a)))[at]
+        failing = np.zeros(len(chosen), bool)
+        failing[owner[inside[bad]]] = True
+        failing[owner[~self._rule.whole[ids]]] = True
+        failing |= ~np.isin(stop, end)
+        many[chosen] = np.bincount(owner, minlength=len(chosen))[: len(chosen)]
+        plain[chosen[failing]] = False
+        slow = np.flatnonzero(~plain)
+        kept = ids[~failing[np.minimum(owner, len(chosen) - 1)]] if len(chosen) else ids
+        if not len(slow):
+            return kept, many
+        found: list[list[int]] = []
+        for i in range(0, len(slow), 4096):
+            found += self._ids_a([" " + words[u] for u in slow[i : i + 4096].tolist()])
+        many[slow] = np.fromiter(map(len, found), np.int64, len(found))
+        begin = np.cumsum(many) - many
+        out = np.empty(int(many.sum()), np.int64)
+        for which, values in ((plain, kept), (~plain, np.fromiter(chain.from_iterable(found), np.int64))):
+            out[_ranges(begin[which], many[which])] = values
+        return out, many
+
     @staticmethod
     def _tokens(ids: list[int], table: list[bytes], at: int) -> tuple[bytes, Tokens]:
         parts = [table[i] for i in ids]
         return b"".join(parts), Tokens(np.array(ids, np.int64), at + np.cumsum(np.array(list(map(len, parts)), np.int64)))
 
-    def _flat(self, found: list[list[int]], table: list[bytes], raw: bytes, begin: np.ndarray, size: np.ndarray) -> tuple:
-        """All ids end to end, how many each unit has, their bytes' lengths, and which units give their bytes back."""
-        many = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int64, int(many.sum()))
+    @staticmethod
+    def _given_back(ids: np.ndarray, many: np.ndarray, table: list[bytes], raw: bytes, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes' lengths of ids, and which units give their bytes back."""
         parts = [table[i] for i in ids.tolist()]
         length = np.fromiter(map(len, parts), np.int64, len(parts))
-        total = np.zeros(len(found), np.int64)
-        np.add.at(total, np.repeat(np.arange(len(found)), many), length)
+        total = np.zeros(len(many), np.int64)
+        np.add.at(total, np.repeat(np.arange(len(many)), many), length)
         got, good = b"".join(parts), total == size
         if got != raw:
             place = np.cumsum(total) - total
             for u in np.flatnonzero(good).tolist():
                 good[u] = got[place[u] : place[u] + size[u]] == raw[begin[u] : begin[u] + size[u]]
-        return ids, many, length, good
+        return length, good
 
     def align_units(self, words: list[str]) -> Units:
         """The groups of many units at once. A unit is text between two cuts, without the space that comes before it."""
-        found_a, found_b = [], []
+        ids_a, many_a = self._units_a(words)
+        found: list[list[int]] = []
         for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            found_a += self._ids_a([" " + u for u in part])
-            found_b += self._ids_b(part)
+            found += self._ids_b(words[at : at + 4096])
+        many_b = np.fromiter(map(len, found), np.int64, len(found))
+        ids_b = np.fromiter(chain.from_iterable(found), np.int64, int(many_b.sum()))
+        del found
         raw = "".join(" " + u for u in words).encode()
         size = np.fromiter((1 + len(u.encode()) for u in words), np.int64, len(words))
         begin = np.cumsum(size) - size
-        (ids_a, many_a, length_a, good_a), (ids_b, many_b, length_b, good_b) = (
-            self._flat(f, t, raw, begin, size) for f, t in ((found_a, self.bytes_a), (found_b, self.bytes_b))
-        )
+        length_a, good_a = self._given_back(ids_a, many_a, self.bytes_a, raw, begin, size)
+        length_b, good_b = self._given_back(ids_b, many_b, self.bytes_b, raw, begin, size)
         good = good_a & good_b
         keep_a, keep_b = np.repeat(good, many_a), np.repeat(good, many_b)
         ids_a, ids_b = ids_a[keep_a], ids_b[keep_b]
@@ -371,17 +423,12 @@ def _block(
     n_a, n_b, n_groups = figures
     row = [
         uuid.uuid4().hex, ids, copies.tolist(), n_a.tolist(), n_b.tolist(), n_groups.tolist(), links.tolist(), digests,
-        np.bincount(owner, minlength=len(ids)).astype("<i4").tobytes(), place.astype("<i4").tobytes(), many.astype("<i8").tobytes(),
+        np.bincount(owner, minlength=len(ids)).astype("<i4").tobytes(), place.astype("<i4").tobytes(), many.astype("<i4" if many.max(initial=0) < 1 << 31 else "<i8").tobytes(),
         pairs.astype("<i8").tobytes(), docs.astype("<i8").tobytes(),
     ]
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _BLOCK.types, strict=True)], schema=_BLOCK)
 
 
-def _ranges(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """The numbers from each begin on, as many as told, end to end."""
-    return np.arange(many.sum()) + np.repeat(begin - np.cumsum(many) + many, many)
-
-
 def _short_blocks(path_a: str, path_b: str):
     def block(both: TwoTokenizers, ids: list, texts: list[str | None]) -> pa.RecordBatch:
         parts = [_UNIT.split(t) if t else [] for t in texts]
@@ -410,7 +457,7 @@ def _short_blocks(path_a: str, path_b: str):
         both = two_tokenizers(path_a, path_b)
         for batch in slices(batches, most=BLOCK_BYTES):
             yield block(both, batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
-            pa.default_memory_pool().release_unused()
+            release()
 
     return run
 
@@ -484,7 +531,8 @@ def _settled(blocks: pa.Table, answers: pa.Table) -> pa.Table:
     order = np.argsort(pair)
     count, best = answers.column("count").to_numpy()[order], answers.column("best").to_numpy()[order].astype(np.int64)
     row = blocks.to_pylist()[0]
-    place, times = np.frombuffer(row["places"], "<i4"), np.frombuffer(row["times"], "<i8")
+    place = np.frombuffer(row["places"], "<i4")
+    times = np.frombuffer(row["times"], "<i4" if len(row["times"]) == len(row["places"]) else "<i8").astype(np.int64)
     sizes = np.frombuffer(row["sizes"], "<i4")
     owner = np.repeat(np.arange(len(sizes)), sizes)
     total, top = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
