@@ -402,6 +402,10 @@ _PART = "doc_id long, key string, copies long, k long, fragment binary"
 _OUT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, digest string"
 
 
+def _small(x: np.ndarray) -> bytes:
+    return pa.compress(x.tobytes(), "zstd", asbytes=True)
+
+
 def _block(
     ids: list, copies: np.ndarray, figures: np.ndarray, digests: list[str], doc: np.ndarray, place: np.ndarray, weights: np.ndarray | None, pairs: np.ndarray
 ) -> pa.RecordBatch:
@@ -423,7 +427,7 @@ def _block(
     n_a, n_b, n_groups = figures
     row = [
         uuid.uuid4().hex, ids, copies.tolist(), n_a.tolist(), n_b.tolist(), n_groups.tolist(), links.tolist(), digests,
-        np.bincount(owner, minlength=len(ids)).astype("<i4").tobytes(), place.astype("<i4").tobytes(), many.astype("<i4" if many.max(initial=0) < 1 << 31 else "<i8").tobytes(),
+        np.bincount(owner, minlength=len(ids)).astype("<i4").tobytes(), _small(place.astype("<i4")), _small(many.astype("<i8")),
         pairs.astype("<i8").tobytes(), docs.astype("<i8").tobytes(),
     ]
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _BLOCK.types, strict=True)], schema=_BLOCK)
@@ -519,6 +523,9 @@ def _long_blocks(path_a: str, path_b: str):
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    two_tokenizers.cache_clear()  # not needed any more by this worker
+    bpe.vocabulary.cache_clear()
+    release()
     for batch in batches:
         for block, pairs, docs in zip(*(batch.column(c).to_pylist() for c in ("block", "pairs", "docs")), strict=True):
             pair, n = np.frombuffer(pairs, "<i8"), np.frombuffer(docs, "<i8")
@@ -527,13 +534,15 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _settled(blocks: pa.Table, answers: pa.Table) -> pa.Table:
     """The documents of a block with the sums over their links; ``answers`` has the count of each pair of the block."""
+    two_tokenizers.cache_clear()
+    bpe.vocabulary.cache_clear()
     pair = answers.column("pair").to_numpy()
     order = np.argsort(pair)
     count, best = answers.column("count").to_numpy()[order], answers.column("best").to_numpy()[order].astype(np.int64)
     row = blocks.to_pylist()[0]
-    place = np.frombuffer(row["places"], "<i4")
-    times = np.frombuffer(row["times"], "<i4" if len(row["times"]) == len(row["places"]) else "<i8").astype(np.int64)
     sizes = np.frombuffer(row["sizes"], "<i4")
+    n = int(sizes.sum())
+    place, times = (np.frombuffer(pa.decompress(row[c], n * w, "zstd", asbytes=True), f"<i{w}") for c, w in (("places", 4), ("times", 8)))
     owner = np.repeat(np.arange(len(sizes)), sizes)
     total, top = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     if len(place):

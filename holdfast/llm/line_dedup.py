@@ -7,11 +7,13 @@ counted exactly. Line hashes have 128 bits.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from holdfast.llm.common import release, slices
 from holdfast.session import materialize
 
 #: White space that is cut from the ends of a line before lines are compared.
@@ -45,15 +47,19 @@ def widespread(lines: DataFrame, sites: int) -> DataFrame:
     return materialize(sure.unionByName(settled), "boilerplate")
 
 
-@F.pandas_udf(T.StringType())
-def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
-    def cut(t: str | None, positions: list[int] | None) -> str | None:
-        if t is None or positions is None:
-            return t
-        drop = set(positions)
-        return "\n".join(line for i, line in enumerate(t.split("\n")) if i not in drop)
+def _without(text: str | None, positions: list[int] | None) -> str | None:
+    if text is None or positions is None:
+        return text
+    drop = set(positions)
+    return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in drop)
+
 
-    return pd.Series([cut(t, p) for t, p in zip(text, gone, strict=True)], dtype=object)
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row, text, gone) with the lines at the places ``gone`` taken out of the text."""
+    for batch in slices(batches):
+        kept = [_without(t, p) for t, p in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.string()), batch.column("gone")], ["row", "text", "gone"])
+    release()
 
 
 def remove_boilerplate(
@@ -64,7 +70,7 @@ def remove_boilerplate(
 
     Lines are compared without white space at their ends; blank lines stay. A shared line stays, everywhere in it, in
     the document with the smallest id that has it. A null site is no site, a null text stays null, a null id comes
-    after all others. Repeated rows are treated alike. ``counts`` names two more columns: lines, and lines removed.
+    after all others. Repeated rows are treated alike, and an empty table gives no rows. ``counts`` names two more columns: lines, and lines removed.
     """
     lines = _lines(docs, id_col, text_col, site_col)
     shared = widespread(lines, sites)
@@ -74,11 +80,13 @@ def remove_boilerplate(
     def key(c: Column) -> Column:
         return F.coalesce(c.cast("long"), F.lit(_LAST))
 
-    base, gone = docs.alias("base"), gone.alias("hit")
-    found = base.join(gone, (key(F.col(f"base.{id_col}")) == F.col("hit.doc")) & (F.xxhash64(F.col(f"base.{text_col}").cast("string")) == F.col("hit.mark")), "left")
-    text, lost = F.col(f"base.{text_col}"), F.col("hit.gone")
-    columns = [F.when(lost.isNull(), text).otherwise(_without(text, lost)).alias(c) if c == text_col else F.col(f"base.{c}") for c in docs.columns]
+    text = docs[f"`{text_col}`"].cast("string")
+    tagged = docs.select(F.struct("*").alias("row"), text.alias("text"), key(docs[f"`{id_col}`"]).alias("doc"), F.xxhash64(text).alias("mark"))
+    found = tagged.join(gone, ["doc", "mark"], "left").select("row", "text", "gone")
+    cut = found.mapInArrow(_cut, found.schema)
+    columns = [F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
     if counts:
-        n = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n", -1))).cast("long")
-        columns += [n.alias(counts[0]), F.coalesce(F.size(lost), F.lit(0)).cast("long").alias(counts[1])]
-    return found.select(*columns)
+        before = F.col("row")[text_col]
+        n = F.when(before.isNull(), 0).otherwise(F.size(F.split(before, "\n", -1))).cast("long")
+        columns += [n.alias(counts[0]), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias(counts[1])]
+    return cut.select(*columns)

@@ -11,7 +11,9 @@ before it, so each range is laid out by itself, in order, holding one document a
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import as_bytes, id_and_text, slices
+from holdfast.llm.common import as_bytes, id_and_text, release, slices
 from holdfast.session import materialize
 
 DIMENSIONS, BITS, BUCKETS, SPREAD = 4, 10, 512, 23
@@ -86,6 +88,9 @@ class WordTokens:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
+        spec = json.loads(self._tokenizer.to_str())
+        if '"Lowercase"' not in json.dumps(spec["normalizer"]) or spec["model"].get("end_of_word_suffix") != "</w>":
+            raise ValueError("packing needs a tokenizer that lowers case and marks the ends of words")
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for s, i in vocabulary.items() if s.endswith("</w>")]] = True
@@ -111,7 +116,8 @@ class WordTokens:
         for w in words:
             stem = w.rstrip(_SIGNS)
             text = stem.decode()
-            if not text.isalpha():
+            # A letter that the tokenizer's normaliser turns into letter and mark would be joined with the signs behind it.
+            if not text.isalpha() or not (text.isascii() or unicodedata.normalize("NFC", text).lower().isalpha()):
                 others[w] = w.decode()
                 continue
             if stem not in known:
@@ -165,6 +171,8 @@ def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
             key = hilbert_keys(np.minimum(points * (1 << BITS), (1 << BITS) - 1), BITS) << SPREAD
             n = pa.array([len(x) // 2 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(key), n, pa.array(ids, pa.binary())], ["doc_id", "key", "n", "ids"])
+            del flat, ids
+        release()
 
     rows = id_and_text(docs).mapInArrow(run, "doc_id long, key long, n long, ids binary")
     spread = F.xxhash64("doc_id", "n").bitwiseAND((1 << SPREAD) - 1)
@@ -176,7 +184,7 @@ def pack(docs: DataFrame, path: str, length: int = 4096, end_id: int = 2, ranges
     sequence_id, offset.
 
     A null text is an empty document, which still has its end id. Repeated rows are packed one by one. Documents of
-    equal key follow each other by id, then by content. Vocabularies above 65,536 ids are not supported.
+    equal key follow each other by id, then by a hash of their content. Vocabularies above 65,536 ids are not supported.
     """
     spark = docs.sparkSession
     stored = materialize(tokenised(docs, path, end_id), "tokens")
@@ -199,7 +207,7 @@ def pack(docs: DataFrame, path: str, length: int = 4096, end_id: int = 2, ranges
         part, place = None, 0
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         for whole in batches:
-            for batch in slices([whole], text="ids", most=8 << 20):
+            for batch in slices([whole], text="ids", most=2 << 20):
                 rows = []
                 for doc_id, own, n, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "part", "n", "ids")), strict=True):
                     if own != part:
@@ -212,7 +220,10 @@ def pack(docs: DataFrame, path: str, length: int = 4096, end_id: int = 2, ranges
                         start, place = start + size, place + size
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                del rows
                 yield pa.RecordBatch.from_arrays(columns, names)
+        word_tokens.cache_clear()  # not needed any more by this worker
+        release()
 
-    ordered = dealt.repartition("part").sortWithinPartitions("part", "key", "doc_id", "n", "ids")
+    ordered = dealt.repartition("part").sortWithinPartitions("part", "key", "doc_id", "n", F.xxhash64("ids"))
     return ordered.mapInArrow(lay_out, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

@@ -15,13 +15,12 @@ from functools import lru_cache
 from itertools import product
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import as_bytes, id_and_text, slices
+from holdfast.llm.common import as_bytes, id_and_text, release, slices
 from holdfast.llm.line_rules import SYMBOLS, labelled_sample
 
 #: Fixed value: common English insults.
@@ -305,8 +304,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = 12_000, threshol
     """The rows of ``docs``, with all their columns, that :func:`classify` keeps."""
     judge = fit(docs.select("doc_id", F.col(text_col).alias("text")), labels, sample)
 
-    @F.pandas_udf("boolean")
-    def good(text: pd.Series) -> pd.Series:
-        return pd.Series([judge.of(None if t is None else t.encode())[2] >= threshold for t in text])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text=text_col):
+            good = [judge.of(t)[2] >= threshold for t in as_bytes(batch.column(text_col))]
+            yield batch.filter(pa.array(good, pa.bool_()))
+        release()
 
-    return docs.filter(good(F.col(text_col).cast("string")))
+    return docs.mapInArrow(run, docs.schema)

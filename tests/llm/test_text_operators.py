@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from holdfast.llm import bpe, interpolation, language, line_dedup, line_rules, packing, quality_model
@@ -226,3 +228,28 @@ def test_labeller_estimation_separates_kinds():
 
 def test_digests_of_the_query_columns():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_packing_ids_of_odd_letters_equal_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    dice = random.Random(12)
+    letters = "abzİıIſßǅΣςÅKéÉ\u0301\u0307ﬁŉǰΐ日あ가Ωω.,:;!?-'0½ \n"
+    words = ["İ.", "BİLGİ.", "AHMET DEMİRCİ,", "ŞİRKETİ: x", "ΟΔΟΣ.", "don't.", "a\u0307."]
+    words += ["".join(dice.choice(letters) for _ in range(dice.randint(1, 12))) for _ in range(6000)]
+    words += ["".join(chr(dice.choice([dice.randrange(0x41, 0x250), dice.randrange(0x250, 0x2000)])) for _ in range(dice.randint(1, 6))) + dice.choice(".,!") for _ in range(6000)]
+    flat, edges = packing.word_tokens(path).encode_all([w.encode() for w in words])
+    for w, i, j in zip(words, edges.tolist(), edges[1:].tolist(), strict=False):
+        assert flat[i:j].tolist() == library.encode(w, add_special_tokens=False).ids, ascii(w)
+
+
+def test_packing_refuses_other_tokenizers():
+    with pytest.raises(ValueError):
+        packing.WordTokens(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_boilerplate_with_odd_column_names(spark):
+    rows = [(i, f"own line {i}\nshared line", f"s{i}", 1, "x") for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, `a.b` int, `row` string")
+    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(frame, counts=("n", "gone")).collect()}
+    assert got[0].text == rows[0][1] and got[5].text == "own line 5" and (got[5].n, got[5].gone, got[5]["a.b"], got[5].row) == (2, 1, 1, "x")
