@@ -14,29 +14,46 @@ from holdfast.session import ensure_checkpoint_dir
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weak-label classifier does not reject."""
+    """Documents that the weak-label classifier does not reject, with all their columns.
+
+    A null text or one without words is rejected; equal texts are judged alike and repeated rows stay; an empty table
+    gives no rows. Without labels the votes alone decide.
+    """
     return quality_model.keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many sites share."""
+    """All documents, without the lines that many sites share; blank lines and null texts stay as they are.
+
+    Repeated rows are treated alike; an empty table gives no rows.
+    """
     return line_dedup.remove_boilerplate(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: the smallest id, a null id last. Repeated rows count as one.
+
+    Texts without words, null ones too, are one group; an empty table gives no rows.
+    """
     return simhash.keep_first(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that an earlier document has; a character cut in part goes whole."""
-    cut = suffix_dedup.remove_repeats(docs)
+    """All documents, without the passages that an earlier document has; a character cut in part goes whole.
+
+    A null text stays null and removes nothing; of repeated rows the first of their ids keeps the passage, equal ids keep
+    it all. Columns of any name stay as they are. An empty table gives no rows.
+    """
+    cut = suffix_dedup.remove_repeats(docs.select("doc_id", "text", F.struct("*").alias("row")))
     text = F.when(F.col("text").isNull() | (F.col("n_removed") == 0), F.col("text")).otherwise(suffix_dedup.whole_characters(F.col("kept")))
-    return cut.withColumn("text", text).select(docs.columns)
+    return cut.select(*(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' token ids in sequences of 4096."""
+    """Pieces of the documents' token ids in sequences of 4096.
+
+    A null or empty text has its end id alone; repeated rows are packed one by one; an empty table gives no rows.
+    """
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
