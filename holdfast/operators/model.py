@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
+import numpy as np
+import pandas as pd
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import even_round
 from holdfast.operators.lifecycle import prediction_band
 from holdfast.schemas import CATEGORICAL_FEATURES, ID_COLUMNS, NUMERIC_FEATURES, SPLIT_COLUMN, TARGET_COLUMN
-from holdfast.session import ensure_checkpoint_dir
+from holdfast.session import ensure_checkpoint_dir, materialize
 
 
 @dataclass(frozen=True)
@@ -30,11 +33,14 @@ class TrainingConfig:
     min_rows_per_leaf: int = 50
     feature_share: float = 0.8
     seed: int = 42
-    early_stop_tolerance: float = 1e-4
+    patience: int = 50
     threshold: float = 0.14
     model_name: str = "churn_gbt"
 
 
+#: Rows that make a task of their own worth its start in boosting.
+ROWS_PER_TASK = 20_000
+
 # The search space.
 GRID = {"iterations": (200, 300, 500), "learning_rate": (0.03, 0.05, 0.08), "depth": (4, 6, 8)}
 
@@ -50,21 +56,16 @@ def _features(numeric: Sequence[str], categorical: Sequence[str], one_hot: bool)
     return [*stages, VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")]
 
 
-def gbt_pipeline(
-    numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES,
-    config: TrainingConfig = TrainingConfig(), max_bins: int = 32,
-) -> Pipeline:
-    """Boosted trees over indexed categoricals; rows flagged ``is_validation`` stop the boosting early.
+def booster(config: TrainingConfig = TrainingConfig(), max_bins: int = 32, iterations: int | None = None) -> GBTClassifier:
+    """Boosted trees over assembled features. ``max_bins`` must exceed the largest category count.
 
-    ``max_bins`` must exceed the largest category count.
+    The seed of a tree depends on its place alone, so an ensemble is a prefix of every larger one.
     """
-    trees = GBTClassifier(
-        labelCol=TARGET_COLUMN, featuresCol="features", maxIter=config.iterations, stepSize=config.learning_rate,
+    return GBTClassifier(
+        labelCol=TARGET_COLUMN, featuresCol="features", maxIter=iterations or config.iterations, stepSize=config.learning_rate,
         maxDepth=config.depth, minInstancesPerNode=config.min_rows_per_leaf, seed=config.seed, maxBins=max_bins,
-        featureSubsetStrategy=str(config.feature_share), validationIndicatorCol="is_validation",
-        validationTol=config.early_stop_tolerance, checkpointInterval=10,
+        featureSubsetStrategy=str(config.feature_share), checkpointInterval=10,
     )
-    return Pipeline(stages=[*_features(numeric, categorical, one_hot=False), trees])
 
 
 def logistic_pipeline(numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES, max_iter: int = 50) -> Pipeline:
@@ -81,46 +82,173 @@ def bins_for(rows: DataFrame, categorical: Sequence[str]) -> int:
     return max(32, max(levels) + 2)
 
 
+_PREDICT = re.compile(r"Predict: (\S+)")
+
+
+def leaf_values(trees: GBTClassificationModel) -> np.ndarray:
+    """What each leaf adds to the margin, one row per tree; leaves are numbered from left to right."""
+    parts = re.split(r"(?m)^\s*Tree \d+ \(weight ([^)]*)\):$", trees.toDebugString)[1:]
+    weights, bodies = map(float, parts[::2]), parts[1::2]
+    rows = [[w * float(v) for v in _PREDICT.findall(body)] for w, body in zip(weights, bodies, strict=True)]
+    table = np.zeros((len(rows), max(map(len, rows), default=1)))
+    for i, row in enumerate(rows):
+        table[i, : len(row)] = row
+    return table
+
+
+def staged_margins(trees: GBTClassificationModel, rows: DataFrame, column: str = "margins") -> DataFrame:
+    """Add the margin after each tree, from one pass that finds the leaves of all trees."""
+    table = leaf_values(trees)
+
+    @F.pandas_udf("array<double>")
+    def running(leaves: pd.Series) -> pd.Series:
+        if not len(leaves):
+            return pd.Series([], dtype=object)
+        found = np.stack(leaves.to_numpy()).astype(np.int64)
+        return pd.Series(list(np.cumsum(table[np.arange(len(table)), found], axis=1)))
+
+    placed = trees.copy().setLeafCol("_leaves").transform(rows)
+    return placed.withColumn(column, running(vector_to_array("_leaves"))).select(*rows.columns, column)
+
+
+def staged_metrics(rows: DataFrame, by: str, label: str = "label", margins: str = "margins", digits: int = 4) -> DataFrame:
+    """(by, iteration, auc, logloss) after each tree.
+
+    Margins that agree to ``digits`` decimals count as ties of the AUC. So the rows of a group combine to a number that
+    the range of the margins bounds, whatever the size of the data; the log loss is of the margins as they are.
+    """
+    sign = F.when(F.col(label) == 1, F.lit(-2.0)).otherwise(F.lit(2.0))
+    steps = rows.select(by, label, sign.alias("_sign"), F.posexplode(margins).alias("_at", "_m"))
+    x = F.col("_sign") * F.col("_m")
+    loss = F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))
+    counted = steps.groupBy(by, (F.col("_at") + 1).alias("iteration"), F.round("_m", digits).alias("_m")).agg(
+        F.count(F.when(F.col(label) == 1, 1)).alias("_pos"), F.count(F.when(F.col(label) == 0, 1)).alias("_neg"), F.sum(loss).alias("_loss")
+    )
+    before = Window.partitionBy(by, "iteration").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    below = counted.withColumn("_below", F.coalesce(F.sum("_neg").over(before), F.lit(0)))
+    wins = F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / F.lit(2.0)))
+    return below.groupBy(by, "iteration").agg(
+        F.coalesce(F.try_divide(wins, F.sum("_pos").cast("double") * F.sum("_neg")), F.lit(0.0)).alias("auc"),
+        F.try_divide(F.sum("_loss"), F.sum(F.col("_pos") + F.col("_neg"))).alias("logloss"),
+    )
+
+
+def patient_stop(values: Sequence[float], patience: int) -> tuple[int, int | None]:
+    """(best, stop) of a metric that should rise, counted from 1: the first best iteration up to the stop, and the first
+    iteration that comes ``patience`` after the best without a gain; None if there is none yet."""
+    best = 0
+    for i, value in enumerate(values):
+        if value > values[best]:
+            best = i
+        if i - best >= patience:
+            return best + 1, i + 1
+    return best + 1, None
+
+
+def first_trees(trees: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first ``n`` trees, with the same settings."""
+    jvm, gateway = trees._java_obj, SparkContext._active_spark_context._gateway
+    classes = gateway.jvm.org.apache.spark.ml
+    kept = gateway.new_array(classes.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    all_trees, all_weights = jvm.trees(), jvm.treeWeights()
+    for i in range(n):
+        kept[i], weights[i] = all_trees[i], all_weights[i]
+    prefix = GBTClassificationModel(classes.classification.GBTClassificationModel(f"{trees.uid}_{n}", kept, weights))
+    return trees._copyValues(prefix)
+
+
+@dataclass(frozen=True)
+class Boosted:
+    """A fitted ensemble cut at its best iteration, the number of the iteration it stopped at, and how training went.
+
+    ``grown`` is the ensemble before the cut. ``validation`` is (iteration, auc, logloss) up to the stop.
+    """
+
+    model: PipelineModel
+    best: int
+    stopped: int
+    grown: GBTClassificationModel
+    validation: list[tuple[int, float, float]]
+
+
+def _featured(prepared: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[PipelineModel, DataFrame, int]:
+    """Indexed and assembled rows of train and validation, written once for all fits, and the number of bins."""
+    rows = prepared.filter(F.col(SPLIT_COLUMN).isin("train", "validation"))
+    stages = Pipeline(stages=_features(numeric, categorical, one_hot=False)).fit(rows)
+    slim = stages.transform(rows).select(SPLIT_COLUMN, TARGET_COLUMN, "features")
+    return stages, materialize(slim, "assembled"), bins_for(rows, categorical)
+
+
+def _grow(rows: DataFrame, config: TrainingConfig, bins: int) -> tuple[GBTClassificationModel, list[tuple[int, float, float]], int, int]:
+    """(trees, validation metrics, best, stopped). Boosting can't be resumed, so an ensemble that has not stopped yet is
+    grown anew to twice its size: at most twice the trees of the one that stops."""
+    train, held_out = rows.filter(F.col(SPLIT_COLUMN) == "train"), rows.filter(F.col(SPLIT_COLUMN) == "validation")
+    # Every level of every tree is a job: small data is worked on in as few tasks as hold enough rows each.
+    train = train.coalesce(max(1, train.count() // ROWS_PER_TASK))
+    size =min(2 * config.patience, config.iterations)
+    while True:
+        trees = booster(config, bins, size).fit(train)
+        measured = staged_metrics(staged_margins(trees, held_out.withColumnRenamed(TARGET_COLUMN, "label")), SPLIT_COLUMN)
+        metrics = sorted((r.iteration, r.auc, r.logloss) for r in measured.collect())  # one row per tree
+        best, stop = patient_stop([m[1] for m in metrics] or [0.0], config.patience)
+        if stop or size >= config.iterations:
+            return trees._set(maxIter=config.iterations), metrics[:stop], best, stop or size
+        size = min(2 * size, config.iterations)
+
+
+def boost(
+    prepared: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES,
+    config: TrainingConfig = TrainingConfig(),
+) -> Boosted:
+    """Fit on the train split; stop once the validation AUC has not risen for ``patience`` trees; keep the best prefix.
+
+    An empty validation split has no AUC above 0, so one tree is kept. Lineage is cut in the shared checkpoint folder.
+    """
+    ensure_checkpoint_dir(prepared.sparkSession)
+    stages, rows, bins = _featured(prepared, numeric, categorical)
+    grown, metrics, best, stopped = _grow(rows, config, bins)
+    return Boosted(PipelineModel(stages=[*stages.stages, first_trees(grown, best)]), best, stopped, grown, metrics)
+
+
 def train_gbt(
     prepared: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES,
     config: TrainingConfig = TrainingConfig(),
 ) -> PipelineModel:
-    """Fit on the train split with the validation split for early stopping. Lineage is cut in the shared checkpoint folder."""
-    ensure_checkpoint_dir(prepared.sparkSession)
-    rows = prepared.filter(F.col(SPLIT_COLUMN).isin("train", "validation")).withColumn(
-        "is_validation", F.col(SPLIT_COLUMN) == "validation"
-    )
-    return gbt_pipeline(numeric, categorical, config, bins_for(rows, categorical)).fit(rows)
+    """The model of :func:`boost` alone."""
+    return boost(prepared, numeric, categorical, config).model
 
 
 def grid_search(
     prepared: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES,
-    config: TrainingConfig = TrainingConfig(), grid: dict[str, Sequence] = GRID,
+    config: TrainingConfig = TrainingConfig(), grid: dict[str, Sequence] = GRID, parallelism: int = 4,
 ) -> tuple[PipelineModel, list[tuple[dict[str, float], float]]]:
     """Search over size, rate and depth on the temporal split: fit on train, compare by ROC AUC on validation.
 
-    Returns the best model and every (parameters, AUC). The loop is over the fixed grid; each fit is distributed.
+    Returns the best model and every (parameters, AUC). Smaller ensembles are prefixes of larger ones, so each pair of
+    rate and depth is grown once, to the largest size or until it stops; a size's AUC is that of its best prefix. The
+    features are indexed and assembled once. ``parallelism`` fits run at a time.
     """
     ensure_checkpoint_dir(prepared.sparkSession)
-    pipeline = gbt_pipeline(numeric, categorical, config, bins_for(prepared, categorical))
-    trees = pipeline.getStages()[-1]
-    space = (
-        ParamGridBuilder().addGrid(trees.maxIter, list(grid["iterations"]))
-        .addGrid(trees.stepSize, list(grid["learning_rate"])).addGrid(trees.maxDepth, list(grid["depth"])).build()
-    )
-    rows = prepared.filter(F.col(SPLIT_COLUMN).isin("train", "validation")).withColumn(
-        "is_validation", F.col(SPLIT_COLUMN) == "validation"
-    )
-    held_out = rows.filter("is_validation")
-    judge = BinaryClassificationEvaluator(labelCol=TARGET_COLUMN, rawPredictionCol="rawPrediction")
+    stages, rows, bins = _featured(prepared, numeric, categorical)
+    pairs = [(rate, depth) for rate in grid["learning_rate"] for depth in grid["depth"]]
+
+    def grow(pair: tuple[float, int]) -> tuple:
+        own = replace(config, learning_rate=pair[0], depth=pair[1], iterations=max(grid["iterations"]))
+        return _grow(rows, own, bins)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        grown = dict(zip(pairs, pool.map(inheritable_thread_target(rows.sparkSession)(grow), pairs), strict=True))
     best, results = None, []
-    for choice in space:
-        fitted = pipeline.fit(rows, choice)
-        auc = judge.evaluate(fitted.transform(held_out))
-        results.append(({p.name: v for p, v in choice.items()}, auc))
-        if best is None or auc > best[1]:
-            best = (fitted, auc)
-    return best[0], results
+    for iterations in grid["iterations"]:
+        for rate, depth in pairs:
+            trees, metrics, _, _ = grown[rate, depth]
+            held = [m[1] for m in metrics[:iterations]] or [0.0]
+            at = held.index(max(held))
+            results.append(({"maxIter": iterations, "stepSize": rate, "maxDepth": depth}, held[at]))
+            if best is None or held[at] > best[1]:
+                best = (first_trees(trees, at + 1), held[at])
+    return PipelineModel(stages=[*stages.stages, best[0]]), results
 
 
 def positive_probability() -> Column:
@@ -129,8 +257,7 @@ def positive_probability() -> Column:
 
 def score(model: PipelineModel, prepared: DataFrame) -> DataFrame:
     """Keys, label and churn probability; the keys travel with the row, never by position."""
-    rows = prepared if "is_validation" in prepared.columns else prepared.withColumn("is_validation", F.lit(False))
-    return model.transform(rows).select(
+    return model.transform(prepared).select(
         *ID_COLUMNS, SPLIT_COLUMN, F.col(TARGET_COLUMN).alias("label"), positive_probability().alias("score")
     )
 
@@ -147,16 +274,17 @@ def prediction_rows(scores: DataFrame, threshold: float, model_name: str, run_id
     )
 
 
-def training_curve(model: PipelineModel, parts: dict[str, DataFrame]) -> DataFrame:
-    """(iteration, dataset, metric, value): log loss after each tree, for each named dataset."""
-    trees = model.stages[-1]
-    spark = next(iter(parts.values())).sparkSession
-    rows = []
+def training_curve(boosted: Boosted, parts: dict[str, DataFrame]) -> DataFrame:
+    """(iteration, dataset, metric, value): log loss and AUC after each tree up to the stop, for each named dataset."""
+    features, columns = PipelineModel(stages=boosted.model.stages[:-1]), (TARGET_COLUMN, "features")
+    rows = None
     for name, part in parts.items():
-        features = PipelineModel(stages=model.stages[:-1]).transform(part)
-        losses = trees.evaluateEachIteration(features)
-        rows += [(i, name, "Logloss", float(v)) for i, v in enumerate(losses, start=1)]
-    return spark.createDataFrame(rows, "iteration INT, dataset STRING, metric STRING, value DOUBLE")
+        own = features.transform(part).select(*columns).withColumnRenamed(TARGET_COLUMN, "label").withColumn("dataset", F.lit(name))
+        rows = own if rows is None else rows.unionByName(own)
+    measured = staged_metrics(staged_margins(first_trees(boosted.grown, boosted.stopped), rows), "dataset")
+    return measured.unpivot(["iteration", "dataset"], [F.col("logloss").alias("Logloss"), F.col("auc").alias("AUC")], "metric", "value").select(
+        F.col("iteration").cast("int").alias("iteration"), "dataset", "metric", "value"
+    )
 
 
 def training_diagnostics(curve: DataFrame) -> DataFrame:

@@ -126,7 +126,13 @@ def run_training(store: Store, config: model.TrainingConfig = model.TrainingConf
     preprocess.validate_split_order(panel)
     fills = preprocess.FillValues(numeric, categorical).fit(panel.filter("split_name = 'train'"))
     prepared = materialize(fills.transform(panel), "prepared_panel")
-    fitted = model.train_gbt(prepared, numeric, categorical, config)
+    boosted = model.boost(prepared, numeric, categorical, config)
+    fitted = boosted.model
+    curve = materialize(model.training_curve(boosted, {
+        "learn": prepared.filter("split_name = 'train'"), "validation": prepared.filter("split_name = 'validation'"),
+    }), "training_curve")
+    sinks.write_csv(curve.orderBy("dataset", "metric", "iteration"), store.path("reports/training_curve"))
+    sinks.write_json_report(model.training_diagnostics(curve), store.path("reports/training_diagnostics"))
     fitted.write().overwrite().save(store.path("models/churn"))
     store.write("prepared_panel", prepared)
     scores = materialize(model.score(fitted, prepared.filter("split_name <> 'train'")), "scores")

@@ -122,14 +122,33 @@ _MODEL_NUMERIC = tuple(c for c in NUMERIC_FEATURES)
 _MODEL_CATEGORICAL = tuple(c for c in CATEGORICAL_FEATURES if c != "latent_churn_risk_band")
 
 
-def _trained(t: Tables):
+def _boosted(t: Tables) -> model.Boosted:
     key = (t.spark.sparkContext.applicationId, t.folder, "gbt")
     if key not in _MODELS:
-        _MODELS[key] = model.train_gbt(_prepared(t), _MODEL_NUMERIC, _MODEL_CATEGORICAL)
+        _MODELS[key] = model.boost(_prepared(t), _MODEL_NUMERIC, _MODEL_CATEGORICAL)
     return _MODELS[key]
 
 
+def _trained(t: Tables):
+    return _boosted(t).model
+
+
+def _growth(t: Tables) -> DataFrame:
+    """The validation metrics of every tree up to the stop, and which one was kept."""
+    boosted = _boosted(t)
+    rows = t.spark.createDataFrame(boosted.validation, "iteration INT, validation_auc DOUBLE, validation_logloss DOUBLE")
+    return rows.withColumns({"kept": F.col("iteration") <= boosted.best, "stopped_at": F.lit(boosted.stopped)})
+
+
+def _grid(t: Tables) -> DataFrame:
+    _, results = model.grid_search(_prepared(t), _MODEL_NUMERIC, _MODEL_CATEGORICAL)
+    rows = [(p["maxIter"], p["stepSize"], p["maxDepth"], auc) for p, auc in results]
+    return t.spark.createDataFrame(rows, "iterations INT, learning_rate DOUBLE, depth INT, validation_auc DOUBLE")
+
+
 _MODELS: dict = {}
+register("i01_boosting_with_patience", _growth)
+register("i02_grid_search", _grid)
 register("i03_model_scores", lambda t: model.score(_trained(t), _prepared(t).filter("split_name <> 'train'")))
 register("i04_prediction_rows", lambda t: model.prediction_rows(
     t.wide.filter("split_name <> 'train'").select(*KEYS, "split_name", F.col("raw_churn_probability").alias("score")),
@@ -137,9 +156,14 @@ register("i04_prediction_rows", lambda t: model.prediction_rows(
 ).drop("scored_at"), f"""
 SELECT {_KEY_SQL}, split_name, churn_probability, predicted_churn_label, churn_risk_band, model_name, model_version, mlflow_run_id
 FROM pred WHERE mlflow_run_id = 'run-b'""")
-register("i05_training_curve", lambda t: model.training_curve(_trained(t), {
-    "learn": _prepared(t).filter("split_name = 'train'"), "validation": _prepared(t).filter("split_name = 'validation'"),
-}))
+def _model_curve(t: Tables) -> DataFrame:
+    return t._stored("training_curve", lambda: model.training_curve(_boosted(t), {
+        "learn": _prepared(t).filter("split_name = 'train'"), "validation": _prepared(t).filter("split_name = 'validation'"),
+    }))
+
+
+register("i05_training_curve", _model_curve)
+register("i06_model_diagnostics", lambda t: model.training_diagnostics(_model_curve(t)))
 
 
 def _curve(t: Tables) -> DataFrame:

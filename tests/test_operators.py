@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import numpy as np
 import pytest
@@ -371,3 +372,41 @@ def test_features_skip_missing_and_excluded(panel):
 
 def test_schema_registry():
     assert table_schema("churn_prediction")["churn_probability"].dataType.simpleString() == "decimal(8,6)"
+
+
+def _random_corpus(spark, n: int = 400):
+    dice = np.random.default_rng(6)
+    words = [f"mot{i:03d}" for i in range(300)]
+    rare = 1 / np.arange(1, 301)
+    texts = [" ".join(dice.choice(words, dice.integers(5, 60), p=rare / rare.sum())) for _ in range(n)]
+    documents = spark.createDataFrame(list(enumerate(texts)), "document_id LONG, text STRING")
+    asked = [(i, " ".join(dice.choice(words[150:], 3)) + " " + words[i % 5]) for i in range(12)] + [(90, "inconnu"), (91, ""), (92, texts[7])]
+    return documents, spark.createDataFrame(asked, "query_id LONG, text STRING")
+
+
+def test_pruned_search_skips_blocks_and_changes_nothing(spark):
+    documents, queries = _random_corpus(spark)
+    index = retrieval.build_index(documents, block_documents=8)
+    for k in (1, 5):
+        whole = retrieval.rank(retrieval.cosine_scores(queries, index), "query_id", "document_id", k)
+        assert sorted(map(tuple, retrieval.search(queries, index, k=k).collect())) == sorted(map(tuple, whole.collect()))
+    asked = retrieval._asked(queries, index, "query_id", "text")
+    bounds = retrieval.block_bounds(asked, index, "query_id")
+    chosen = retrieval.reachable_blocks(asked, index, "query_id", 1)
+    rows = [retrieval.block_scores(asked, pairs, index, "query_id").count() for pairs in (bounds, chosen)]
+    assert rows[1] < rows[0] / 2
+    scored = retrieval.block_scores(asked, bounds, index, "query_id").join(bounds, ["query_id", "block"])
+    assert scored.filter("score > bound + 1e-9").count() == 0
+
+
+def test_scoring_deals_the_index_by_block_once(spark):
+    documents, queries = _random_corpus(spark, 60)
+    index = retrieval.build_index(documents, block_documents=8)
+    asked = retrieval._asked(queries, index, "query_id", "text")
+    chosen = retrieval.reachable_blocks(asked, index, "query_id", 5)
+    scored = retrieval.block_scores(asked, chosen, index, "query_id")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    dealt = set(re.findall(r"hashpartitioning\(([^)]*)\)", plan))
+    assert any(re.fullmatch(r"block#\d+L?, \d+", d) for d in dealt)
+    # Neither the join on (block, term) nor the sums by (block, query, document) deal the rows again.
+    assert not any(re.match(r"(block|term)#\d+L?, [a-z_]+#", d) for d in dealt)
