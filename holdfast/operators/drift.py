@@ -1,7 +1,8 @@
 """Drift report: one row per split pair and feature.
 
-Numeric features are unpivoted once and grouped to (feature, value) with one count per split. That single
-profile gives totals, means, exact decile edges, bin counts and the KS distance of every pair.
+Numeric features are counted into buckets in one scan; exact decile edges and KS distances come from the few buckets
+that hold them (:mod:`holdfast.operators.refine`). PSI over the edges is one map-side aggregate. Values are counted one
+by one over all data only for features with fewer than three distinct edges.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.numeric import number
-from holdfast.operators.prefix import exact_quantiles, prefix_sums
+from holdfast.operators.refine import Refined, quantiles, refine, rows_where
 from holdfast.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, REPORT_SPLIT_ORDER, SPLIT_COLUMN, TARGET_COLUMN
 from holdfast.session import materialize
 
@@ -77,19 +77,10 @@ def ks_pvalue(distance: Column, n: Column, m: Column) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0)))
 
 
-def _rows_where(condition: Column) -> Column:
-    """Counts as ``count(when)``: unlike ``count_if`` it plans the same in every branch, so shuffles are reused."""
-    return F.count(F.when(condition, 1))
-
-
-def numeric_profile(df: DataFrame, features: Sequence[str], splits: Sequence[str]) -> DataFrame:
-    """(feature, value, n_0, n_1, ...): rows per split of each distinct value, nulls as a value of their own."""
-    long = df.select(SPLIT_COLUMN, *[number(c).alias(c) for c in features]).unpivot(
-        [SPLIT_COLUMN], list(features), "feature", "value"
-    )
-    return long.groupBy("feature", "value").agg(
-        *[_rows_where(F.col(SPLIT_COLUMN) == s).alias(f"n_{i}") for i, s in enumerate(splits)]
-    )
+def value_profile(refined: Refined, features: Sequence[str]) -> DataFrame:
+    """(feature, value, n_0, n_1, ...): rows per split of each distinct value of some features, missing as a value of its own."""
+    long = refined.values.select(refined.group, *features).unpivot([refined.group], list(features), "feature", "value")
+    return long.groupBy("feature", "value").agg(*refined.counts())
 
 
 def categorical_profile(df: DataFrame, features: Sequence[str], splits: Sequence[str]) -> DataFrame:
@@ -98,44 +89,38 @@ def categorical_profile(df: DataFrame, features: Sequence[str], splits: Sequence
         [SPLIT_COLUMN], list(features), "feature", "raw"
     )
     return long.groupBy("feature", F.coalesce("raw", F.lit(MISSING)).alias("value")).agg(
-        *[_rows_where(F.col(SPLIT_COLUMN) == s).alias(f"n_{i}") for i, s in enumerate(splits)],
-        *[_rows_where((F.col(SPLIT_COLUMN) == s) & F.col("raw").isNull()).alias(f"null_{i}") for i, s in enumerate(splits)],
+        *[rows_where(F.col(SPLIT_COLUMN) == s).alias(f"n_{i}") for i, s in enumerate(splits)],
+        *[rows_where((F.col(SPLIT_COLUMN) == s) & F.col("raw").isNull()).alias(f"null_{i}") for i, s in enumerate(splits)],
     )
 
 
-def numeric_totals(profile: DataFrame, n_splits: int) -> DataFrame:
-    """Per feature and split: rows, non-null rows and the mean."""
-    valid = F.col("value").isNotNull()
-    aggregates = []
-    for i in range(n_splits):
-        n = F.col(f"n_{i}")
-        aggregates += [
-            F.sum(n).alias(f"rows_{i}"), F.coalesce(F.sum(F.when(valid, n)), F.lit(0)).alias(f"valid_{i}"),
-            F.sum(F.when(valid, F.col("value") * n)).alias(f"_sum_{i}"),
-        ]
-    sums = profile.groupBy("feature").agg(*aggregates)
-    means = [F.coalesce(F.try_divide(F.col(f"_sum_{i}"), F.col(f"valid_{i}")), F.lit(0.0)).alias(f"mean_{i}") for i in range(n_splits)]
-    return sums.select("*", *means).drop(*[f"_sum_{i}" for i in range(n_splits)])
+def with_means(totals: DataFrame, n_splits: int) -> DataFrame:
+    """Totals with the mean of each split; 0 where a split has no value."""
+    return totals.withColumns({f"mean_{i}": F.coalesce(F.try_divide(F.col(f"sum_{i}"), F.col(f"valid_{i}")), F.lit(0.0)) for i in range(n_splits)})
 
 
-def decile_edges(ranked: DataFrame, references: Sequence[int]) -> DataFrame:
+def decile_edges(refined: Refined, references: Sequence[int]) -> DataFrame:
     """(feature, ref, edges): distinct decile edges of each reference split in rising order."""
-    stacked = ranked.select("feature", "value", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ref"), F.col(f"n_{i}").alias("n"), F.col(f"below_n_{i}").alias("below_n")) for i in references
-    ])).alias("_s")).select("feature", "value", "_s.*")
-    quantiles = exact_quantiles(stacked, "value", "n", DECILES, ["feature", "ref"])
-    return quantiles.groupBy("feature", "ref").agg(F.array_sort(F.collect_set("quantile")).alias("edges"))
+    found = quantiles(refined, DECILES, references)
+    return found.groupBy("feature", "ref").agg(F.array_sort(F.collect_set("quantile")).alias("edges"))
 
 
-def binned_psi(ranked: DataFrame, totals: DataFrame, edges: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    """(feature, ref, psi_<c>...): PSI over right-closed bins of the reference edges with open outer ends."""
-    n_splits = max(max(p) for p in pairs) + 1
+def binned_psi(refined: Refined, totals: DataFrame, edges: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """(feature, bin_psi_r_c...): PSI over right-closed bins of the reference edges with open outer ends.
+
+    Each value finds its bin for every reference in one pass, and the counts of those bins combine before the shuffle.
+    """
+    n_splits, references = len(refined.groups), sorted({r for r, _ in pairs})
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    placed = ranked.join(F.broadcast(edges), "feature").withColumn(
-        "bin", F.size(F.filter(inner, lambda e: e < F.col("value")))
-    )
-    counts = placed.groupBy("feature", "ref", "bin").agg(*[F.sum(f"n_{i}").alias(f"n_{i}") for i in range(n_splits)])
-    with_totals = counts.join(F.broadcast(totals), "feature")
+    wide = edges.groupBy("feature").agg(*[F.max(F.when(F.col("ref") == r, inner)).alias(f"edges_{r}") for r in references])
+    placed = refined.long().join(F.broadcast(wide), "feature").select("feature", refined.group, *[
+        F.size(F.filter(F.coalesce(F.col(f"edges_{r}"), F.array().cast("array<double>")), lambda e: e < F.col("value"))).alias(f"bin_{r}") for r in references
+    ])
+    counts = placed.groupBy("feature", *[f"bin_{r}" for r in references]).agg(*refined.counts())
+    by_reference = counts.select("feature", F.explode(F.array(*[
+        F.struct(F.lit(r).alias("ref"), F.col(f"bin_{r}").alias("bin")) for r in references
+    ])).alias("_b"), *[f"n_{i}" for i in range(n_splits)]).groupBy("feature", "_b.ref", "_b.bin").agg(*[F.sum(f"n_{i}").alias(f"n_{i}") for i in range(n_splits)])
+    with_totals = by_reference.join(F.broadcast(totals), "feature")
 
     def part(r: int, c: int) -> Column:
         term = _psi_term(_share(F.col(f"n_{r}"), F.col(f"valid_{r}")), _share(F.col(f"n_{c}"), F.col(f"valid_{c}")))
@@ -156,14 +141,17 @@ def value_psi(profile: DataFrame, totals: DataFrame, pairs: Sequence[tuple[int,
     return rows.groupBy("feature").agg(*out)
 
 
-def ks_distances(ranked: DataFrame, totals: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    """(feature, ks_r_c...): largest gap between the two cumulative shares."""
-    rows = ranked.join(F.broadcast(totals), "feature")
+def ks_distances(refined: Refined, totals: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """(feature, ks_r_c...): largest gap between the two cumulative shares, at bucket ends and at refined values."""
+    rows = refined.ranked.join(F.broadcast(totals), "feature")
 
     def cumulative(i: int) -> Column:
         return _share(F.col(f"below_n_{i}") + F.col(f"n_{i}"), F.col(f"valid_{i}"))
 
-    return rows.groupBy("feature").agg(*[F.max(F.abs(cumulative(r) - cumulative(c))).alias(f"ks_{r}_{c}") for r, c in pairs])
+    inner = rows.groupBy("feature").agg(*[F.max(F.abs(cumulative(r) - cumulative(c))).alias(f"_in_{r}_{c}") for r, c in pairs])
+    return refined.edge_gaps.join(inner, "feature", "left").select(
+        "feature", *[F.greatest(f"gap_{r}_{c}", f"_in_{r}_{c}").alias(f"ks_{r}_{c}") for r, c in pairs]
+    )
 
 
 def _report_rows(wide: DataFrame, entries: Sequence[Column]) -> DataFrame:
@@ -179,28 +167,31 @@ def _missing_rate(i: int) -> Column:
 def numeric_rows(
     df: DataFrame, features: Sequence[str], splits: Sequence[str], pairs: Sequence[tuple[str, str]], target: str | None
 ) -> DataFrame:
-    """Report rows of the numeric features and the target.
-
-    Writes the grouped profile and its ranked form to the checkpoint folder (two jobs): every measure reads
-    them, so the data itself is scanned once.
-    """
+    """Report rows of the numeric features and the target."""
     index = {s: i for i, s in enumerate(splits)}
     numbered = [(index[r], index[c]) for r, c in pairs]
     columns = list(features) + ([target] if target else [])
-    profile = materialize(numeric_profile(df, columns, splits), "numeric_profile")
-    totals = numeric_totals(profile, len(splits))
-    measures = [f"n_{i}" for i in range(len(splits))]
-    ranked = materialize(prefix_sums(profile.filter(F.col("value").isNotNull()), "value", measures, ["feature"]), "ranked_profile")
-    edges = decile_edges(ranked, sorted({r for r, _ in numbered}))
+    references = sorted({r for r, _ in numbered})
+    refined = refine(df, SPLIT_COLUMN, splits, columns, DECILES, references, numbered)
+    totals = with_means(refined.totals, len(splits))
+    edges = materialize(decile_edges(refined, references), "decile_edges")
+    # At most one row per feature.
+    few = [r.feature for r in edges.groupBy("feature").agg(F.min(F.size("edges")).alias("k"), F.count("*").alias("n")).filter(
+        (F.col("k") < 3) | (F.col("n") < len(references))
+    ).collect()]
+    single = value_profile(refined, sorted({*few, *([target] if target else [])})) if few or target else None
     edge_counts = edges.groupBy("feature").agg(
         F.map_from_entries(F.collect_list(F.struct("ref", F.size("edges").alias("k")))).alias("_edge_counts")
     )
     wide = (
-        totals.join(binned_psi(ranked, totals, edges, numbered), "feature", "left")
-        .join(value_psi(profile, totals, numbered), "feature", "left")
-        .join(ks_distances(ranked, totals, numbered), "feature", "left")
+        totals.join(binned_psi(refined, totals, edges, numbered), "feature", "left")
+        .join(ks_distances(refined, totals, numbered), "feature", "left")
         .join(edge_counts, "feature", "left")
     )
+    if single is None:
+        wide = wide.withColumns({f"value_psi_{r}_{c}": F.lit(None).cast("double") for r, c in numbered})
+    else:
+        wide = wide.join(value_psi(single, totals, numbered), "feature", "left")
     is_target = F.col("feature") == (target or "")
     entries = []
     for (reference, comparison), (r, c) in zip(pairs, numbered, strict=True):

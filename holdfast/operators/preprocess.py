@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import number
-from holdfast.operators.prefix import exact_quantiles, prefix_sums
+from holdfast.operators.refine import quantiles, refine
 from holdfast.schemas import (
     CATEGORICAL_FEATURES, FEATURE_COLUMNS, ID_COLUMNS, NUMERIC_FEATURES, SPLIT_COLUMN, SPLIT_ORDER, TARGET_COLUMN,
 )
@@ -24,16 +24,14 @@ def _require(df: DataFrame, columns: Sequence[str], kind: str) -> None:
 def numeric_medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """(feature, fill_value) per numeric column.
 
-    The exact median ranks grouped values with distributed prefix sums, because the built-in exact
+    The exact median counts into buckets and refines the one that holds it, because the built-in exact
     aggregate holds all distinct values of a column in one buffer. ``exact=False`` uses a sketch.
     """
-    values = df.select(*[number(c).alias(c) for c in columns])
     if exact:
-        long = values.unpivot([], list(columns), "feature", "value").filter(F.col("value").isNotNull())
-        counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows"))
-        ranked = prefix_sums(counts, "value", ["rows"], ["feature"])
-        found = exact_quantiles(ranked, "value", "rows", [0.5], ["feature"]).select("feature", F.col("quantile").alias("_median"))
+        refined = refine(df.withColumn("_all", F.lit("all")), "_all", ["all"], columns, [0.5], [0])
+        found = quantiles(refined, [0.5], [0]).select("feature", F.col("quantile").alias("_median"))
     else:
+        values = df.select(*[number(c).alias(c) for c in columns])
         wide = values.agg(*[F.percentile_approx(c, 0.5, 10000).alias(c) for c in columns])
         found = wide.unpivot([], list(columns), "feature", "_median")
     names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
