@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -57,29 +59,31 @@ def merged(
 def upsert_predictions(spark: SparkSession, new: DataFrame, root: str, partition: str = "split_name") -> str:
     """Merge predictions into a versioned Parquet table and return the new version's path.
 
-    Readers follow the ``CURRENT`` pointer, so the version being read is never overwritten and a lost
-    executor or a failed job leaves the old version in place. Only partitions named by the new rows are
-    merged; the others are carried over unchanged. Every writer claims a version number of its own before it writes
-    and fails if another one has moved the pointer meanwhile, so no rows are lost; numbers of failed writers are
-    passed over. The pointer is renamed into place, and versions before the last two are removed.
+    A version holds only the partitions that the new rows name; a pointer lists which version each partition is read
+    from, so the files of all others stay where they are. Pointers are numbered and each is renamed into place only where
+    none of its number exists: of two writers that started from the same pointer one fails and none of the other's
+    rows are lost. A lost executor or a failed job leaves the old pointer in force. Every writer claims a version
+    number of its own before it writes; numbers of failed writers are passed over. Versions that neither the new nor the
+    former pointer names are removed.
     """
     stamped = new.withColumn("scored_at", F.coalesce(F.col("scored_at"), F.current_timestamp()))
     current = current_version(spark, root)
+    before, pointer = _pointer(spark, root)
     number = 1 + max([-1 if current is None else int(current.rsplit("=", 1)[1]), *_claims(spark, f"{root}/_claims")])
     target = f"{root}/version={number:08d}"
     _claim(spark, f"{root}/_claims/{number:08d}")
-    if current is None:
-        rows = stamped
-    else:
-        old = spark.read.schema(table_schema("churn_prediction")).parquet(current)
-        touched = stamped.select(partition).distinct()
-        rows = merged(old.join(touched, partition, "left_semi"), stamped).unionByName(old.join(touched, partition, "left_anti"))
+    rows = stamped
+    if pointer:
+        # One row per partition; the filter prunes the others' folders.
+        touched = [r[0] for r in stamped.select(partition).distinct().collect()]
+        rows = merged(_read_pointer(spark, pointer).filter(F.col(partition).isin(touched)), stamped)
     typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema("churn_prediction").fields])
     typed.write.mode("overwrite").partitionBy(partition).parquet(target)
     if current_version(spark, root) != current:
         raise RuntimeError(f"Another writer has replaced {current}; the new rows were not merged")
-    _write_text(spark, f"{root}/CURRENT", target)
-    _remove_versions(spark, root, keep={target, current})
+    parts = {**pointer.get("partitions", {}), **{name: target for name in _folders(spark, target)}}
+    _publish(spark, root, before + 1, json.dumps({"version": target, "partitions": parts}))
+    _remove_versions(spark, root, keep={target, current, *parts.values(), *pointer.get("partitions", {}).values()})
     return target
 
 
@@ -111,34 +115,57 @@ def _remove_versions(spark: SparkSession, root: str, keep: set[str | None]) -> N
             files.delete(status.getPath(), True)
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    files, target = _file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()]
+
+
+def _pointer(spark: SparkSession, root: str) -> tuple[int, dict]:
+    """The number and content of the pointer in force; -1 and nothing where there is none."""
+    number = max(_claims(spark, f"{root}/_pointers"), default=-1)
+    if number < 0:
+        return -1, {}
+    return number, json.loads(spark.read.text(f"{root}/_pointers/{number:08d}", wholetext=True).first().value)
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
-    from holdfast.sources.tables import path_exists
+    """The path of the version written last."""
+    return _pointer(spark, root)[1].get("version")
+
 
-    if not path_exists(spark, f"{root}/CURRENT"):
-        return None
-    return spark.read.text(f"{root}/CURRENT", wholetext=True).first().value.strip()
+def _read_pointer(spark: SparkSession, pointer: dict) -> DataFrame:
+    """The partitions that a pointer names, each from its version: as many reads as there are versions."""
+    schema, found = table_schema("churn_prediction"), None
+    for version in sorted(set(pointer["partitions"].values())):
+        paths = [f"{version}/{name}" for name, at in pointer["partitions"].items() if at == version]
+        rows = spark.read.schema(schema).option("basePath", version).parquet(*paths).select(schema.fieldNames())
+        found = rows if found is None else found.unionByName(rows)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def read_predictions(spark: SparkSession, root: str) -> DataFrame:
-    path = current_version(spark, root)
-    if path is None:
-        return spark.createDataFrame([], table_schema("churn_prediction"))
-    return spark.read.schema(table_schema("churn_prediction")).parquet(path)
+    pointer = _pointer(spark, root)[1]
+    return _read_pointer(spark, pointer) if pointer else spark.createDataFrame([], table_schema("churn_prediction"))
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside the target and rename over it, so that no reader finds it half written."""
+def _publish(spark: SparkSession, root: str, number: int, text: str) -> None:
+    """Write a pointer aside and rename it into place; fail if its number is taken."""
     sc = spark.sparkContext
     hadoop = sc._jvm.org.apache.hadoop.fs
-    files, fresh = _file_system(spark, f"{path}.new")
-    stream = files.create(fresh, True)
+    files, fresh = _file_system(spark, f"{root}/_staged/{uuid.uuid4().hex}")
+    stream = files.create(fresh, False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    over = sc._gateway.new_array(hadoop.Options.Rename, 1)
-    over[0] = hadoop.Options.Rename.OVERWRITE
-    hadoop.FileContext.getFileContext(files.getUri(), sc._jsc.hadoopConfiguration()).rename(fresh, hadoop.Path(path), over)
+    target = hadoop.Path(f"{root}/_pointers/{number:08d}")
+    files.mkdirs(target.getParent())
+    never_over = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    never_over[0] = hadoop.Options.Rename.NONE
+    try:
+        hadoop.FileContext.getFileContext(files.getUri(), sc._jsc.hadoopConfiguration()).rename(fresh, target, never_over)
+    except Exception as error:
+        raise RuntimeError(f"Another writer has published {target}; the new rows were not merged") from error
 
 
 def write_json_report(report: DataFrame, path: str) -> None:

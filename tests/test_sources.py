@@ -100,3 +100,32 @@ def test_upsert_survives_failed_and_competing_writers(spark, tmp_path, monkeypat
     assert real(spark, root).endswith("version=00000002") and sinks.read_predictions(spark, root).count() == 1
     sinks.upsert_predictions(spark, row, root)
     assert len(list((tmp_path / "predictions").glob("version=*"))) <= 3
+
+
+def test_upsert_rewrites_touched_splits_only_and_one_of_two_writers_wins(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "predictions")
+    fields = (
+        "observation_date STRING, customer_id STRING, split_name STRING, churn_probability DOUBLE, predicted_churn_label INT, "
+        "churn_risk_band STRING, model_name STRING, model_version STRING, mlflow_run_id STRING, scored_at TIMESTAMP"
+    )
+    row = lambda customer, split, p=0.5: ("2025-01-01", customer, split, p, 1, "HIGH", "m", "1", "run", None)
+    frame = lambda *rows: spark.createDataFrame(list(rows), fields)
+    files = lambda: {f.rsplit("/predictions/", 1)[1] for f in sinks.read_predictions(spark, root).inputFiles()}
+    sinks.upsert_predictions(spark, frame(row("c1", "test"), row("c1", "backtest")), root)
+    before = {f for f in files() if "backtest" in f}
+    sinks.upsert_predictions(spark, frame(row("c2", "test")), root)
+    assert before and before == {f for f in files() if "backtest" in f}
+    real = sinks._publish
+
+    def late(session, folder, number, text):
+        monkeypatch.undo()
+        sinks.upsert_predictions(session, frame(row("c3", "test")), folder)  # comes between the check and the rename
+        real(session, folder, number, text)
+
+    monkeypatch.setattr(sinks, "_publish", late)
+    with pytest.raises(RuntimeError, match="Another writer"):
+        sinks.upsert_predictions(spark, frame(row("c4", "validation")), root)
+    got = sorted((r.customer_id, r.split_name) for r in sinks.read_predictions(spark, root).collect())
+    assert got == [("c1", "backtest"), ("c1", "test"), ("c2", "test"), ("c3", "test")]
+    sinks.upsert_predictions(spark, frame(row("c4", "validation")), root)
+    assert sinks.read_predictions(spark, root).count() == 5
