@@ -52,9 +52,9 @@ def test_margins_end_in_the_model_s_own_and_prefixes_agree(boosted, prepared):
 
 
 def test_metrics_of_every_tree_match_sql_over_stored_margins(boosted, prepared, tmp_path):
-    _margins(boosted, prepared, "validation").select("label", F.posexplode("margins").alias("at", "m")).write.parquet(str(tmp_path / "margins"))
+    _margins(boosted, prepared, "validation").select("label", F.posexplode("margins").alias("step", "m")).write.parquet(str(tmp_path / "margins"))
     expected = duckdb.sql(f"""
-        WITH r AS (SELECT at + 1 AS iteration, label, m, round(m, 4) AS t FROM '{tmp_path}/margins/*.parquet')
+        WITH r AS (SELECT step + 1 AS iteration, label, m, round(m, 4) AS t FROM '{tmp_path}/margins/*.parquet')
         SELECT a.iteration, (SELECT avg(CASE WHEN p.t > n.t THEN 1.0 WHEN p.t = n.t THEN 0.5 ELSE 0 END) FROM r p, r n
             WHERE p.iteration = a.iteration AND n.iteration = a.iteration AND p.label = 1 AND n.label = 0) AS auc,
           (SELECT avg(ln(1 + exp(CASE label WHEN 1 THEN -2 * m ELSE 2 * m END))) FROM r WHERE iteration = a.iteration) AS logloss
