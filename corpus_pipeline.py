@@ -31,7 +31,8 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the smallest id, a null id last. Repeated rows count as one.
+    """One document of each group of near-duplicates by SimHash (four-word shingles, at most four bits apart): the
+    smallest id, a null id last. Repeated rows count as one.
 
     Texts without words, null ones too, are one group; an empty table gives no rows.
     """

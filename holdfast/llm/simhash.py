@@ -6,8 +6,7 @@ given by the counts in some of the segments, and points that share a cell are co
 then by exact Hamming distance.
 
 ``EXACT`` finds every pair of 64-bit fingerprints at a distance of at most 4: of six groups of segments, such points
-agree in at least two whole ones, so the 15 pairs of groups are the cells. Texts that share four fifths of their
-five-word shingles are further apart; ``shingles`` finds and verifies those, and ``keep_first`` is its one.
+agree in at least two whole ones, so the 15 pairs of groups are the cells.
 
 Copies meet first: every distinct fingerprint is one point. A cell with more points than ``block`` is cut into
 blocks, and every pair of its blocks is compared in a task of its own. What a comparison hands on is a spanning
@@ -22,20 +21,34 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import as_bytes, id_and_text, slices
 from holdfast.llm.components import connected_components
-from holdfast.llm.shingles import keep_first, shingle_hashes
 from holdfast.session import materialize
 
-SEGMENTS, BITS = 32, 2
+SEGMENTS, BITS, SEED = 32, 2, 42
 _LOW = 0x5555555555555555
 _LAST = (1 << 63) - 1
 __all__ = ["EXACT", "Scheme", "fingerprint", "keep_first", "near_duplicates"]
 
 
+def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
+    """Hashes of the runs of ``width`` words in their order; a shorter text is one run, one without words has none."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.array([], "<u8")
+    joined = b" ".join(words)
+    if len(words) <= width:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], "<u8")
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate(([0], ends[:-1]))[: len(words) - width + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)], "<u8")
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -212,3 +225,15 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = EXACT, block: int = 1024)
     marked, classes = grouped(docs, scheme, block)
     digits = F.concat(*[F.lower(F.lpad(F.hex(f"f{i}"), 16, "0")) for i in range(scheme.lanes)])
     return marked.join(classes, "node").select("doc_id", digits.alias("fingerprint"), F.nullif("head.doc", F.lit(_LAST)).alias("component_id"))
+
+
+def keep_first(docs: DataFrame, scheme: Scheme = EXACT, block: int = 1024) -> DataFrame:
+    """``docs`` with all its columns, and of each group of linked fingerprints one row: that of the smallest id (a null id
+    counts as the largest), which of equal ids has the smaller text number. Rows repeated whole count as one. Null and
+    blank texts are one group with what links to fingerprint zero. An empty table gives an empty result.
+    """
+    _, classes = grouped(docs, scheme, block)
+    heads = classes.select("head.doc", "head.mark").distinct()
+    doc, mark = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), F.xxhash64(F.col("text").cast("string"))
+    tagged = docs.select(F.struct("*").alias("row"), doc.alias("doc"), mark.alias("mark"))
+    return tagged.join(heads, ["doc", "mark"], "left_semi").dropDuplicates(["doc", "mark"]).select("row.*")

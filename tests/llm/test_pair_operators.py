@@ -63,14 +63,38 @@ def test_every_close_pair_shares_a_cell():
         assert (x ^ y).bit_count() <= (a ^ b).bit_count()
 
 
-def test_keep_first_leaves_one_of_each_group(docs, texts, no_docs):
-    got = simhash.keep_first(docs)
+def _flip(base, dice):
+    """Long texts of the words of ``base`` with one word changed, some of them a few bits from it and some not."""
+    words = base.split()
+    for _ in range(12):
+        near = list(words)
+        near[dice.randrange(len(near))] = f"w{dice.randint(0, 99)}"
+        yield " ".join(near)
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_keep_first_equals_brute_force(spark, docs, texts, no_docs, block):
+    dice = random.Random(14)
+    base = " ".join(f"v{dice.randint(0, 900)}" for _ in range(500))
+    more = [(2000 + k, t, "en", "s") for k, t in enumerate([base, *_flip(base, dice)])]
+    table = docs.unionByName(spark.createDataFrame([(*r, 1, 0.5, 3, "x", "y", 1, 7) for r in more], docs.schema))
+    got = simhash.keep_first(table, block=block)
     assert got.columns == docs.columns
-    ids = [r.doc_id for r in got.collect()]
-    assert len(ids) == len(set(ids))
-    assert 7 in ids and not set(range(100, 110)) & set(ids)
-    assert {i for i in range(60)} <= set(ids)
-    assert simhash.keep_first(no_docs).count() == 0
+    last = 1 << 63
+    rows = {(last if i is None else i, t): simhash.fingerprint((t or "").encode(), 4)[0] for i, t, *_ in [*texts, *more]}
+    prints = sorted(set(rows.values()))
+    group = roots(prints, [(a, b) for k, a in enumerate(prints) for b in prints[k + 1 :] if (a ^ b).bit_count() <= 4])
+    assert len(set(group.values())) < len(prints)
+    expected = {}
+    for (i, t), f in rows.items():
+        expected[group[f]] = min(expected.get(group[f], last), i)
+    ids = [last if r.doc_id is None else r.doc_id for r in got.collect()]
+    assert sorted(ids) == sorted(expected.values())
+    assert corpus_pipeline.drop_near_duplicates(spark, no_docs, "").count() == 0
+    if block == 1024:
+        stage = corpus_pipeline.drop_near_duplicates(spark, table.withColumn("a.b", F.lit(1)).withColumn("DOC", F.lit(2)), "")
+        assert sorted(r.doc_id or last for r in stage.collect() if r.doc_id != 0) == sorted(i for i in ids if i)
+        assert stage.columns[-2:] == ["a.b", "DOC"]
 
 
 def _brute(rows, length):
