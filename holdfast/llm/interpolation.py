@@ -21,12 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import as_bytes, bucket_of, id_and_text, slices
+from holdfast.llm.common import as_bytes, bucket_of, id_and_text, release, slices
 from holdfast.session import ensure_checkpoint_dir
 
 END = 0x5E5D5C5B5A595857
 CELLS = 8  # steps per doubling in the histogram that the estimation reads
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 _ASK = "batch long, part long, words binary, pairs binary, word_all binary, word_out binary, pair_all binary, pair_out binary"
 _STATE = "batch long, kind string, doc_id long, fold long, n long, known long, logs double, a binary, b binary"
 
@@ -175,36 +175,36 @@ def score_documents(
             )
             for name, value in zip(ask_names, row, strict=True):
                 columns[name].append(value)
+        del block, sides, w, w_all, w_out, p, p_all, p_out
+        release()
         return pa.table(columns, schema=ask_schema)
 
     def answer(asked: pa.Table) -> pa.Table:
-        rows = asked.to_pylist()
         out, distinct = {}, 0
         for keys, kept in (("words", ("word_all", "word_out")), ("pairs", ("pair_all", "pair_out"))):
-            parts = [take_sorted(r[keys]) for r in rows]
-            unique, at = np.unique(np.concatenate(parts), return_inverse=True)
+            parts = [take_sorted(x) for x in asked.column(keys).to_pylist()]
             edges = np.cumsum([0, *map(len, parts)])
+            unique, at = np.unique(np.concatenate(parts), return_inverse=True)
+            del parts
             for name in kept:
-                total = np.zeros(len(unique), np.int64)
-                np.add.at(total, at, np.concatenate([take(r[name]) for r in rows]).astype(np.int64))
-                out[name] = [put(total[at[i:j]]) for i, j in zip(edges, edges[1:], strict=False)]
+                counts = np.concatenate([take(x) for x in asked.column(name).to_pylist()])
+                total = np.bincount(at, counts, len(unique)).astype(np.int64)  # exact up to 2^53
+                out[name] = [put(total[at[i:j]]) for i, j in zip(edges, edges[1:], strict=False)] + [None]
                 if name == "word_all":
                     distinct = int((total > 0).sum())
-        part = asked.column("part")[0].as_py()
-        found = [
-            {"batch": r["batch"], "part": part, "words": None, "pairs": None} | {c: out[c][i] for c in out} for i, r in enumerate(rows)
-        ]
+        release()
+        part, n = asked.column("part")[0].as_py(), asked.num_rows
         # A block number beyond the last carries how many of this range's words were seen in training.
-        found.append({"batch": batches + part, "part": distinct} | dict.fromkeys(ask_names[2:]))
-        return pa.Table.from_pylist(found, schema=ask_schema)
+        out |= {"batch": asked.column("batch").to_pylist() + [batches + part], "part": [part] * n + [distinct]}
+        return pa.table({c: out.get(c, [None] * (n + 1)) for c in ask_names}, schema=ask_schema)
 
     def look_up(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if docs.num_rows == 0:
             rows = [(r["batch"], "distinct", None, None, r["part"], None, None, None, None) for r in answers.select(["batch", "part"]).to_pylist()]
             return pa.Table.from_pylist([dict(zip(state_names, r, strict=True)) for r in rows], schema=state_schema)
         block = Block(docs)
-        parts = answers.sort_by("part").to_pylist()
-        found = {c: np.concatenate([take(r[c]) for r in parts]).astype(np.int64) for c in ask_names[4:]}
+        answers = answers.sort_by("part")
+        found = {c: np.concatenate([take(x) for x in answers.column(c).to_pylist()]).astype(np.int64) for c in ask_names[4:]}
         word, pair = found["word_all"][block.word_at], found["pair_all"][block.pair_at]
         number = docs.column("batch")[0].as_py()
         rows = []
@@ -213,7 +213,7 @@ def score_documents(
             w = word[here]
             rows.append((
                 number, "document", doc_id, fold, len(w), int((w > 0).sum()), float(np.log10(w + 1.0).sum()),
-                w.astype("<i8").tobytes(), pair[here].astype("<i8").tobytes(),
+                put(w), put(pair[here]),
             ))
         use = np.flatnonzero(block.fold == deleted_fold)
         if len(use):
@@ -227,7 +227,11 @@ def score_documents(
                 one = np.where(kept_word > 0, np.rint(CELLS * np.log2(kept_word)), -9999)
             cells, times = np.unique(np.stack([bucket(context), two, one], axis=1).astype(np.int64), axis=0, return_counts=True)
             rows.append((number, "cells", None, None, len(use), None, None, cells.astype("<i8").tobytes(), times.astype("<i8").tobytes()))
-        return pa.Table.from_pylist([dict(zip(state_names, r, strict=True)) for r in rows], schema=state_schema)
+        del block, found, word, pair, answers
+        table = pa.table(dict(zip(state_names, map(list, zip(*rows, strict=True)), strict=True)), schema=state_schema)
+        del rows
+        release()
+        return table
 
     kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "double": pa.float64()}
     ask_schema, state_schema = (pa.schema([(n, kinds[t]) for n, t in map(str.split, s.split(", "))]) for s in (_ASK, _STATE))
@@ -259,12 +263,13 @@ def score_documents(
             for batch in slices([whole], text="a"):
                 out = []
                 for raw_word, raw_pair in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
-                    word, pair = np.frombuffer(raw_word, "<i8"), np.frombuffer(raw_pair, "<i8")
+                    word, pair = take(raw_word).view(np.int64), take(raw_pair).view(np.int64)
                     context = np.roll(word, 1)  # the last token is the end token, which is also the first one's context
                     w = weights[bucket(context)]
                     p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * word / max(1, trained) + w[:, 2] / (vocabulary + 1)
                     out.append(float(np.log10(p).sum()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "fold", "n", "known", "logs")), pa.array(out, pa.float64())], ["doc_id", "fold", "n", "known", "logs", "score"])
+            release()
 
     scored = state.filter("kind = 'document'").select("doc_id", "fold", "n", "known", "logs", "a", "b")
     scored = scored.mapInArrow(score, "doc_id long, fold long, n long, known long, logs double, score double")

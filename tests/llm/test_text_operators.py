@@ -154,7 +154,32 @@ def test_interpolation_base_and_proper_model(docs, texts, no_docs):
     n, v = sum(seen.values()), len(seen)
     expected = sorted(((i, held, len(t), sum(seen[w] > 0 for w in t), n, round(sum(math.log10((seen[w] + 1) / (n + v + 1)) for w in t), 6)) for i, t, held in rows), key=str)
     assert sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got), key=str) == expected
-    assert all(r.score < 0 for r in got)
+    # The mixture by dictionaries: weights from cells of the deleted fold (3), counts without it.
+    fold = lambda i: -1 if i is None else zlib.crc32(str(i).encode()) % 7
+    word, pair, kept_word, kept_pair, steps = Counter(), Counter(), Counter(), Counter(), Counter()
+    for i, t, held in rows:
+        for a, b in zip([None, *t], t, strict=False):
+            for one, two, use in ((word, pair, not held), (kept_word, kept_pair, not held and fold(i) != 3)):
+                one[b] += use
+                two[a, b] += use
+    step = lambda x: int(np.rint(8 * np.log2(x))) if x else -9999
+    for i, t, _ in rows:
+        if fold(i) == 3:
+            for a, b in zip([None, *t], t, strict=False):
+                c = kept_word[a]
+                steps[c.bit_length(), step(kept_pair[a, b] / c if c else 0), step(kept_word[b])] += 1
+    cells = sorted(steps)
+    assert cells
+    weights = interpolation.fit_weights(np.array(cells), np.array([float(steps[c]) for c in cells]), sum(kept_word.values()), v)
+
+    def score(t):
+        out = 0.0
+        for a, b in zip([None, *t], t, strict=False):
+            two, one, floor = weights[word[a].bit_length()]
+            out += math.log10(two * pair[a, b] / max(word[a], 1) + one * word[b] / n + floor / (v + 1))
+        return round(out, 6)
+
+    assert sorted(((r.doc_id, round(r.score, 6)) for r in got), key=str) == sorted(((i, score(t)) for i, t, _ in rows), key=str)
     again = interpolation.score_documents(docs, block_bytes=1 << 30).collect()
     close = zip(sorted((r.doc_id or -1, round(r.score, 6)) for r in got), sorted((r.doc_id or -1, round(r.score, 6)) for r in again), strict=True)
     assert all(a == b for a, b in close)
