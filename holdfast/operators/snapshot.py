@@ -2,7 +2,8 @@
 
 All facts meet in ONE shuffle: each fact row is narrowly expanded to the snapshot dates whose window
 holds it, projected to a few fixed-width measures, and the union of all facts and of the customer
-spine is aggregated once by (customer, date). Partial aggregation runs before the exchange, so a
+spine is aggregated once by (customer, date). Contacts, whose window is open to the past, are combined
+per customer first, in a narrow shuffle of their own, instead of being copied to every later date. Partial aggregation runs before the exchange, so a
 customer that owns a large share of a fact costs at most one row per date and map task. No measure
 is a string, which keeps the aggregate on the hash path. No date-by-date join exists.
 """
@@ -151,14 +152,33 @@ def claim_measures(claims: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFram
 
 
 def interaction_measures(interactions: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFrame:
-    rows = expand_to_dates(interactions.withColumn("_day", F.to_date("interaction_datetime")), "_day", dates)
+    """Contacts per customer and date: the last day, and the counts of the quarter and of the month's digital ones.
+
+    A contact is not copied to the dates. It is the latest candidate of one date only, the first on or after its day;
+    the last contact of a date is then the candidate of the nearest date not later that has one. All contacts of a
+    customer combine to one row, before the shuffle as far as they meet there, and only that row is spread to dates.
+    """
+    days = sorted({day for day, _ in dates})
+    literal = [f"DATE'{day.isoformat()}'" for day in days]
     digital = f"channel_id IN ({_listed(DIGITAL_CHANNELS)})"
-    return rows.selectExpr(
-        *KEYS,
-        "_day AS i_last_day",
-        _one_if(_within("_day", QUARTER_DAYS), "i_3m"),
-        _one_if(f"{digital} AND {_within('_day', MONTH_DAYS)}", "i_digital_30d"),
+    columns = []
+    for i, at in enumerate(literal):
+        after = f"_day > {literal[i - 1]} AND " if i else ""
+        quarter, month = (f"_day <= {at} AND _day >= date_sub({at}, {n})" for n in (QUARTER_DAYS, MONTH_DAYS))
+        columns += [
+            f"max(CASE WHEN {after}_day <= {at} THEN _day END) AS _last{i}",
+            f"sum(CASE WHEN {quarter} THEN 1 END) AS _quarter{i}",
+            f"sum(CASE WHEN {digital} AND {month} THEN 1 END) AS _digital{i}",
+        ]
+    known = interactions.select("customer_id", "channel_id", F.to_date("interaction_datetime").alias("_day"))
+    combined = known.filter(f"_day <= {literal[-1]}").groupBy("customer_id").agg(*map(F.expr, columns))
+    carried = ["coalesce(" + ", ".join(f"_last{k}" for k in range(i, -1, -1)) + ")" for i in range(len(days))]
+    entries = ", ".join(
+        f"named_struct('observation_date', {at}, 'i_last_day', {carried[i]}, 'i_3m', _quarter{i}, 'i_digital_30d', _digital{i})"
+        for i, at in enumerate(literal)
     )
+    spread = combined.selectExpr("customer_id", f"inline(array({entries}))")
+    return spread.filter("i_last_day IS NOT NULL")
 
 
 def case_measures(cases: DataFrame, dates: Dates = SNAPSHOT_DATES) -> DataFrame:
