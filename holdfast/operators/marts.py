@@ -53,7 +53,8 @@ def latest_run(predictions: DataFrame) -> DataFrame:
 
 
 def of_latest_run(predictions: DataFrame) -> DataFrame:
-    """Predictions of the latest run; the run id is a scalar subquery, so partition pruning can use it."""
+    """Predictions of the latest run; the run id is a scalar subquery, so a table partitioned by run, as ``upsert_predictions``
+    writes it, is pruned to that run's folders when the query starts."""
     run = latest_run(predictions).select("mlflow_run_id").scalar()
     return predictions.filter(F.col("mlflow_run_id") == run)
 

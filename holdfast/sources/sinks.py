@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from holdfast.schemas import table_schema
 
 PREDICTION_KEY = ("observation_date", "customer_id", "model_name", "mlflow_run_id")
+PARTITIONS = ("split_name", "mlflow_run_id")
 REPLACED_ON_CONFLICT = ("churn_probability", "predicted_churn_label", "churn_risk_band", "scored_at")
 
 
@@ -56,11 +57,12 @@ def merged(
     return joined.select(*[column(c) for c in old.columns])
 
 
-def upsert_predictions(spark: SparkSession, new: DataFrame, root: str, partition: str = "split_name") -> str:
+def upsert_predictions(spark: SparkSession, new: DataFrame, root: str) -> str:
     """Merge predictions into a versioned Parquet table and return the new version's path.
 
-    A version holds only the partitions that the new rows name; a pointer lists which version each partition is read
-    from, so the files of all others stay where they are. Pointers are numbered and each is renamed into place only where
+    Partitions are split and run, so a new run rewrites nothing of the runs before it, and a reader of one run opens no
+    file of another. A version holds only the partitions that the new rows name; a pointer lists which version each
+    partition is read from, so the files of all others stay where they are. Pointers are numbered and each is renamed into place only where
     none of its number exists: of two writers that started from the same pointer one fails and none of the other's
     rows are lost. A lost executor or a failed job leaves the old pointer in force. Every writer claims a version
     number of its own before it writes; numbers of failed writers are passed over. Versions that neither the new nor the
@@ -74,14 +76,16 @@ def upsert_predictions(spark: SparkSession, new: DataFrame, root: str, partition
     _claim(spark, f"{root}/_claims/{number:08d}")
     rows = stamped
     if pointer:
-        # One row per partition; the filter prunes the others' folders.
-        touched = [r[0] for r in stamped.select(partition).distinct().collect()]
-        rows = merged(_read_pointer(spark, pointer).filter(F.col(partition).isin(touched)), stamped)
+        # One row per partition of the new rows; the filter prunes the others' folders.
+        touched = stamped.select(*[F.col(c).cast("string") for c in PARTITIONS]).distinct().collect()
+        named = F.struct(*PARTITIONS).isin([F.struct(*map(F.lit, pair)) for pair in touched])
+        rows = merged(_read_pointer(spark, root, pointer).filter(named), stamped)
     typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema("churn_prediction").fields])
-    typed.write.mode("overwrite").partitionBy(partition).parquet(target)
+    typed.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(target)
     if current_version(spark, root) != current:
         raise RuntimeError(f"Another writer has replaced {current}; the new rows were not merged")
-    parts = {**pointer.get("partitions", {}), **{name: target for name in _folders(spark, target)}}
+    written = [f"{outer}/{inner}" for outer in _folders(spark, target) for inner in _folders(spark, f"{target}/{outer}")]
+    parts = {**pointer.get("partitions", {}), **dict.fromkeys(written, target)}
     _publish(spark, root, before + 1, json.dumps({"version": target, "partitions": parts}))
     _remove_versions(spark, root, keep={target, current, *parts.values(), *pointer.get("partitions", {}).values()})
     return target
@@ -133,19 +137,18 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return _pointer(spark, root)[1].get("version")
 
 
-def _read_pointer(spark: SparkSession, pointer: dict) -> DataFrame:
-    """The partitions that a pointer names, each from its version: as many reads as there are versions."""
-    schema, found = table_schema("churn_prediction"), None
-    for version in sorted(set(pointer["partitions"].values())):
-        paths = [f"{version}/{name}" for name, at in pointer["partitions"].items() if at == version]
-        rows = spark.read.schema(schema).option("basePath", version).parquet(*paths).select(schema.fieldNames())
-        found = rows if found is None else found.unionByName(rows)
-    return spark.createDataFrame([], schema) if found is None else found
+def _read_pointer(spark: SparkSession, root: str, pointer: dict) -> DataFrame:
+    """The partitions that a pointer names, each from its version, in one scan however many versions there are."""
+    schema = table_schema("churn_prediction")
+    paths = [f"{version}/{name}" for name, version in sorted(pointer["partitions"].items())]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths).select(schema.fieldNames())
 
 
 def read_predictions(spark: SparkSession, root: str) -> DataFrame:
     pointer = _pointer(spark, root)[1]
-    return _read_pointer(spark, pointer) if pointer else spark.createDataFrame([], table_schema("churn_prediction"))
+    return _read_pointer(spark, root, pointer) if pointer else spark.createDataFrame([], table_schema("churn_prediction"))
 
 
 def _publish(spark: SparkSession, root: str, number: int, text: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.text import heading
-from holdfast.operators import drift, explain
+from holdfast.operators import drift, explain, marts
 from holdfast.schemas import DRIFT_REPORT_SCHEMA, table_schema
 from holdfast.session import ensure_checkpoint_dir
 from holdfast.sources import governed_sql, reports, sinks, tables
@@ -127,6 +127,22 @@ FROM (SELECT *, mlflow_run_id = 'run-b' AND split_name = 'test' AS hit FROM pred
   UNION ALL SELECT * REPLACE ('run-c' AS mlflow_run_id), false FROM pred WHERE mlflow_run_id = 'run-a' AND split_name = 'backtest')""")
 
 
+def _latest_stored(t: Tables) -> DataFrame:
+    """Two runs stored one after the other, then the rows of the latest: only its partitions are read."""
+    root = _scratch(t)
+    for run in ("run-a", "run-b"):
+        sinks.upsert_predictions(t.spark, t.predictions.filter(F.col("mlflow_run_id") == run), root)
+    return marts.of_latest_run(sinks.read_predictions(t.spark, root)).select(
+        "observation_date", "customer_id", "split_name", "mlflow_run_id", "churn_probability", "predicted_churn_label", "churn_risk_band", "scored_at",
+    )
+
+
+register("c02_latest_run_stored", _latest_stored, f"""
+SELECT {_KEY_SQL}, split_name, mlflow_run_id, churn_probability, predicted_churn_label, churn_risk_band,
+  strftime(scored_at, '%Y-%m-%d %H:%M:%S') AS scored_at
+FROM pred WHERE mlflow_run_id = (SELECT arg_max(mlflow_run_id, scored_at) FROM pred)""")
+
+
 def _json_report(t: Tables) -> DataFrame:
     path = _scratch(t)
     weights = {"price_sensitivity_score": 1.35, "loyalty_score": -1.25}

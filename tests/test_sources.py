@@ -8,6 +8,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from holdfast.operators import marts
 from holdfast.schemas import table_schema
 from holdfast.sources import documents, governed_sql, reports, sinks, tables
 
@@ -129,3 +130,35 @@ def test_upsert_rewrites_touched_splits_only_and_one_of_two_writers_wins(spark,
     assert got == [("c1", "backtest"), ("c1", "test"), ("c2", "test"), ("c3", "test")]
     sinks.upsert_predictions(spark, frame(row("c4", "validation")), root)
     assert sinks.read_predictions(spark, root).count() == 5
+
+
+def test_latest_run_opens_only_its_own_files(spark, tmp_path):
+    root = str(tmp_path / "predictions")
+    fields = (
+        "observation_date STRING, customer_id STRING, split_name STRING, churn_probability DOUBLE, predicted_churn_label INT, "
+        "churn_risk_band STRING, model_name STRING, model_version STRING, mlflow_run_id STRING, scored_at TIMESTAMP"
+    )
+    names = ["007", "run b", "2024-01-01", "x=y/z"]  # ids that look like numbers or dates, or need escaping, stay text
+    for hour, run in enumerate(names):
+        rows = [("2025-01-01", f"c{i}", split, 0.5, 1, "HIGH", "m", "1", run, dt.datetime(2026, 1, 1, hour)) for i in range(5) for split in ("test", "backtest")]
+        before = set(sinks.read_predictions(spark, root).inputFiles())
+        sinks.upsert_predictions(spark, spark.createDataFrame(rows, fields), root)
+        assert before <= set(sinks.read_predictions(spark, root).inputFiles())
+    stored = sinks.read_predictions(spark, root)
+    assert stored.count() == 40 and {r[0] for r in stored.select("mlflow_run_id").distinct().collect()} == set(names)
+    latest = marts.of_latest_run(stored)
+    assert {(r.mlflow_run_id, r.split_name) for r in latest.collect()} == {("x=y/z", "test"), ("x=y/z", "backtest")} and latest.count() == 10
+    plan = latest._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(mlflow_run_id" in plan.toString() and "Subquery" in plan.toString()
+
+    def scans(node):
+        node = node.finalPhysicalPlan() if "AdaptiveSparkPlan" in node.nodeName() else node
+        if "Scan parquet" in node.nodeName():
+            yield node.metrics()
+        for i in range(node.children().size()):
+            yield from scans(node.children().apply(i))
+
+    (metrics,) = scans(plan)
+    own = [f for f in stored.inputFiles() if "x%3Dy" in f or "x%253Dy" in f]
+    assert 0 < metrics.get("numFiles").get().value() == len(own) < len(stored.inputFiles())
+    assert metrics.get("numPartitions").get().value() == 2
