@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -124,6 +125,24 @@ def test_repeats_equal_brute_force(docs, texts, options):
     assert rows == _brute([(r[0], r[1]) for r in texts], 50)
 
 
+def test_stretches_that_share_a_window_are_contested(spark):
+    dice = random.Random(15)
+    piece = lambda n: bytes(dice.choice(b"abcdefgh") for _ in range(n))
+    shared = [piece(90) for _ in range(12)]
+    docs = [b" ".join(dice.choice([*shared, piece(70)])[dice.randint(0, 9) :] for _ in range(8)) for _ in range(40)]
+    table = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(docs)], "doc_id long, text string").toArrow()
+    bodies = set()
+    for i in range(4):
+        block = suffix_dedup.Block(table.slice(i * 10, 10), "text", "doc_id", 50)
+        bodies |= {b for _, b, _ in block.stretches(np.array([i % 3] * len(block.anchors), np.uint8), 50)[0]}
+    bodies = sorted(bodies)
+    windows = [[b[k : k + 50] for k in range(len(b) - 49)] for b in bodies]
+    held = Counter(w for ws in windows for w in ws)
+    found = suffix_dedup.contested(bodies).tolist()
+    assert any(found) and not all(found)
+    assert all(f or all(held[w] == 1 for w in ws) for f, ws in zip(found, windows, strict=True))
+
+
 def test_repeats_of_an_empty_table(no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 
