@@ -15,6 +15,7 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -135,19 +136,28 @@ class ByteBpe:
         return out
 
     def merge(self, piece: bytes) -> list[int]:
-        """Exact merging: the pair of lowest rank first, the leftmost of equals."""
-        size, rank_of, never = self.size, self.merges.get, len(self.made)
-        parts = [self.ids[piece[i : i + 1]] for i in range(len(piece))]
-        ranks = [rank_of(a * size + b, never) for a, b in zip(parts, parts[1:], strict=False)]
-        while ranks and (best := min(ranks)) < never:
-            i = ranks.index(best)
-            parts[i : i + 2] = [self.made[best]]
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = rank_of(parts[i] * size + parts[i + 1], never)
-            if i:
-                ranks[i - 1] = rank_of(parts[i - 1] * size + parts[i], never)
-        return parts
+        """Exact merging: the pair of lowest rank first, the leftmost of equals. Takes n log n steps for n bytes.
+
+        Pairs wait in a heap by rank and place; one whose two tokens are no longer neighbours is skipped when it comes up.
+        """
+        size, rank_of, n = self.size, self.merges.get, len(piece)
+        parts: list[int] = [self.ids[piece[i : i + 1]] for i in range(n)]
+        after, before, gone = list(range(1, n + 1)), list(range(-1, n - 1)), -1
+        waiting = [(rank, i) for i in range(n - 1) if (rank := rank_of(parts[i] * size + parts[i + 1])) is not None]
+        heapify(waiting)
+        while waiting:
+            rank, i = heappop(waiting)
+            j = after[i]
+            if parts[i] == gone or j >= n or rank_of(parts[i] * size + parts[j]) != rank:
+                continue
+            parts[i], parts[j], after[i] = self.made[rank], gone, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if (right := rank_of(parts[i] * size + parts[after[i]])) is not None:
+                    heappush(waiting, (right, i))
+            if (left := before[i]) >= 0 and (rank := rank_of(parts[left] * size + parts[i])) is not None:
+                heappush(waiting, (rank, left))
+        return [t for t in parts if t != gone]
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode pieces that are not in the table yet."""

@@ -47,6 +47,15 @@ def test_pair_check_equals_merging():
     assert 0 < sum(exact) < len(exact)
 
 
+def test_long_words_merge_as_the_library_does():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    table, library, dice = bpe.vocabulary(path), Tokenizer.from_file(path), random.Random(4)
+    long = ["a" * 20_001, "ab" * 5_000, "".join(dice.choices("abcdeeiinorstüß", k=60_000))]
+    short = ["".join(dice.choices("abcdeeiinorstüß", k=n)) for n in range(1, 120)]
+    for word in short + long:
+        assert table.merge(word.encode()) == library.encode(word, add_special_tokens=False).ids
+
+
 def test_line_rules_base_measures(docs, texts, labels, no_docs):
     got = line_rules.apply_rules(docs, line_rules.fit_line_field(docs, labels)).collect()
     assert len(got) == len(texts)
