@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import as_bytes, id_and_text, release, slices
+from holdfast.llm.common import SPACES, as_bytes, id_and_text, release, slices
 from holdfast.llm.line_rules import SYMBOLS, labelled_sample
 
 #: Fixed value: common English insults.
@@ -44,18 +44,18 @@ _UPPER = bytes(range(0x41, 0x5B))
 _LOWER = bytes(range(0x61, 0x7B))
 
 
-def measures(text: bytes, words: list[bytes], plain: list[bytes]) -> tuple[float, ...]:
+def measures(text: bytes, words: list[bytes]) -> tuple[float, ...]:
     """Shares by which the labellers judge: symbols, adjacent repeats, distinct words, mean word length, capitals."""
     n, size = len(words), max(1, len(text))
     symbols = (len(text) - len(text.translate(None, SYMBOLS))) / size
     repeats = sum(map(bytes.__eq__, words, words[1:])) / max(1, n)
     capitals, small = len(text) - len(text.translate(None, _UPPER)), len(text) - len(text.translate(None, _LOWER))
-    return symbols, repeats, len(set(words)) / max(1, n), sum(map(len, words)) / max(1, n), capitals / max(1, capitals + small)
+    return symbols, repeats, len(set(words)) / max(1, n), len(text.translate(None, SPACES)) / max(1, n), capitals / max(1, capitals + small)
 
 
-def votes(text: bytes, words: list[bytes], plain: list[bytes], marks: int) -> tuple[int, ...]:
-    symbols, repeats, variety, width, capitals = measures(text, words, plain)
-    n = len(words)
+def votes(text: bytes, n: int, measured: tuple[float, ...], plain: list[bytes], marks: int) -> tuple[int, ...]:
+    """What each labeller says of a text of ``n`` words with these measures and ``marks`` abusive stems."""
+    symbols, repeats, variety, width, capitals = measured
     return (
         POOR if symbols > 0.03 else GOOD if symbols < 0.005 else NONE,
         NONE if n < 10 else POOR if repeats > 0.2 else GOOD if repeats < 0.03 else NONE,
@@ -116,14 +116,23 @@ class Hasher:
         place = self._place
         if len(place) > KEPT_WORDS:
             place.clear()
-        for w in [w for w in set(words) if w not in place]:
-            i = place[w] = len(place)
-            if i == len(self._table):
+        counted = Counter(words)
+        new = [w for w in counted if w not in place]
+        if new:
+            start, end = len(place), len(place) + len(new)
+            place.update(zip(new, range(start, end), strict=True))
+            while end > len(self._table):
                 self._table = np.concatenate((self._table, np.zeros_like(self._table)))
-            letters = w.decode("utf-8", "replace").lower()
-            self._table[i] = [xxhash.xxh32_intdigest(letters[:n], n) % BUCKETS if len(letters) >= n else -1 for n in STEMS]
-        found = self._table[np.fromiter(map(place.__getitem__, words), np.int64, len(words))].ravel()
-        return np.unique(found[found >= 0], return_counts=True)
+            letters = [w if w.isascii() else w.decode("utf-8", "replace").lower() for w in new]  # ASCII is lower-cased already
+            for i, n in enumerate(STEMS):
+                self._table[start:end, i] = [xxhash.xxh32_intdigest(x[:n], n) % BUCKETS if len(x) >= n else -1 for x in letters]
+        found = self._table[np.fromiter(map(place.__getitem__, counted), np.int64, len(counted))].ravel()
+        times = np.repeat(np.fromiter(counted.values(), np.int64, len(counted)), len(STEMS))[found >= 0]
+        found = found[found >= 0]
+        order = np.argsort(found)
+        found, times = found[order], times[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(found)), bool), found[1:] != found[:-1])))
+        return found[first], np.add.reduceat(times, first) if len(first) else times
 
 
 @lru_cache(maxsize=1)
@@ -143,13 +152,13 @@ def document(text: bytes, stems: np.ndarray) -> tuple[int, np.ndarray]:
     features = stem_features(plain)
     at = np.searchsorted(stems, features)
     marks = int((stems[np.minimum(at, len(stems) - 1)] == features).sum()) if len(stems) else 0
-    symbols, repeats, variety, width, capitals = measures(text, words, plain)
+    symbols, repeats, variety, width, capitals = measured = measures(text, words)
     style = (
         f"symbols {min(9, int(symbols * 100))}", f"repeats {min(9, int(repeats * 20))}", f"variety {int(variety * 10) if len(words) >= 30 else -1}",
         f"width {min(20, int(width))}", f"capitals {int(capitals * 10)}", f"words {min(6, int(math.log2(len(words) + 1)))}", "bias",
     )
     styles = [len(LEVELS) * BUCKETS + xxhash.xxh32_intdigest(s, 2) % STYLES for s in style]
-    return pattern_number(votes(text, words, plain, marks)), np.concatenate((features, styles)).astype(np.int32)
+    return pattern_number(votes(text, len(words), measured, plain, marks)), np.concatenate((features, styles)).astype(np.int32)
 
 
 _MIXES = np.random.default_rng(3).integers(1, 1 << 31, 12, np.int64) * 2 + 1
