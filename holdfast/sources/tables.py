@@ -38,18 +38,23 @@ def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, table: str, *, partition_column: str | None = None, lower: Any = None, upper: Any = None,
-    partitions: int = 1, fetch_size: int = 10000, options: Mapping[str, str] | None = None,
+    spark: SparkSession, url: str, table: str, *, partition_column: str, lower: Any, upper: Any, partitions: int,
+    fetch_size: int = 10000, options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A relational table or ``(query) alias``, read in parallel ranges of a numeric or date column."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", fetch_size)
+    """A relational table or ``(query) alias``, read in ``partitions`` ranges of a numeric or date column.
+
+    The column, its least and greatest value and the number of ranges must be given: without them the whole table would
+    be read by one task. Values outside the bounds are read too, with the first and last range; nulls with the first.
+    """
+    if partitions < 2:
+        raise ValueError("partitions must be at least 2")
+    reader = (
+        spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", fetch_size)
+        .option("partitionColumn", partition_column).option("lowerBound", str(lower)).option("upperBound", str(upper))
+        .option("numPartitions", partitions)
+    )
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
-    if partition_column is not None:
-        reader = (
-            reader.option("partitionColumn", partition_column).option("lowerBound", str(lower))
-            .option("upperBound", str(upper)).option("numPartitions", partitions)
-        )
     return reader.load()
 
 

@@ -80,10 +80,19 @@ register("b09_schema_evolution", lambda t: quality.ensure_columns(
     t.labels.select("observation_date", "customer_id", "churn_label"), {"churn_date": "date", "customer_lifecycle_status": "string"}
 ).groupBy("churn_label").agg(F.count(F.lit(1)).alias("rows"), F.count("churn_date").alias("dates"), F.count("customer_lifecycle_status").alias("statuses")),
          "SELECT churn_label, count(*) AS rows, 0 AS dates, 0 AS statuses FROM lab GROUP BY ALL")
-register("b10_defaults", lambda t: quality.with_defaults(
-    t.dim_customer.select("customer_id", "phone"), {"phone": "none", "country": "FR", "is_active": True}, ["created_at"]
-).withColumn("created_at", F.col("created_at").isNotNull()),
-         "SELECT customer_id, coalesce(phone, 'none') AS phone, 'FR' AS country, true AS is_active, true AS created_at FROM cust")
+def _stamped(t: Tables) -> DataFrame:
+    """Half of the customers come with a creation time; the others get the current one."""
+    known = F.when(F.col("customer_id").rlike("[02468]$"), F.col("acquisition_date").cast("timestamp"))
+    given = t.dim_customer.select("customer_id", "phone", known.alias("created_at"))
+    filled = quality.with_defaults(given, {"phone": "none", "country": "FR", "is_active": True}, ["created_at", "updated_at"])
+    now = F.current_timestamp()  # one instant per query
+    return filled.select("customer_id", "phone", "country", "is_active", (F.col("updated_at") == now).alias("updated_now"), F.when(
+        F.col("created_at") == now, "now").otherwise(F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")).alias("created_at"))
+
+
+register("b10_defaults", _stamped, """
+SELECT customer_id, coalesce(phone, 'none') AS phone, 'FR' AS country, true AS is_active, true AS updated_now,
+  CASE WHEN regexp_matches(customer_id, '[02468]$') THEN strftime(acquisition_date, '%Y-%m-%d 00:00:00') ELSE 'now' END AS created_at FROM cust""")
 register("b11_table_volumes", lambda t: quality.table_volumes({
     "dim_customer": t.dim_customer, "dim_agency": t.dim_agency, "fact_policy": t.fact_policy, "fact_payment": t.fact_payment, "fact_claim": t.fact_claim,
     "fact_interaction": t.fact_interaction, "fact_customer_service": t.fact_customer_service, "fact_quote": t.fact_quote,

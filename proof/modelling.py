@@ -108,13 +108,24 @@ def _with_proxy(t: Tables) -> DataFrame:
 register("f14_perfect_proxies", lambda t: leakage.perfect_proxies(_with_proxy(t), ["proxy", "constant", "region", "main_product_family", "observation_year"]), """
 SELECT 'proxy' AS feature, count(DISTINCT CASE WHEN churn_label = 1 THEN 'yes' WHEN split_name = 'test' THEN 'nan' ELSE 'no' END) AS value_count FROM eng""")
 _NOTE = "acceptable for temporal panel data, but not acceptable for random splitting"
-register("f15_leakage_audit", lambda t: leakage.audit(t.engineered).select("check_name", "status", "severity"), """
-SELECT * FROM (VALUES ('forbidden_features_not_in_model_contract', 'failed', 'critical'), ('target_not_in_features', 'passed', 'info')) v(check_name, status, severity)
-UNION ALL SELECT 'churn_date_after_observation', CASE WHEN count(*) > 0 THEN 'failed' ELSE 'passed' END, CASE WHEN count(*) > 0 THEN 'critical' ELSE 'info' END
-  FROM eng WHERE churn_label = 1 AND churn_date < observation_date
-UNION ALL SELECT 'same_customer_across_temporal_splits', CASE WHEN count(*) > 0 THEN 'warning' ELSE 'passed' END, CASE WHEN count(*) > 0 THEN 'medium' ELSE 'info' END
-  FROM (SELECT customer_id FROM eng GROUP BY customer_id HAVING count(DISTINCT split_name) > 1)
-UNION ALL SELECT 'low_cardinality_features_not_perfect_target_proxy', 'passed', 'info'""")
+_ALL_FEATURES = ", ".join(FEATURE_COLUMNS)
+register("f15_leakage_audit", lambda t: _flat(leakage.audit(t.engineered)), f"""
+WITH levels AS (SELECT feature, value, min(churn_label) AS lo, max(churn_label) AS hi FROM (
+    SELECT churn_label, {', '.join(f"coalesce(CAST({c} AS VARCHAR), 'nan') AS {c}" for c in FEATURE_COLUMNS)} FROM eng)
+  UNPIVOT (value FOR feature IN ({_ALL_FEATURES})) GROUP BY ALL),
+proxies AS (SELECT feature FROM levels GROUP BY feature HAVING bool_and(lo = hi AND lo IN (0, 1)) AND count(*) BETWEEN 2 AND 20),
+found AS (SELECT count(*) AS n, coalesce(string_agg(feature, ',' ORDER BY feature), '') AS names FROM proxies),
+early AS (SELECT count(*) AS n FROM eng WHERE churn_label = 1 AND churn_date < observation_date),
+again AS (SELECT count(*) AS n FROM (SELECT customer_id FROM eng GROUP BY customer_id HAVING count(DISTINCT split_name) > 1))
+SELECT * FROM (VALUES
+  ('forbidden_features_not_in_model_contract', 'failed', 'critical', '{{"forbidden_features_found":"latent_churn_risk_band"}}'),
+  ('target_not_in_features', 'passed', 'info', '{{"target_column":"churn_label","target_in_features":"false"}}')) v(check_name, status, severity, details)
+UNION ALL SELECT 'churn_date_after_observation', CASE WHEN n > 0 THEN 'failed' ELSE 'passed' END, CASE WHEN n > 0 THEN 'critical' ELSE 'info' END,
+  '{{"invalid_positive_rows":"' || n || '"}}' FROM early
+UNION ALL SELECT 'same_customer_across_temporal_splits', CASE WHEN n > 0 THEN 'warning' ELSE 'passed' END, CASE WHEN n > 0 THEN 'medium' ELSE 'info' END,
+  '{{"customers_seen_in_multiple_splits":"' || n || '","interpretation":"{_NOTE}"}}' FROM again
+UNION ALL SELECT 'low_cardinality_features_not_perfect_target_proxy', CASE WHEN n > 0 THEN 'failed' ELSE 'passed' END,
+  CASE WHEN n > 0 THEN 'high' ELSE 'info' END, '{{"suspicious_features":"' || names || '"}}' FROM found""")
 
 # --- I: trained model, rows only (the boosting library has no SQL form) ---------------------------
 
@@ -203,31 +214,27 @@ WITH {_CONTRIB} SELECT {_KEY_SQL}, feature, round(contribution, 7) + 0 AS contri
 _SUMMARY = f"""{_CONTRIB}, long AS (SELECT feature, c FROM contrib UNPIVOT (c FOR feature IN ({', '.join(_WEIGHTS)}))),
 agg AS (SELECT feature, avg(abs(c)) AS a, avg(c) AS m, avg(CASE WHEN c > 0 THEN 1 ELSE 0 END) AS p FROM long GROUP BY feature),
 ranked_features AS (SELECT row_number() OVER (ORDER BY a DESC, feature) AS rank, feature, a, m, p, a / sum(a) OVER () * 100 AS pct FROM agg)"""
-register("k02_importance_summary", lambda t: explain.summarize(_contributions(t), list(_WEIGHTS)).drop("impact_direction", "mean_shap"), f"""
-WITH {_SUMMARY} SELECT rank, feature, 'numeric' AS feature_type, round(a, 7) AS mean_abs_shap, round(p, 7) AS positive_impact_share,
-  round(pct, 7) AS normalized_importance_pct FROM ranked_features""", 7)
-
-
-def _split_contributions(t: Tables) -> DataFrame:
-    """Contributions of the test rows against the means of all rows, so that signs differ by feature."""
-    means = explain.feature_means(t.engineered, list(_WEIGHTS))
-    return explain.linear_contributions(t.engineered.filter("split_name = 'test'"), _WEIGHTS, means, KEYS)
-
-
-register("k03_impact_direction", lambda t: explain.summarize(_split_contributions(t), ["complaints_6m", "number_of_products"]).select("feature", "impact_direction"), """
-SELECT f AS feature, CASE WHEN d > 0 THEN 'increases_churn_risk' WHEN d < 0 THEN 'decreases_churn_risk' ELSE 'mixed_or_neutral' END AS impact_direction FROM (
-  SELECT 'complaints_6m' AS f, 0.34e0 * (avg(complaints_6m) FILTER (split_name = 'test') - avg(complaints_6m)) AS d FROM eng
-  UNION ALL SELECT 'number_of_products', -0.16e0 * (avg(number_of_products) FILTER (split_name = 'test') - avg(number_of_products)) FROM eng)""")
+def _against_kept(t: Tables) -> DataFrame:
+    """Contributions of all rows against the means of the rows without churn, so that signs differ by feature."""
+    means = explain.feature_means(t.engineered.filter("churn_label = 0"), list(_WEIGHTS))
+    return explain.linear_contributions(t.engineered, _WEIGHTS, means, KEYS)
+
+
+_SIGNED = f"""means AS (SELECT {', '.join(f'avg({f}) AS {f}' for f in _WEIGHTS)} FROM eng WHERE churn_label = 0),
+shifted AS (SELECT {', '.join(f'{w}e0 * (e.{f} - m.{f}) AS {f}' for f, w in _WEIGHTS.items())} FROM eng e CROSS JOIN means m),
+agg AS (SELECT feature, avg(abs(c)) AS a, avg(c) AS m, avg(CASE WHEN c > 0 THEN 1 ELSE 0 END) AS p
+  FROM shifted UNPIVOT (c FOR feature IN ({', '.join(_WEIGHTS)})) GROUP BY feature),
+placed AS (SELECT row_number() OVER (ORDER BY a DESC, feature) AS rank, feature, a, m, p, a / sum(a) OVER () * 100 AS pct,
+  CASE WHEN m > 0 THEN 'increases_churn_risk' WHEN m < 0 THEN 'decreases_churn_risk' ELSE 'mixed_or_neutral' END AS direction FROM agg)"""
+register("k02_importance_summary", lambda t: explain.summarize(_against_kept(t), list(_WEIGHTS)), f"""
+WITH {_SIGNED} SELECT rank, feature, 'numeric' AS feature_type, round(a, 7) AS mean_abs_shap, round(m, 7) + 0 AS mean_shap,
+  round(p, 7) AS positive_impact_share, round(pct, 7) AS normalized_importance_pct, direction AS impact_direction FROM placed""", 7)
+register("k03_impact_direction", lambda t: explain.summarize(_against_kept(t), list(_WEIGHTS)).select("feature", "impact_direction"),
+         f"WITH {_SIGNED} SELECT feature, direction AS impact_direction FROM placed")
 register("k04_explanation_report", lambda t: explain.explanation_report(
     explain.summarize(_contributions(t), list(_WEIGHTS)), None, "rule_score", "run-b", "linear contributions", 3
 ).select("schema_version", "model_name", "mlflow_run_id", "target", "explainability_method", F.expr("transform(top_features, x -> x.feature)").alias("top_features")), f"""
 WITH {_SUMMARY} SELECT '1.0' AS schema_version, 'rule_score' AS model_name, 'run-b' AS mlflow_run_id, 'churn_label' AS target,
   'linear contributions' AS explainability_method, string_agg(feature, ',' ORDER BY rank) AS top_features FROM ranked_features WHERE rank <= 3""")
-register("k05_driver_lines", lambda t: explain.driver_lines(explain.summarize(_split_contributions(t), list(_WEIGHTS)).withColumn(
-    "impact_direction", F.lit("mixed_or_neutral")
-), 3), f"""
-WITH means AS (SELECT {', '.join(f'avg({f}) AS {f}' for f in _WEIGHTS)} FROM eng),
-test_rows AS (SELECT {', '.join(f'abs({w}e0 * (e.{f} - m.{f})) AS {f}' for f, w in _WEIGHTS.items())} FROM eng e CROSS JOIN means m WHERE split_name = 'test'),
-agg AS (SELECT feature, avg(c) AS a FROM test_rows UNPIVOT (c FOR feature IN ({', '.join(_WEIGHTS)})) GROUP BY feature),
-placed AS (SELECT row_number() OVER (ORDER BY a DESC, feature) AS rank, feature, a / sum(a) OVER () * 100 AS pct FROM agg)
-SELECT rank, feature || ': mixed_or_neutral (' || printf('%.1f', round_even(pct * 10, 0) / 10) || '%)' AS driver FROM placed WHERE rank <= 3""")
+register("k05_driver_lines", lambda t: explain.driver_lines(explain.summarize(_against_kept(t), list(_WEIGHTS)), 3), f"""
+WITH {_SIGNED} SELECT rank, feature || ': ' || direction || ' (' || printf('%.1f', round_even(pct * 10, 0) / 10) || '%)' AS driver FROM placed WHERE rank <= 3""")

@@ -142,23 +142,24 @@ def _profiles(t: Tables):
 _SIGNALS_SQL = f"""
 WITH found AS (
   SELECT observation_date, customer_id, 1 AS pos, 'price_sensitivity_score' AS field, 'sensibilite prix elevee' AS label,
+    CAST({ev('price_sensitivity_score', 3)} AS VARCHAR) AS value,
     {ev('least(abs(price_sensitivity_score - 0.65e0) + 0.5e0, 1)', 3)} AS severity FROM tiered WHERE price_sensitivity_score > 0.65e0
-  UNION ALL SELECT observation_date, customer_id, 2, 'avg_satisfaction_score_12m', 'satisfaction faible sur 12 mois',
+  UNION ALL SELECT observation_date, customer_id, 2, 'avg_satisfaction_score_12m', 'satisfaction faible sur 12 mois', CAST({ev('avg_satisfaction_score_12m', 3)} AS VARCHAR),
     {ev('least(abs(avg_satisfaction_score_12m - 3.5e0) / 3.5e0 + 0.5e0, 1)', 3)} FROM tiered WHERE avg_satisfaction_score_12m <= 3.5e0
-  UNION ALL SELECT observation_date, customer_id, 3, 'renewal_days_min', 'renouvellement proche',
+  UNION ALL SELECT observation_date, customer_id, 3, 'renewal_days_min', 'renouvellement proche', {fx('renewal_days_min', 0)} || ' jours',
     {ev('least(abs(CAST(renewal_days_min AS DOUBLE) - 45) / 45 + 0.5e0, 1)', 3)} FROM tiered WHERE renewal_days_min <= 45
-  UNION ALL SELECT observation_date, customer_id, 4, 'days_since_last_contact', 'pas de contact recent',
+  UNION ALL SELECT observation_date, customer_id, 4, 'days_since_last_contact', 'pas de contact recent', {fx('days_since_last_contact', 0)} || ' jours',
     {ev('least(abs(CAST(days_since_last_contact AS DOUBLE) - 90) / 90 + 0.5e0, 1)', 3)} FROM tiered WHERE days_since_last_contact > 90
-  UNION ALL SELECT observation_date, customer_id, 5, 'payment_incidents_6m', 'incidents de paiement recents', 1e0 FROM tiered WHERE payment_incidents_6m > 0
-  UNION ALL SELECT observation_date, customer_id, 6, 'complaints_6m', 'reclamations recentes', 1e0 FROM tiered WHERE complaints_6m > 0
-  UNION ALL SELECT observation_date, customer_id, 0, 'action_reason', action_reason, 0.95e0 FROM tiered),
+  UNION ALL SELECT observation_date, customer_id, 5, 'payment_incidents_6m', 'incidents de paiement recents', CAST({ev('payment_incidents_6m', 3)} AS VARCHAR), 1e0 FROM tiered WHERE payment_incidents_6m > 0
+  UNION ALL SELECT observation_date, customer_id, 6, 'complaints_6m', 'reclamations recentes', CAST({ev('complaints_6m', 3)} AS VARCHAR), 1e0 FROM tiered WHERE complaints_6m > 0
+  UNION ALL SELECT observation_date, customer_id, 0, 'action_reason', action_reason, action_reason, 0.95e0 FROM tiered),
 placed AS (SELECT *, row_number() OVER (PARTITION BY observation_date, customer_id ORDER BY severity DESC, pos) AS rank FROM found)
 """
-register("p01_customer_signals", lambda t: signals.customer_signals(t.candidates).drop("value"), _SIGNALS_SQL.replace(
-    "UNION ALL SELECT observation_date, customer_id, 0, 'action_reason', action_reason, 0.95e0 FROM tiered", ""
-) + f"SELECT {_KEY_SQL}, rank, field, label, severity, 'risk' AS direction FROM placed")
-register("p02_top_signals", lambda t: signals.customer_signals(_profiles(t), 4).drop("value"),
-         _SIGNALS_SQL + f"SELECT {_KEY_SQL}, rank, field, label, severity, 'risk' AS direction FROM placed WHERE rank <= 4")
+register("p01_customer_signals", lambda t: signals.customer_signals(t.candidates), _SIGNALS_SQL.replace(
+    "UNION ALL SELECT observation_date, customer_id, 0, 'action_reason', action_reason, action_reason, 0.95e0 FROM tiered", ""
+) + f"SELECT {_KEY_SQL}, rank, field, label, value, severity, 'risk' AS direction FROM placed")
+register("p02_top_signals", lambda t: signals.customer_signals(_profiles(t), 4),
+         _SIGNALS_SQL + f"SELECT {_KEY_SQL}, rank, field, label, value, severity, 'risk' AS direction FROM placed WHERE rank <= 4")
 _DERIVED = "CASE WHEN churn_probability >= 0.75e0 THEN 'VERY_HIGH' WHEN churn_probability >= 0.5e0 THEN 'HIGH' WHEN churn_probability >= 0.25e0 THEN 'MEDIUM' ELSE 'LOW' END"
 register("p03_probability_view", lambda t: signals.probability_view(t.candidates), f"""
 SELECT {_KEY_SQL}, mlflow_run_id, churn_probability AS probability, {fx('churn_probability * 100', 0)} || '%' AS probability_label,

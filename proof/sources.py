@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.text import heading
-from holdfast.operators import drift, explain, marts
-from holdfast.schemas import DRIFT_REPORT_SCHEMA, table_schema
+from holdfast.operators import explain, marts
+from holdfast.schemas import table_schema
 from holdfast.session import ensure_checkpoint_dir
-from holdfast.sources import governed_sql, reports, sinks, tables
+from holdfast.sources import documents, governed_sql, reports, sinks, tables
 from proof.base import Tables, register
 
 _KEY_SQL = "CAST(observation_date AS VARCHAR) AS observation_date, customer_id"
@@ -69,18 +69,26 @@ SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Doc ' || doc_id ELSE 'Note ' || up
 FROM documents""")
 
 
-def _report_round_trip(t: Tables) -> DataFrame:
-    """A saved drift report read back with its schema; an absent report adds nothing."""
+def _document_corpus(t: Tables) -> DataFrame:
+    """Passages written one to a file below folders with spaces, accents, plus and percent signs, then read as documents."""
     path = _scratch(t)
-    sinks.write_csv(drift.categorical_rows(
-        t.engineered, ["region", "urbanicity"], ("train", "validation", "backtest", "test"), drift.split_pairs()
-    ).select(*[F.col(f.name) if f.name not in ("severity", "severity_rank", "is_reference_comparison") else F.lit(None).cast(f.dataType).alias(f.name)
-               for f in DRIFT_REPORT_SCHEMA.fields]), path)
-    saved = reports.read_drift_report(t.spark, path).unionByName(reports.read_drift_report(t.spark, f"{path}-absent"))
-    return saved.groupBy("feature").agg(F.count(F.lit(1)).alias("rows"))
+    item = F.col("item_id")
+    heading_line = F.when(item % 3 == 0, F.concat(F.lit("lead\n ## Fiche "), item, F.lit(" \n"))).otherwise(F.concat(F.lit("# Note "), item, F.lit("\n")))
+    body = F.when(item % 7 == 0, F.lit(" \n\t")).otherwise(F.concat(heading_line, F.regexp_replace("text", r"[#\s]+", " ")))
+    t.raw("benchmark").select(F.concat(F.lit("prix élevé +"), item % 4, F.lit("% a")).alias("topic"), body.alias("value")).write.partitionBy(
+        "topic").option("maxRecordsPerFile", 1).text(path)
+    found = documents.read_documents(t.spark, path)
+    return found.select(
+        F.regexp_extract("path", "topic=([^/]*)/", 1).alias("folder"), "title", F.col("document_id").startswith("part-").alias("named"),
+        F.md5(F.regexp_replace("text", r"\s+", " ")).alias("text_md5"),
+    )
 
 
-register("a07_saved_reports", _report_round_trip, "SELECT unnest(['region', 'urbanicity']) AS feature, 6 + 0 * (SELECT count(*) FROM eng) AS rows")
+register("a05_document_corpus", _document_corpus, r"""
+SELECT 'prix élevé +' || (item_id % 4) || '%25 a' AS folder, CASE WHEN item_id % 3 = 0 THEN 'Fiche ' ELSE 'Note ' END || item_id AS title, true AS named,
+  md5(trim(CASE WHEN item_id % 3 = 0 THEN 'lead ## Fiche ' || item_id || ' ' ELSE '# Note ' || item_id || ' ' END
+    || regexp_replace(text, '[#\s]+', ' ', 'g'))) AS text_md5
+FROM benchmark WHERE item_id % 7 <> 0""")
 
 
 def _queue_csv(t: Tables) -> DataFrame:

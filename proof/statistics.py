@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from holdfast.operators import drift, marts, metrics, selection
 from holdfast.schemas import (
-    ALWAYS_EXCLUDED, CATEGORICAL_FEATURES, ENGINEERED_CATEGORICAL, ENGINEERED_NUMERIC, FEATURE_INPUTS, NUMERIC_FEATURES,
+    ALWAYS_EXCLUDED, CATEGORICAL_FEATURES, DRIFT_REPORT_SCHEMA, ENGINEERED_CATEGORICAL, ENGINEERED_NUMERIC, FEATURE_INPUTS, NUMERIC_FEATURES,
     PROTECTED_COLUMNS,
 )
+from holdfast.session import ensure_checkpoint_dir
+from holdfast.sources import reports, sinks
 from proof.base import THRESHOLD, Tables, ev, register
 
 # --- G: drift ------------------------------------------------------------------------------------
@@ -113,6 +117,15 @@ def _g(key: str, build, select: str) -> None:
     register(key, build, f"WITH {_DRIFT_VIEWS.strip()}\n{select}", _DIGITS)
 
 
+def _saved_report(t: Tables):
+    """The whole drift report saved as CSV and read back with its schema; an absent report adds nothing."""
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/holdfast-{uuid.uuid4().hex}"
+    sinks.write_csv(_report(t).select(*DRIFT_REPORT_SCHEMA.names), path)
+    return reports.read_drift_report(t.spark, path).unionByName(reports.read_drift_report(t.spark, f"{path}-absent"))
+
+
+# A file has no empty text beside null.
+_g("a07_saved_reports", _saved_report, f"SELECT * REPLACE (nullif(reference_top_value, '') AS reference_top_value, nullif(comparison_top_value, '') AS comparison_top_value) FROM (SELECT {_rounded(_ALL)} FROM report)")
 _g("g01_split_pairs", lambda t: _report(t).groupBy("reference_split", "comparison_split", "is_reference_comparison").agg(
     F.count_distinct("feature").alias("features")
 ), "SELECT reference_split, comparison_split, is_reference_comparison, count(*) AS features FROM report GROUP BY ALL")

@@ -25,6 +25,13 @@ def test_csv_folder(spark, tmp_path):
         tables.read_csv_folder(spark, str(tmp_path / "absent"))
 
 
+def test_relational_read_asks_for_ranges(spark):
+    with pytest.raises(TypeError, match="partition_column"):
+        tables.read_jdbc(spark, "jdbc:none://", "orders")
+    with pytest.raises(ValueError, match="partitions"):
+        tables.read_jdbc(spark, "jdbc:none://", "orders", partition_column="id", lower=0, upper=9, partitions=1)
+
+
 def test_documents(spark, tmp_path):
     (tmp_path / "deep").mkdir()
     (tmp_path / "deep" / "plan_un.md").write_text("intro\n  ## Sinistre recent \nbody")
