@@ -87,31 +87,36 @@ class LineField:
         self.emit = np.zeros((2, FEATURES)) if emit is None else emit
         self.move = np.zeros((2, 2)) if move is None else move
 
-    def fit(self, sequences: list[tuple[list[int], int]], rounds: int = 40, rate: float = 0.5, ridge: float = 1e-3) -> LineField:
-        """Maximum likelihood by full-batch adaptive gradient steps; a sequence is (feature bits, its label)."""
-        if len({label for _, label in sequences}) < 2:
+    def fit(
+        self, sequences: list[tuple[list[int], int | list[int]]], rounds: int = 40, rate: float = 0.5, ridge: float = 1e-3, caution: float = 2.0
+    ) -> LineField:
+        """Likelihood weighted by label, by full-batch adaptive gradient steps; a sequence is (feature bits, its label or one per line).
+
+        Both labels weigh the same however many lines they have, but losing a content line costs ``caution`` times as much
+        as keeping one of boilerplate; a pair of neighbours weighs the mean of its two lines.
+        """
+        data = [(_dense(bits), np.broadcast_to(label, len(bits))) for bits, label in sequences if bits]
+        lines = sum(len(x) for x, _ in data)
+        poor = sum(int(label.sum()) for _, label in data)
+        if poor in (0, lines):
             return self
-        data = [(_dense(bits), label) for bits, label in sequences if bits]
-        # Losing a good document costs more than keeping a poor one.
-        weight = {c: w / max(1, sum(len(x) for x, label in data if label == c)) for c, w in ((0, 0.8), (1, 0.2))}
+        cost = np.array([caution / (lines - poor), 1 / poor]) / (caution + 1)
         total = [np.zeros_like(self.emit), np.zeros_like(self.move)]
         for _ in range(rounds):
             step = [-ridge * self.emit, -ridge * self.move]
             for x, label in data:
-                unary, pairs = self._marginals(x)
-                target = np.zeros_like(unary)
-                target[:, label] = 1
-                step[0] += weight[label] * (target - unary).T @ x
-                seen = np.zeros((2, 2))
-                seen[label, label] = len(x) - 1
-                step[1] += weight[label] * (seen - pairs)
+                weight = cost[label]
+                between = (weight[:-1] + weight[1:]) / 2
+                unary, pairs = self._marginals(x, between)
+                step[0] += ((np.stack((1 - label, label), axis=1) - unary) * weight[:, None]).T @ x
+                step[1] += np.bincount(2 * label[:-1] + label[1:], between, minlength=4).reshape(2, 2) - pairs
             for value, gradient, square in zip((self.emit, self.move), step, total, strict=True):
                 square += gradient**2
                 value += rate * gradient / np.sqrt(square + 1e-12)
         return self
 
-    def _marginals(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Label probabilities of every line, and expected counts of label pairs."""
+    def _marginals(self, x: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Label probabilities of every line, and expected counts of label pairs; ``weight`` is that of each pair of neighbours."""
         score = np.exp(x @ self.emit.T)
         jump = np.exp(self.move)
         n = len(x)
@@ -128,7 +133,7 @@ class LineField:
         if n == 1:
             return unary, np.zeros((2, 2))
         pair = ahead[:-1, :, None] * jump * (score[1:] * back[1:])[:, None, :]
-        return unary, (pair / pair.sum((1, 2), keepdims=True)).sum(0)
+        return unary, (pair * (weight / pair.sum((1, 2)))[:, None, None]).sum(0)
 
     def table(self) -> list[float]:
         """By feature bits: how much better label 1 is than label 0 on such a line."""
@@ -226,21 +231,30 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, zeros: int,
     return id_and_text(docs).join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("doc_id", "label", "text")
 
 
-def fit_line_field(docs: DataFrame, labels: DataFrame, per_class: int = 400, lines: int = 60) -> LineField:
-    """Fit on at most ``per_class`` documents of either quality label and the first ``lines`` lines of each.
+def fit_line_field(docs: DataFrame, labels: DataFrame, per_class: int = 400, lines: int = 1000) -> LineField:
+    """Fit on at most ``per_class`` documents of either quality label, each with all its lines.
 
-    Lines of a document of good quality count as content, those of a poor one as boilerplate. Without labelled
-    documents of both kinds the weights stay zero and every line is content.
+    Lines of a document of good quality count as content, those of a poor one as boilerplate. Good and poor documents
+    are joined in pairs, so that chains show both labels and where they change. A sampled document of more than
+    ``lines`` lines does not teach. Without labelled documents of both kinds the weights stay zero and every line is
+    content.
     """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = as_bytes(batch.column("text"))
-            bits = [document_lines(t or b"")[0][:lines] for t in texts]
+            bits = [document_lines(t)[0] if t and t.count(b"\n") < lines else [] for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(bits, pa.list_(pa.int32()))], ["doc_id", "label", "bits"]
             )
 
     sample = labelled_sample(docs, labels, "quality", per_class, per_class).mapInArrow(extract, "doc_id long, label int, bits array<int>")
-    rows = sorted((r.doc_id, r.label, r.bits) for r in sample.collect())
-    return LineField().fit([(bits, 1 - label) for _, label, bits in rows])
+    rows = sorted((r.doc_id, r.label, r.bits) for r in sample.collect() if r.bits)
+    return LineField().fit(joined([bits for _, label, bits in rows if label == 1], [bits for _, label, bits in rows if label == 0]))
+
+
+def joined(good: list[list[int]], poor: list[list[int]]) -> list[tuple[list[int], list[int]]]:
+    """Chains of one good and one poor document, in turns either first; what has no partner is a chain of its own."""
+    pairs = min(len(good), len(poor))
+    chains = [(g + p, [0] * len(g) + [1] * len(p)) if i % 2 else (p + g, [1] * len(p) + [0] * len(g)) for i, (g, p) in enumerate(zip(good, poor, strict=False))]
+    return chains + [(x, [0] * len(x)) for x in good[pairs:]] + [(x, [1] * len(x)) for x in poor[pairs:]]
