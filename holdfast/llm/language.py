@@ -119,21 +119,27 @@ def cross_parser(texts: tuple[tuple[str, str], ...]) -> CrossParser:
 
 
 def learn(docs: DataFrame, documents: int = 150, characters: int = 60_000) -> tuple[tuple[str, str], ...]:
-    """Per language, the distinct words of a bounded sample: at most ``documents`` rows, the least by a hash of
-    id and text, and at most ``characters`` characters of distinct words. ``docs`` has text and lang, both not null."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-    rows = docs.select("lang", "doc_id", "text", F.row_number().over(order).alias("r")).filter(F.col("r") <= documents)
-    rows = rows.select("lang", "r", F.substring("text", 1, characters).alias("text"))
+    """Per language, the distinct words of a bounded sample: at most ``documents`` rows, the least by a hash of id and
+    text, each read whole. A document that would take the sample above ``characters`` bytes of distinct words is left
+    out whole, and texts of more than ``characters`` bytes do not teach, unless a language has no others: then its
+    shortest one does. ``docs`` has text and lang, both not null."""
+    size = F.octet_length("text")
+    order = Window.partitionBy("lang").orderBy(F.greatest(size - characters, F.lit(0)), F.xxhash64("doc_id", "text"), "doc_id")
+    rows = docs.select("lang", "doc_id", "text", F.row_number().over(order).alias("r"))
+    rows = rows.filter((F.col("r") == 1) | ((F.col("r") <= documents) & (size <= characters))).select("lang", "r", "text")
     sample: dict[str, list[str]] = {}
     for row in sorted(rows.collect(), key=lambda x: (x.lang, x.r)):
         sample.setdefault(row.lang, []).append(row.text)
     out = []
     for lang, texts in sorted(sample.items()):
-        parts, size = {}, 1
-        for w in (w for t in texts for w in words_of(t)):
-            if w not in parts and size + len(w) < characters:
-                parts[w] = None
-                size += len(w) + 1
+        parts = dict.fromkeys(words_of(texts[0]))
+        used = sum(map(len, parts)) + len(parts)
+        for text in texts[1:]:
+            new = dict.fromkeys(w for w in words_of(text) if w not in parts)
+            more = sum(map(len, new)) + len(new)
+            if used + more <= characters:
+                parts |= new
+                used += more
         if parts:
             out.append((lang, f" {b' '.join(parts).decode()} "))
     return tuple(out)

@@ -96,6 +96,27 @@ def test_line_field_learns_junk():
     assert not any(field.viterbi(good, field.table())) and all(field.viterbi(junk, field.table()))
 
 
+def test_line_field_cuts_a_junk_block_out_of_a_good_text():
+    good, junk = [1 | 64, 1, 1 | 64, 1, 1 | 64], [1 | 4 | 8] * 5
+    chains = line_rules.joined([good] * 5, [junk] * 7)
+    assert sorted(len(bits) for bits, _ in chains) == [5, 5] + [10] * 5
+    assert all(sum(labels) in (0, 5) or labels in ([0] * 5 + [1] * 5, [1] * 5 + [0] * 5) for _, labels in chains)
+    field = line_rules.LineField().fit(chains)
+    assert field.viterbi(good + junk + good, field.table()) == [False] * 5 + [True] * 5 + [False] * 5
+
+
+def test_line_field_learns_from_lines_far_down(spark):
+    plain, junk = "Some plain words stand in this line.", "## $$ ** || && %%"
+    far = "\n".join([plain] * 70 + [junk] * 200)
+    rows = [(i, "\n".join([plain.replace("plain", f"w{i}")] * 3)) for i in range(20)] + [(100 + i, far) for i in range(20)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows], "doc_id long, quality int")
+    field = line_rules.fit_line_field(table, labels)
+    bits = line_rules.document_lines("\n".join([f"Other words {i} are here." for i in range(6)] + [junk] * 6).encode())[0]
+    assert field.viterbi(bits, field.table())[6:] == [True] * 6
+    assert not line_rules.fit_line_field(table, labels, lines=100).emit.any()  # the poor ones are too long to teach
+
+
 def test_line_dedup_equals_exact_counts(docs, texts, no_docs):
     got = line_dedup.remove_boilerplate(docs, sites=6, counts=("lines", "gone"))
     assert got.columns == [*docs.columns, "lines", "gone"]
@@ -141,6 +162,15 @@ def test_language_learns_and_predicts(spark, docs, texts, no_docs):
     assert {r.lang_pred for r in untaught.collect()} <= {"und"}
 
 
+def test_language_samples_whole_documents(spark):
+    rows = [(1, "kato mi " * 60 + "ruka", "aa"), (2, "toka mira", "aa"), (3, "schent " * 60 + "orfgel", "bb"), (4, "gelorf " * 80, "bb"), (5, "", "cc")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = dict(language.learn(table, characters=100))
+    assert learned == {"aa": " toka mira ", "bb": " schent orfgel "}  # long ones teach only where there are no others
+    whole = dict(language.learn(table, characters=2000))
+    assert set(whole["aa"].split()) == {"kato", "mi", "ruka", "toka", "mira"} and set(whole["bb"].split()) == {"schent", "orfgel", "gelorf"}
+
+
 def test_suffix_automaton_parses_greedily():
     dice = np.random.default_rng(4)
     for _ in range(200):
