@@ -126,7 +126,8 @@ def learn(docs: DataFrame, documents: int = 150, characters: int = 60_000) -> tu
     size = F.octet_length("text")
     order = Window.partitionBy("lang").orderBy(F.greatest(size - characters, F.lit(0)), F.xxhash64("doc_id", "text"), "doc_id")
     rows = docs.select("lang", "doc_id", "text", F.row_number().over(order).alias("r"))
-    rows = rows.filter((F.col("r") == 1) | ((F.col("r") <= documents) & (size <= characters))).select("lang", "r", "text")
+    # A plain limit on the rank lets Spark keep the first rows of each language before the shuffle.
+    rows = rows.filter(F.col("r") <= documents).filter((F.col("r") == 1) | (size <= characters)).select("lang", "r", "text")
     sample: dict[str, list[str]] = {}
     for row in sorted(rows.collect(), key=lambda x: (x.lang, x.r)):
         sample.setdefault(row.lang, []).append(row.text)
