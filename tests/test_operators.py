@@ -283,6 +283,15 @@ def test_importance_summary(spark):
     assert explain.driver_lines(explain.summarize(wide, ["a", "b"]), 1).first().driver == "a: increases_churn_risk (50.0%)"
 
 
+def test_importance_ties_do_not_hang_on_summation_order(spark):
+    """Averages of the same hundredths that differ in the last bit only rank by name."""
+    rows = spark.createDataFrame([("b", 0.49500000000000005, 1.0), ("a", 0.495, 1.0), ("c", 57.0, 1.0), ("d", 0.49501, 1.0)], "feature STRING, mean_abs_shap DOUBLE, mean_shap DOUBLE")
+    rows = rows.withColumns({"feature_type": F.lit("numeric"), "positive_impact_share": F.lit(0.5)})
+    ranked = explain.rank_importance(rows)
+    assert [(r["rank"], r.feature) for r in ranked.collect()] == [(1, "c"), (2, "d"), (3, "a"), (4, "b")]
+    assert "_tie" not in ranked.columns
+
+
 def test_contributions_sum_to_the_margin(spark):
     """Contributions plus the mean margin give each row's linear score."""
     rows = spark.createDataFrame([("a", 1.0, "x"), ("b", 3.0, "y"), ("c", None, "z")], "id STRING, n DOUBLE, c STRING")
