@@ -419,3 +419,20 @@ def test_scoring_deals_the_index_by_block_once(spark):
     assert any(re.fullmatch(r"block#\d+L?, \d+", d) for d in dealt)
     # Neither the join on (block, term) nor the sums by (block, query, document) deal the rows again.
     assert not any(re.match(r"(block|term)#\d+L?, [a-z_]+#", d) for d in dealt)
+
+
+def test_lengths_need_one_shuffle_of_hashes_and_agree_with_the_weights(spark):
+    """Repeated terms, an empty and a null text, and two rows of one key; no text of a term is shuffled for the lengths."""
+    rows = [("a", "un prix prix remise prix remise"), ("b", ""), ("c", None), ("d", "prix delai"), ("d", "delai remise"), ("e", "x y")]
+    documents = spark.createDataFrame(rows, "document_id STRING, text STRING")
+    index = retrieval.build_index(documents, block_documents=2)
+    expected = retrieval.document_weights(index).groupBy("document_id").agg(F.count("*"), F.sum("weight"), F.max("weight"), F.sum(F.col("weight") * F.col("weight")))
+    got = {r[0]: tuple(r[1:]) for r in retrieval.weight_totals(index).collect()}
+    assert got == {r[0]: pytest.approx(tuple(r[1:4])) for r in expected.collect()} and sorted(got) == ["a", "d"]
+    assert all(r[4] == pytest.approx(1.0) for r in expected.collect())
+    assert got["d"][0] == 5  # prix, delai, remise and the pairs inside each row
+    plan = retrieval._lengths(index)._jdf.queryExecution().executedPlan().toString()
+    # One for the rows of a key, one for the hashes, one for the sums.
+    assert len(re.findall(r"Exchange ", plan)) == 3 and "term" not in "".join(re.findall(r"Exchange [^\n]*", plan))
+    asked = spark.createDataFrame([("prix",), ("delai",)], "term STRING")
+    assert {(r.term, r.df) for r in index.frequencies_of(asked).collect()} == {("prix", 2), ("delai", 1)}
