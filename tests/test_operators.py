@@ -14,6 +14,7 @@ from holdfast.operators import (
     drift, explain, features, leakage, lifecycle, marts, metrics, prefix, preprocess, priority, quality, recommend, retrieval, selection, signals, snapshot,
 )
 from holdfast.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, table_schema
+from holdfast.session import parts_for
 
 SPLITS = (("train", dt.date(2023, 12, 31), 0), ("validation", dt.date(2024, 12, 31), 1), ("test", dt.date(2025, 12, 31), 0), ("backtest", dt.date(2026, 6, 30), 1))
 
@@ -311,6 +312,19 @@ def test_windows_are_inclusive_at_both_ends(spark):
     assert snapshot.expand_to_dates(fact, "d", days, ahead_days=90).count() == 2
 
 
+def test_snapshot_combines_wide_rows_only_where_customers_were_dealt(tables, monkeypatch):
+    monkeypatch.setattr(snapshot, "ROWS_PER_TASK", 100)
+    wide = tables.wide_of("payments", "interactions")
+    assert wide.rdd.getNumPartitions() == -(-tables.dim_customer.count() * 6 // 100)  # no fewer, though they hold few bytes
+    above, dealt, _ = wide._jdf.queryExecution().sparkPlan().toString().partition("REPARTITION_BY_NUM")
+    assert dealt and above.count("HashAggregate") == 2 and "partial_sum(y_late" in above
+
+
+@pytest.mark.parametrize(("rows", "parts"), [(0, 1), (100, 1), (101, 2), (20_000, 200), (20_001, 200), (200_000, 200), (300_001, 301)])
+def test_parts_stay_few_enough_to_stream_until_they_hold_too_much(rows, parts):
+    assert parts_for(rows, 100, 1000) == parts
+
+
 def test_sampled_negatives_fill_the_gap(tables):
     chosen = lifecycle.sample_negatives(tables.labels, 0.3, 0.35)
     assert chosen.distinct().count() == chosen.count()
