@@ -79,3 +79,18 @@ def test_empty_table_and_medians(frame):
             values = [r[at] for r in rows if r[at] is not None]
             assert medians[name] == pytest.approx(np.median(values) if values else 0.0)
     assert df.filter(F.col("missing").isNotNull()).count() == 0
+
+
+def test_ranked_values_come_from_the_stored_profile_not_from_another_scan(spark, monkeypatch):
+    from holdfast.operators import refine as module
+
+    read, real = {}, module.materialize
+
+    def seen(df, name):
+        read[name] = df.inputFiles()
+        return real(df, name)
+
+    monkeypatch.setattr(module, "materialize", seen)
+    rows = spark.createDataFrame([("a" if i % 2 else "b", float(i % 97)) for i in range(1000)], "s string, x double")
+    module.refine(rows, "s", ["a", "b"], ["x"], [0.5], [0], [(0, 1)])
+    assert read["refined_profile"] and not any("/numeric_values" in f for f in read["refined_profile"])
