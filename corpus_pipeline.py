@@ -45,7 +45,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text stays null and removes nothing; of repeated rows the first of their ids keeps the passage, equal ids keep
     it all. Columns of any name stay as they are. An empty table gives no rows.
     """
-    cut = suffix_dedup.remove_repeats(docs.select("doc_id", "text", F.struct("*").alias("row")))
+    others = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns if c != "text"]  # the text goes once through every step
+    cut = suffix_dedup.remove_repeats(docs.select("doc_id", "text", F.struct(*others).alias("row")))
     text = F.when(F.col("text").isNull() | (F.col("n_removed") == 0), F.col("text")).otherwise(suffix_dedup.whole_characters(F.col("kept")))
     return cut.select(*(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +145,37 @@ def test_stretches_that_share_a_window_are_contested(spark):
     assert all(f or all(held[w] == 1 for w in ws) for f, ws in zip(found, windows, strict=True))
 
 
+def test_a_block_is_cut_in_little_memory():
+    text = np.random.default_rng(3).choice(np.frombuffer(b"abcdefgh ", np.uint8), 3 << 20).tobytes().decode()
+    table = pa.table({"doc_id": list(range(512)), "text": [text[i * 6144 : (i + 1) * 6144] for i in range(512)]})
+    tracemalloc.start()
+    block = suffix_dedup.Block(table, "text", "doc_id", 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert int(block.count.sum()) == 512 * (6144 - 49) and len(block.documents()) == len(block.anchors)
+    assert peak < 25 * len(text)
+
+
+def test_runs_do_not_depend_on_where_windows_are_cut(monkeypatch):
+    dice = random.Random(16)
+    table = pa.table({"doc_id": list(range(30)), "text": ["".join(dice.choice("ab ") for _ in range(dice.randint(0, 300))) for _ in range(30)]})
+    found = []
+    for most in (1 << 15, 7, 64):
+        monkeypatch.setattr(suffix_dedup, "_WINDOWS", most)
+        block = suffix_dedup.Block(table, "text", "doc_id", 50)
+        found.append((block.start.tolist(), block.count.tolist(), block.anchors[block.anchor_at].tolist()))
+    assert found[0] == found[1] == found[2] and len(found[0][0]) > 100
+
+
+def test_the_pipeline_sends_texts_once_through_repeat_removal(spark, monkeypatch):
+    seen, real = [], suffix_dedup.remove_repeats
+    monkeypatch.setattr(suffix_dedup, "remove_repeats", lambda docs: seen.append(docs.schema) or real(docs))
+    docs = spark.createDataFrame([(1, "x" * 80, "a", 3), (2, "x" * 80, None, 4)], "doc_id long, text string, `a.b` string, `c``d` int")
+    rows = sorted(map(tuple, corpus_pipeline.cut_repeats(spark, docs, "").collect()))
+    assert rows == [(1, "x" * 80, "a", 3), (2, "", None, 4)]
+    assert seen[0].names == ["doc_id", "text", "row"] and seen[0]["row"].dataType.names == ["doc_id", "a.b", "c`d"]
+
+
 def test_repeats_of_an_empty_table(no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 
