@@ -51,7 +51,8 @@ def test_a_job_for_each_level_finds_the_same_metrics(boosted, prepared, monkeypa
     assert len(spread.trees) == spread.stopped
 
 
-def test_features_counted_together_have_the_same_histograms_and_leaves():
+def test_features_counted_together_have_the_same_histograms_and_leaves(monkeypatch):
+    monkeypatch.setattr(boosting, "SINGLE_ROWS", 0)
     rng = np.random.default_rng(3)
     space = boosting.Space((np.arange(4.0), np.arange(2.0), None, np.arange(6.0)), (0, 0, 3, 0))
     bins = np.stack([rng.integers(0, k, 5000) for k in space.bins], 1).astype(np.uint8)
